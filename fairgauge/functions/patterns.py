@@ -18,8 +18,24 @@ import sys
 # ``\s`` matches in a ``str`` pattern. Derived by rule, not listed.
 PY_WHITESPACE = "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
 
+
+
+def _ranges(chars: str) -> str:
+    """Class body for a set of characters, consecutive code points merged."""
+    cps = sorted(ord(c) for c in chars)
+    out, start, prev = [], cps[0], cps[0]
+    for cp in cps[1:] + [None]:
+        if cp is not None and cp == prev + 1:
+            prev = cp
+            continue
+        out.append("\\x{%x}" % start if start == prev else "\\x{%x}-\\x{%x}" % (start, prev))
+        if cp is not None:
+            start = prev = cp
+    return "".join(out)
+
+
 #: Regex class equal to Python's ``\s`` for ``str`` patterns.
-WS = "[" + "".join("\\x{%x}" % ord(c) for c in PY_WHITESPACE) + "]"
+WS = "[" + _ranges(PY_WHITESPACE) + "]"
 
 #: HTML's own whitespace (the tokenizer's attribute separators).
 HWS = "[ \\t\\n\\f\\r]"

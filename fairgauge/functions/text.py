@@ -78,7 +78,7 @@ def unescape(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """FN-1: Python ``str.strip()`` — every Unicode space, not just U+0020."""
-    return F.trim(c, F.lit(PY_WHITESPACE))
+    return F.btrim(c, F.lit(PY_WHITESPACE))
 
 
 def unquote(c: Column) -> Column:

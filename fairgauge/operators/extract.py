@@ -39,89 +39,117 @@ SCRAPED_FIELDS = (
 )
 
 
-def visible_text(html: Column) -> Column:
-    """EX-3: ``get_text(" ", strip=True)`` — text nodes stripped, empty ones
-    dropped, joined by one space.
-
-    Tags and hidden blocks become a separator; references are decoded; each
-    run of separators with the whitespace around it becomes one space. That
-    equals stripping every node and joining the non-empty ones.
-    """
-    marked = F.regexp_replace(html, P.NODE_SPLIT_RE, P.NODE_SEP)
-    decoded = unescape(marked)
+def collapse_nodes(decoded: Column) -> Column:
+    """Turn node separators, with the whitespace around them, into single
+    spaces and strip the ends: equal to stripping every text node and
+    joining the non-empty ones with one space."""
     runs = P.WS + "*" + P.NODE_SEP_RE + "[" + P.WS[1:-1] + P.NODE_SEP_RE + "]*"
     return strip(F.regexp_replace(decoded, runs, " "))
 
 
-def license_cues(text: Column) -> Column:
-    """EX-4: keywords found in the lower-cased text, in keyword order."""
-    low = F.lower(text)
-    hits = F.concat_ws(", ", *[F.when(low.contains(k.lower()), F.lit(k)) for k in P.LICENSE_KEYWORDS])
-    return F.when(hits == "", F.lit(P.NOT_DETECTED)).otherwise(hits)
+def visible_text(html: Column) -> Column:
+    """EX-3: ``get_text(" ", strip=True)`` — text nodes stripped, empty ones
+    dropped, joined by one space. Tags and hidden blocks become separators,
+    references are decoded, then :func:`collapse_nodes`."""
+    return collapse_nodes(unescape(F.regexp_replace(html, P.NODE_SPLIT_RE, P.NODE_SEP)))
+
+
+def license_cues(low_text: Column) -> Column:
+    """EX-4: keywords found in the lower-cased text, in keyword order, joined
+    by ', ' ('' when none)."""
+    return F.concat_ws(", ", *[F.when(low_text.contains(k.lower()), F.lit(k)) for k in P.LICENSE_KEYWORDS])
 
 
 def file_formats(html: Column) -> Column:
     """EX-5: extensions named anywhere in the raw HTML, distinct (case kept),
     sorted — the scripts' set order is unspecified, sorting pins it."""
-    found = F.array_sort(F.array_distinct(F.regexp_extract_all(html, F.lit(P.FORMAT_RE_JAVA), 1)))
-    return F.when(F.size(found) == 0, F.array(F.lit(P.NONE_DETECTED))).otherwise(found)
+    return F.array_sort(F.array_distinct(F.regexp_extract_all(html, F.lit(P.FORMAT_RE_JAVA), 1)))
 
 
-def download_links(clean: Column) -> Column:
-    """EX-6: hrefs of ``<a>`` tags whose lower-cased value contains a data
-    extension; document order, duplicates kept, references decoded."""
+def raw_hrefs(clean: Column) -> Column:
+    """EX-6, first half: href values of ``<a>`` tags in document order, quotes
+    removed, joined by the node separator so that one decode covers them."""
     tags = F.regexp_extract_all(clean, F.lit(P.ANCHOR_TAG_RE), 0)
-    raw = F.transform(tags, lambda t: unquote(F.regexp_extract(t, P.HREF_VALUE_RE, 1)))
-    # Decode all hrefs of a page in one call, then split them again.
-    hrefs = F.split(unescape(F.array_join(raw, P.NODE_SEP)), P.NODE_SEP)
-    links = F.filter(hrefs, lambda h: F.lower(h).rlike(P.DOWNLOAD_LINK_RE))
-    return F.when(F.size(links) == 0, F.array(F.lit(P.NONE_DETECTED))).otherwise(links)
+    return F.array_join(F.transform(tags, lambda t: unquote(F.regexp_extract(t, P.HREF_VALUE_RE, 1))), P.NODE_SEP)
+
+
+def download_links(decoded_hrefs: Column) -> Column:
+    """EX-6, second half: hrefs whose lower-cased value contains a data
+    extension; duplicates kept."""
+    return F.filter(F.split(decoded_hrefs, P.NODE_SEP), lambda h: F.lower(h).rlike(P.DOWNLOAD_LINK_RE))
+
+
+def _or_default(arr: Column, default: str) -> Column:
+    return F.when(F.size(arr) == 0, F.array(F.lit(default))).otherwise(arr)
 
 
 def with_scraped(df: DataFrame, html: str = "html") -> DataFrame:
     """Add the scraped record's columns plus ``scrape_ok``/``scrape_error``.
 
     Fields are NULL on error rows; the dialect's sentinels are filled in by
-    :func:`fill_error_record` once the strategy is known.
+    :func:`fill_error_record` once the strategy is known. Work is staged so
+    that every regex pass over the HTML and every decode runs once per page:
+    raw passes, then decoding, then the fields.
     """
+    keep = [c for c in df.columns if c != html]
     h = F.col(html)
-    staged = (
-        df.withColumn("_clean", F.regexp_replace(h, P.HIDDEN_RE, ""))
-        .withColumn("_text", visible_text(h))
-        .withColumn("_title_in", F.regexp_extract("_clean", P.TITLE_RE, 1))
-        .withColumn("_has_title", F.col("_clean").rlike(P.TITLE_OPEN_RE))
-        .withColumn(
-            "_desc_tag",
-            F.get(
-                F.filter(
-                    F.regexp_extract_all("_clean", F.lit(P.META_TAG_RE), 0),
-                    lambda t: t.rlike(P.NAME_IS_DESCRIPTION_RE),
-                ),
-                0,
-            ),
-        )
+    raw = df.select(
+        *keep, h.isNull().alias("_no_page"),
+        F.regexp_replace(h, P.HIDDEN_RE, "").alias("_clean"),
+        F.regexp_replace(h, P.NODE_SPLIT_RE, P.NODE_SEP).alias("_marked"),
+        file_formats(h).alias("_formats"),
+    )
+    clean = F.col("_clean")
+    parts = raw.select(
+        *keep, "_no_page", "_marked", "_formats",
+        F.regexp_extract(clean, P.TITLE_RE, 1).alias("_title_in"),
+        clean.rlike(P.TITLE_OPEN_RE).alias("_has_title"),
+        F.get(F.filter(F.regexp_extract_all(clean, F.lit(P.META_TAG_RE), 0),
+                       lambda t: t.rlike(P.NAME_IS_DESCRIPTION_RE)), 0).alias("_desc_tag"),
+        raw_hrefs(clean).alias("_hrefs"),
     )
-    title_in, has_title, desc_tag = F.col("_title_in"), F.col("_has_title"), F.col("_desc_tag")
+    desc_tag = F.col("_desc_tag")
+    decoded = parts.select(
+        *keep, "_no_page", "_formats", "_title_in", "_has_title", "_desc_tag",
+        desc_tag.rlike(P.CONTENT_PRESENT_RE).alias("_has_content"),
+        unescape(F.col("_marked")).alias("_text_dec"),
+        unescape(F.col("_title_in")).alias("_title_dec"),
+        unescape(unquote(F.regexp_extract(desc_tag, P.CONTENT_VALUE_RE, 1))).alias("_content_dec"),
+        unescape(F.col("_hrefs")).alias("_hrefs_dec"),
+    )
+    title_in, has_title = F.col("_title_in"), F.col("_has_title")
     error = (
-        F.when(h.isNull(), "no_page")
+        F.when(F.col("_no_page"), "no_page")
         .when(has_title & (title_in == ""), "empty_title")
         .when(has_title & title_in.rlike(P.NESTED_MARKUP_RE), "nested_title")
-        .when(desc_tag.isNotNull() & ~desc_tag.rlike(P.CONTENT_PRESENT_RE), "meta_without_content")
+        .when(desc_tag.isNotNull() & ~F.col("_has_content"), "meta_without_content")
+    )
+    texts = decoded.select(
+        *keep, "_formats", "_has_title", "_desc_tag", "_title_dec", "_content_dec",
+        error.alias("scrape_error"),
+        collapse_nodes(F.col("_text_dec")).alias("_text"),
+        download_links(F.col("_hrefs_dec")).alias("_links"),
+    )
+    text = F.col("_text")
+    cues = texts.select(
+        *keep, "_formats", "_has_title", "_desc_tag", "_title_dec", "_content_dec", "scrape_error", "_links",
+        license_cues(F.lower(text)).alias("_cues"),
+        F.substring(text, 1, 2000).alias("_snippet"),
+    )
+    ok = F.col("scrape_error").isNull()
+    cues_col = F.col("_cues")
+    fields = [
+        F.when(~F.col("_has_title"), P.NOT_FOUND).otherwise(strip(F.col("_title_dec"))).alias("title"),
+        F.when(F.col("_desc_tag").isNull(), P.NOT_FOUND).otherwise(strip(F.col("_content_dec"))).alias("description"),
+        F.when(cues_col == "", P.NOT_DETECTED).otherwise(cues_col).alias("license_info"),
+        _or_default(F.col("_formats"), P.NONE_DETECTED).alias("file_formats"),
+        _or_default(F.col("_links"), P.NONE_DETECTED).alias("download_links"),
+        F.col("_snippet").alias("raw_text_snippet"),
+    ]
+    return cues.select(
+        *keep, "scrape_error", ok.alias("scrape_ok"),
+        *[F.when(ok, f).alias(name) for f, name in zip(fields, SCRAPED_FIELDS)],
     )
-    ok = error.isNull()
-    content = unquote(F.regexp_extract(desc_tag, P.CONTENT_VALUE_RE, 1))
-    fields = {
-        "title": F.when(~has_title, P.NOT_FOUND).otherwise(strip(unescape(title_in))),
-        "description": F.when(desc_tag.isNull(), P.NOT_FOUND).otherwise(strip(unescape(content))),
-        "license_info": license_cues(F.col("_text")),
-        "file_formats": file_formats(h),
-        "download_links": download_links(F.col("_clean")),
-        "raw_text_snippet": F.substring(F.col("_text"), 1, 2000),
-    }
-    out = staged.withColumn("scrape_error", error).withColumn("scrape_ok", ok)
-    for name, expr in fields.items():
-        out = out.withColumn(name, F.when(F.col("scrape_ok"), expr))
-    return out.drop("_clean", "_text", "_title_in", "_has_title", "_desc_tag", html)
 
 
 def fill_error_record(df: DataFrame, dialect: Column) -> DataFrame:

@@ -20,11 +20,22 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("page_id", "url", "html")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give extraction every core when the scan arrives in fewer splits than
+    the cluster has slots (a small crawl packed in one row group). A crawl of
+    cluster size already scans in thousands of splits and is left alone, so
+    HTML is shuffled only when there is little of it."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def extract_pages(pages: DataFrame) -> DataFrame:
     """Keyed, extracted pages: ``page_id, url_key`` plus the scraped record.
 
     Not yet unique per key; :func:`fairgauge.operators.joins.attach_pages`
     keeps the lowest ``page_id`` of each key after its one shuffle.
     """
-    keyed = pages.select("page_id", url_key(F.col("url")).alias("url_key"), "html")
+    keyed = spread(pages.select("page_id", url_key(F.col("url")).alias("url_key"), "html"))
     return with_scraped(keyed, "html")
