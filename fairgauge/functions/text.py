@@ -60,11 +60,21 @@ def _decode_refs_udf(s: pd.Series) -> pd.Series:
     return s.map(lambda v: _REF.sub(_decode_ref, v), na_action="ignore")
 
 
+ANY_REF_RE = "&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+
+
 def decode_refs_chain(c: Column) -> Column:
-    """Decode the fixed reference list with nested ``replace`` calls."""
-    for ref, value in JVM_ENTITIES:
-        c = F.replace(c, F.lit(ref), F.lit(value))
-    return c
+    """Decode the fixed reference list on the JVM.
+
+    One regex scan finds the references present; only those are replaced,
+    '&amp;' last. Equal to applying the whole list as a chain of replaces:
+    references never overlap and no decoded value contains '&'.
+    """
+    table = F.create_map(*[F.lit(x) for ref, value in JVM_ENTITIES if ref != "&amp;" for x in (ref, value)])
+    present = F.array_distinct(F.regexp_extract_all(c, F.lit(ANY_REF_RE), 0))
+    known = F.filter(present, lambda r: F.map_contains_key(table, r))
+    decoded = F.aggregate(known, c, lambda acc, r: F.replace(acc, r, table[r]))
+    return F.when(F.array_contains(present, "&amp;"), F.replace(decoded, F.lit("&amp;"), F.lit("&"))).otherwise(decoded)
 
 
 def unescape(c: Column) -> Column:

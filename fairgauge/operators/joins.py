@@ -48,6 +48,11 @@ def attach_pages(catalog: DataFrame, pages: DataFrame, hot_rows: int = DEFAULT_H
     """
     hot = F.broadcast(hot_keys(catalog, hot_rows))
     buckets = F.col("_buckets")
+    # Each catalogue row leaves this join as four prompts of several KB, so
+    # the stage after it does far more work than its input size suggests.
+    # A fixed partition count (the session's shuffle partitions) keeps AQE
+    # from coalescing it into a few tasks; skew is handled by the salt.
+    parts = int(catalog.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left = (
         catalog.join(hot, "url_key", "left")
         .withColumn(
@@ -55,6 +60,7 @@ def attach_pages(catalog: DataFrame, pages: DataFrame, hot_rows: int = DEFAULT_H
             F.when(buckets.isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("row_id"), buckets).cast("int")),
         )
         .drop("_buckets")
+        .repartition(parts, "url_key", "_salt")
     )
     replicated = (
         pages.where(F.col("url_key").isNotNull())
