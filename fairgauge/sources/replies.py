@@ -21,11 +21,15 @@ def reply_content(body: str = "body"):
 
 
 def normalise_replies(df: DataFrame) -> DataFrame:
+    """``(request_id, response)`` from either shape; a row may carry both."""
+    parts = []
     if "response" in df.columns:
-        return df.select("request_id", F.col("response").cast("string").alias("response"))
+        parts.append(F.col("response").cast("string"))
     if "body" in df.columns:
-        return df.select("request_id", reply_content("body").alias("response"))
-    raise ValueError("replies need 'request_id' and either 'response' or 'body'")
+        parts.append(reply_content("body"))
+    if not parts:
+        raise ValueError("replies need 'request_id' and either 'response' or 'body'")
+    return df.select("request_id", F.coalesce(*parts).alias("response"))
 
 
 def read_replies(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
