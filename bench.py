@@ -39,8 +39,7 @@ def run_steps(spark, sf_dir: str, out: str) -> tuple[dict, dict]:
     times, rows = {}, {}
 
     t = time.perf_counter()
-    Q.request_table(spark, sf_dir).select(*REQUEST_COLUMNS).write.mode("overwrite").partitionBy(
-        "strategy").parquet(f"{out}/requests")
+    Q.request_table(spark, sf_dir).select(*REQUEST_COLUMNS).write.mode("overwrite").parquet(f"{out}/requests")
     times["requests"] = time.perf_counter() - t
     reqs = spark.read.parquet(f"{out}/requests")
     rows["requests"] = reqs.count()
