@@ -56,10 +56,14 @@ _HIDDEN = (
 # may hold '>'.
 _TAG = r"""<[a-z/!?](?:"[^"]*"|'[^']*'|[^>"'])*>"""
 
-#: Hidden blocks only: removed before tags are looked up.
+#: Hidden blocks: replaced by ``HIDDEN_MARK`` before tags are looked up.
 HIDDEN_RE = "(?is)" + _HIDDEN
-#: Hidden blocks and tags: every match separates two text nodes.
-NODE_SPLIT_RE = "(?is)" + _HIDDEN + "|" + _TAG
+#: What a hidden block leaves behind: an empty markup declaration, so that it
+#: still separates text nodes and still counts as markup inside a title.
+HIDDEN_MARK = "<!>"
+#: Any tag; on HTML whose hidden blocks are marked, every match separates
+#: two text nodes.
+TAG_RE = "(?is)" + _TAG
 
 TITLE_OPEN_RE = r"(?is)<title\b[^>]*>"
 TITLE_RE = r"(?is)<title\b[^>]*>(.*?)(?:</title[ \t\n\f\r]*>|\z)"

@@ -6,10 +6,9 @@ column is consumed here and never leaves the scan stage; what comes out is a
 record of a few KB (the text snippet is capped at 2,000 code points).
 
 Regex extraction instead of a DOM. Known divergences from a DOM parser:
-unbalanced quotes inside tags, CDATA sections, markup inside ``<title>``
-(reported as the ``nested_title`` error, a parser-dependent case), a comment
-inside a title (removed rather than splitting the title), and only
-';'-terminated character references are decoded.
+unbalanced quotes inside tags, CDATA sections, markup or a comment inside
+``<title>`` (reported as the ``nested_title`` error, a parser-dependent
+case), and only ';'-terminated character references are decoded.
 """
 
 from __future__ import annotations
@@ -47,11 +46,21 @@ def collapse_nodes(decoded: Column) -> Column:
     return strip(F.regexp_replace(decoded, runs, " "))
 
 
+def hide_blocks(html: Column) -> Column:
+    """Comments, script, style and template bodies replaced by a marker."""
+    return F.regexp_replace(html, P.HIDDEN_RE, P.HIDDEN_MARK)
+
+
+def mark_nodes(clean: Column) -> Column:
+    """Every tag (and hidden-block marker) becomes a node separator."""
+    return F.regexp_replace(clean, P.TAG_RE, P.NODE_SEP)
+
+
 def visible_text(html: Column) -> Column:
     """EX-3: ``get_text(" ", strip=True)`` — text nodes stripped, empty ones
     dropped, joined by one space. Tags and hidden blocks become separators,
     references are decoded, then :func:`collapse_nodes`."""
-    return collapse_nodes(unescape(F.regexp_replace(html, P.NODE_SPLIT_RE, P.NODE_SEP)))
+    return collapse_nodes(unescape(mark_nodes(hide_blocks(html))))
 
 
 def license_cues(low_text: Column) -> Column:
@@ -95,13 +104,13 @@ def with_scraped(df: DataFrame, html: str = "html") -> DataFrame:
     h = F.col(html)
     raw = df.select(
         *keep, h.isNull().alias("_no_page"),
-        F.regexp_replace(h, P.HIDDEN_RE, "").alias("_clean"),
-        F.regexp_replace(h, P.NODE_SPLIT_RE, P.NODE_SEP).alias("_marked"),
+        hide_blocks(h).alias("_clean"),
         file_formats(h).alias("_formats"),
     )
     clean = F.col("_clean")
     parts = raw.select(
-        *keep, "_no_page", "_marked", "_formats",
+        *keep, "_no_page", "_formats",
+        mark_nodes(clean).alias("_marked"),
         F.regexp_extract(clean, P.TITLE_RE, 1).alias("_title_in"),
         clean.rlike(P.TITLE_OPEN_RE).alias("_has_title"),
         F.get(F.filter(F.regexp_extract_all(clean, F.lit(P.META_TAG_RE), 0),

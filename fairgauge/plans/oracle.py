@@ -127,11 +127,11 @@ RUNS_RE = P.WS + "*" + P.NODE_SEP_RE + "[" + P.WS[1:-1] + P.NODE_SEP_RE + "]*"
 EXTRACT = f"""
 s0 AS (
   SELECT page_id, url, html,
-    regexp_replace(html, {q(P.HIDDEN_RE)}, '', 'g') AS clean,
-    regexp_replace(html, {q(P.NODE_SPLIT_RE)}, chr(1), 'g') AS marked
+    regexp_replace(html, {q(P.HIDDEN_RE)}, {q(P.HIDDEN_MARK)}, 'g') AS clean
   FROM pg),
 s1 AS (
   SELECT *,
+    regexp_replace(clean, {q(P.TAG_RE)}, chr(1), 'g') AS marked,
     regexp_extract(clean, {q(P.TITLE_RE)}, 1) AS title_in,
     regexp_matches(clean, {q(P.TITLE_OPEN_RE)}) AS has_title,
     list_filter(regexp_extract_all(clean, {q(P.META_TAG_RE)}, 0), lambda t: regexp_matches(t, {q(P.NAME_IS_DESCRIPTION_RE)}))[1] AS desc_tag,

@@ -25,6 +25,8 @@ CASES = [
         "t", "Not found", ["/y.xml"], None,
     ),
     ("<title>T<b>x</b></title>a", None, None, None, "nested_title"),
+    ("<title>a<!-- c -->b</title>", None, None, None, "nested_title"),
+    ("<!-- <title>x</title> --><script>t='<title>y</title>'</script><p>p</p>", "Not found", "Not found", ["None detected"], None),
     ("", "Not found", "Not found", ["None detected"], None),
     (None, None, None, None, "no_page"),
 ]
