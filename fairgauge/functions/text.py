@@ -63,6 +63,17 @@ def _decode_refs_udf(s: pd.Series) -> pd.Series:
 ANY_REF_RE = "&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
+def sql_str(s: str) -> str:
+    """Spark SQL string literal (backslash escapes are processed)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+# The table as one SQL expression: a single call to build, not one per entry.
+_ENTITY_MAP_SQL = "map(" + ", ".join(
+    f"{sql_str(ref)}, {sql_str(value)}" for ref, value in JVM_ENTITIES if ref != "&amp;"
+) + ")"
+
+
 def decode_refs_chain(c: Column) -> Column:
     """Decode the fixed reference list on the JVM.
 
@@ -70,7 +81,7 @@ def decode_refs_chain(c: Column) -> Column:
     '&amp;' last. Equal to applying the whole list as a chain of replaces:
     references never overlap and no decoded value contains '&'.
     """
-    table = F.create_map(*[F.lit(x) for ref, value in JVM_ENTITIES if ref != "&amp;" for x in (ref, value)])
+    table = F.expr(_ENTITY_MAP_SQL)
     present = F.array_distinct(F.regexp_extract_all(c, F.lit(ANY_REF_RE), 0))
     known = F.filter(present, lambda r: F.map_contains_key(table, r))
     decoded = F.aggregate(known, c, lambda acc, r: F.replace(acc, r, table[r]))
