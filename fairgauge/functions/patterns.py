@@ -45,32 +45,48 @@ NODE_SEP = "\x01"
 NODE_SEP_RE = "\\x01"
 
 # Element content the DOM never shows as text: comments, script, style and
-# template bodies. An unclosed block runs to the end of the document.
+# template bodies. An unclosed block runs to the end of the document. The
+# shared '<' is factored out so that other positions fail on one compare.
 _HIDDEN = (
-    r"<!--.*?(?:-->|\z)"
-    r"|<script\b[^>]*>.*?(?:</script[ \t\n\f\r]*>|\z)"
-    r"|<style\b[^>]*>.*?(?:</style[ \t\n\f\r]*>|\z)"
-    r"|<template\b[^>]*>.*?(?:</template[ \t\n\f\r]*>|\z)"
+    r"<(?:!--.*?(?:-->|\z)"
+    r"|script\b[^>]*>.*?(?:</script[ \t\n\f\r]*>|\z)"
+    r"|style\b[^>]*>.*?(?:</style[ \t\n\f\r]*>|\z)"
+    r"|template\b[^>]*>.*?(?:</template[ \t\n\f\r]*>|\z))"
 )
-# Any other tag, doctype or processing instruction; quoted attribute values
-# may hold '>'.
-_TAG = r"""<[a-z/!?](?:"[^"]*"|'[^']*'|[^>"'])*>"""
+
+
+def _tag(head: str, java: bool) -> str:
+    """A tag whose quoted attribute values may hold '>'.
+
+    Java runs a repeated group with alternatives by recursion, one frame per
+    repetition: a long unquoted attribute (an inline data URI) overflows the
+    stack and kills the executor. The Java form therefore uses possessive
+    quantifiers, which Java runs as a loop; the alternatives start with
+    different characters, so nothing is lost by not backtracking. RE2 has no
+    backtracking and takes the plain form.
+    """
+    if java:
+        return head + r"""(?:"[^"]*+"|'[^']*+'|[^>"']++)*+>"""
+    return head + r"""(?:"[^"]*"|'[^']*'|[^>"'])*>"""
+
 
 #: Hidden blocks: replaced by ``HIDDEN_MARK`` before tags are looked up.
 HIDDEN_RE = "(?is)" + _HIDDEN
 #: What a hidden block leaves behind: an empty markup declaration, so that it
 #: still separates text nodes and still counts as markup inside a title.
 HIDDEN_MARK = "<!>"
-#: Any tag; on HTML whose hidden blocks are marked, every match separates
-#: two text nodes.
-TAG_RE = "(?is)" + _TAG
+#: Any tag (and doctype, processing instruction, hidden-block marker); every
+#: match separates two text nodes.
+TAG_RE = "(?is)" + _tag("<[a-z/!?]", java=True)
+TAG_RE_RE2 = "(?is)" + _tag("<[a-z/!?]", java=False)
 
 TITLE_OPEN_RE = r"(?is)<title\b[^>]*>"
 TITLE_RE = r"(?is)<title\b[^>]*>(.*?)(?:</title[ \t\n\f\r]*>|\z)"
 #: Markup inside a title: the DOM gives it several children, so no string.
 NESTED_MARKUP_RE = r"(?i)<[a-z/!?]"
 
-META_TAG_RE = r"""(?is)<meta\b(?:"[^"]*"|'[^']*'|[^>"'])*>"""
+META_TAG_RE = "(?is)" + _tag(r"<meta\b", java=True)
+META_TAG_RE_RE2 = "(?is)" + _tag(r"<meta\b", java=False)
 #: ``name`` attribute (any case) whose value is exactly ``description``.
 NAME_IS_DESCRIPTION_RE = (
     r"""(?s)[ \t\n\f\r/](?i:name)[ \t\n\f\r]*=[ \t\n\f\r]*"""
@@ -81,7 +97,8 @@ CONTENT_VALUE_RE = (
     r"""(?is)[ \t\n\f\r/]content[ \t\n\f\r]*=[ \t\n\f\r]*("[^"]*"|'[^']*'|[^ \t\n\f\r>]+)"""
 )
 
-ANCHOR_TAG_RE = r"""(?is)<a[ \t\n\f\r/](?:"[^"]*"|'[^']*'|[^>"'])*>"""
+ANCHOR_TAG_RE = "(?is)" + _tag(r"<a[ \t\n\f\r/]", java=True)
+ANCHOR_TAG_RE_RE2 = "(?is)" + _tag(r"<a[ \t\n\f\r/]", java=False)
 HREF_VALUE_RE = (
     r"""(?is)[ \t\n\f\r/]href[ \t\n\f\r]*=[ \t\n\f\r]*("[^"]*"|'[^']*'|[^ \t\n\f\r>]+)"""
 )

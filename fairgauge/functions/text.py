@@ -1,28 +1,24 @@
 """Scalar text helpers as Spark column expressions (FN-1, FN-2, FN-9, FN-11).
 
-Everything here stays on the JVM except the entity fallback: references
-outside the fixed list below go through one Arrow-batched pandas UDF, and
-only rows that contain such a reference are sent (the rest pass NULL, which
-costs a bit in the Arrow null mask).
+All of it runs on the JVM: character references are decoded by a single
+pass over the text split at '&' (no Python, no regex callbacks).
 """
 
 from __future__ import annotations
 
 import html
 import html.entities
-import re
+import json
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from fairgauge.functions.patterns import PY_WHITESPACE
 
 # ---------------------------------------------------------------------------
-# Character references decoded on the JVM by plain replace().
-# Names from the HTML standard's entity table; '&amp;' must be decoded last so
-# that '&amp;lt;' ends as the text '&lt;'.
+# The most frequent named references, looked up first in a
+# short table (values from the HTML standard). The oracle decodes exactly
+# these with a chain of replace() calls, '&amp;' last.
 # ---------------------------------------------------------------------------
 JVM_ENTITY_NAMES = [
     "lt", "gt", "quot", "apos", "nbsp", "copy", "reg", "trade", "middot",
@@ -38,29 +34,26 @@ def _ref_value(name: str) -> str:
 
 JVM_ENTITIES = [("&" + n + ";", _ref_value(n)) for n in JVM_ENTITY_NAMES]
 
-_KNOWN = "|".join(re.escape(n) for n in JVM_ENTITY_NAMES)
-#: A complete reference that the replace chain does not cover (Java regex).
-OTHER_REF_RE = (
-    "&(?!(?:" + _KNOWN + ");)(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
-)
-_REF = re.compile(r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
+#: Every ';'-terminated named reference of the HTML standard (the stdlib's
+#: table), name without '&' and ';' -> text.
+NAMED_REFS = {k[:-1]: v for k, v in html.entities.html5.items() if k.endswith(";")}
+_COMMON = {n: _ref_value(n) for n in JVM_ENTITY_NAMES if not n.startswith("#")}
 
 
-def _decode_ref(m: re.Match) -> str:
-    body = m.group(1)
-    if body.startswith("#"):
-        return html.unescape(m.group(0))
-    # Only a complete '&name;' counts; html.unescape would also take the
-    # longest legacy prefix ('&notit;' -> '¬it;'), which a DOM parser does not.
-    return html.entities.html5.get(body + ";", m.group(0))
+def _special_code_points() -> dict[int, str]:
+    """Numeric references that do not decode to their own code point (NUL,
+    C0/C1 controls, noncharacters), by the stdlib's rule for them."""
+    cps = list(range(0x00, 0x20)) + list(range(0x7F, 0xA0)) + list(range(0xFDD0, 0xFDF0))
+    cps += [plane * 0x10000 + low for plane in range(0x11) for low in (0xFFFE, 0xFFFF)]
+    out = {}
+    for cp in cps:
+        text = html.unescape(f"&#{cp};")
+        if text != chr(cp):
+            out[cp] = text
+    return out
 
 
-@F.pandas_udf(StringType())
-def _decode_refs_udf(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: _REF.sub(_decode_ref, v), na_action="ignore")
-
-
-ANY_REF_RE = "&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+SPECIAL_CODE_POINTS = _special_code_points()
 
 
 def sql_str(s: str) -> str:
@@ -68,33 +61,72 @@ def sql_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-# The table as one SQL expression: a single call to build, not one per entry.
-_ENTITY_MAP_SQL = "map(" + ", ".join(
-    f"{sql_str(ref)}, {sql_str(value)}" for ref, value in JVM_ENTITIES if ref != "&amp;"
-) + ")"
+def _sql_map(pairs) -> str:
+    return "map(" + ", ".join(f"{k}, {v}" for k, v in pairs) + ")"
 
 
-def decode_refs_chain(c: Column) -> Column:
-    """Decode the fixed reference list on the JVM.
+# Tables as single SQL expressions: one call to build, folded to literals.
+_COMMON_SQL = _sql_map((sql_str(k), sql_str(v)) for k, v in _COMMON.items())
+# The full table is one JSON string literal read by from_json: constant
+# folding turns it into a map literal once, instead of analysing a map()
+# call with thousands of arguments in every plan.
+_NAMED_JSON = json.dumps(NAMED_REFS)
+_SPECIAL_SQL = _sql_map((str(k), sql_str(v)) for k, v in SPECIAL_CODE_POINTS.items())
+
+#: A reference at the start of the text that follows an '&'.
+REF_HEAD_RE = "^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+
+
+def _numeric_value(name: Column) -> Column:
+    """Text of '&#...;' by the HTML standard's rules (as html.unescape)."""
+    hexa = name.rlike("^#[xX]")
+    digits = F.ltrim(F.when(hexa, F.substring(name, 3, 16)).otherwise(F.substring(name, 2, 16)), F.lit("0"))
+    too_big = F.length(digits) > F.when(hexa, F.lit(6)).otherwise(F.lit(7))
+    num = F.coalesce(F.when(hexa, F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint"), F.lit(0))
+    special = F.expr(_SPECIAL_SQL)
+    return (
+        F.when(too_big | (num > 0x10FFFF) | num.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+        .when(F.map_contains_key(special, num.cast("int")), special[num.cast("int")])
+        .otherwise(F.format_string("%c", num.cast("int")))
+    )
 
-    One regex scan finds the references present; only those are replaced,
-    '&amp;' last. Equal to applying the whole list as a chain of replaces:
-    references never overlap and no decoded value contains '&'.
-    """
-    table = F.expr(_ENTITY_MAP_SQL)
-    present = F.array_distinct(F.regexp_extract_all(c, F.lit(ANY_REF_RE), 0))
-    known = F.filter(present, lambda r: F.map_contains_key(table, r))
-    decoded = F.aggregate(known, c, lambda acc, r: F.replace(acc, r, table[r]))
-    return F.when(F.array_contains(present, "&amp;"), F.replace(decoded, F.lit("&amp;"), F.lit("&"))).otherwise(decoded)
+
+def _named_value(name: Column) -> Column:
+    common = F.expr(_COMMON_SQL)
+    named = F.from_json(F.lit(_NAMED_JSON), "map<string,string>")
+    return F.when(F.map_contains_key(common, name), common[name]).otherwise(named[name])
+
+
+def _decode_piece(piece: Column, name: Column, i: Column) -> Column:
+    """One piece of the text split at '&': the first piece is plain text;
+    any other starts right after an '&' and begins with a reference (``name``,
+    '' if none) or not."""
+    value = F.when(name == "", F.lit(None)).when(name.startswith("#"), _numeric_value(name)).otherwise(_named_value(name))
+    rest = F.substring(piece, F.length(name) + 2, F.length(piece))
+    return (
+        F.when(i == 0, piece)
+        .when(value.isNull(), F.concat(F.lit("&"), piece))
+        .otherwise(F.concat(value, rest))
+    )
 
 
 def unescape(c: Column) -> Column:
-    """FN-2: decode character references the way the DOM parser does.
+    """FN-2: decode character references the way the DOM parser does, in one
+    pass (decoded text is never decoded again: '&amp;lt;' gives '&lt;').
 
     Only ';'-terminated references are decoded; a bare '&amp' stays text.
     """
-    rare = _decode_refs_udf(F.when(c.rlike(OTHER_REF_RE), c))
-    return F.coalesce(rare, decode_refs_chain(c))
+    pieces = F.transform(
+        F.split(c, "&"), lambda p: F.struct(p.alias("p"), F.regexp_extract(p, REF_HEAD_RE, 1).alias("n"))
+    )
+    decoded = F.array_join(F.transform(pieces, lambda s, i: _decode_piece(s["p"], s["n"], i)), "")
+    return F.when(F.instr(c, "&") == 0, c).otherwise(decoded)
+
+
+def unescape_all(*cols: Column) -> Column:
+    """:func:`unescape` of several columns, as an array in the same order.
+    One copy of the decoder in the plan however many columns need it."""
+    return F.transform(F.array(*cols), unescape)
 
 
 def strip(c: Column) -> Column:

@@ -1,7 +1,6 @@
 """Page metadata extraction, EX-1 … EX-9, as column expressions.
 
-One narrow projection per page: no shuffle, no Python except the rare-entity
-fallback in :func:`fairgauge.functions.text.unescape`. The wide ``html``
+One narrow projection per page: no shuffle and no Python. The wide ``html``
 column is consumed here and never leaves the scan stage; what comes out is a
 record of a few KB (the text snippet is capped at 2,000 code points).
 
@@ -17,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairgauge.functions import patterns as P
-from fairgauge.functions.text import strip, unescape, unquote
+from fairgauge.functions.text import strip, unescape, unescape_all, unquote
 
 #: Error codes for pages that the scraping step could not use, in the order
 #: they are checked (the title is examined before the description).
@@ -39,11 +38,10 @@ SCRAPED_FIELDS = (
 
 
 def collapse_nodes(decoded: Column) -> Column:
-    """Turn node separators, with the whitespace around them, into single
-    spaces and strip the ends: equal to stripping every text node and
-    joining the non-empty ones with one space."""
-    runs = P.WS + "*" + P.NODE_SEP_RE + "[" + P.WS[1:-1] + P.NODE_SEP_RE + "]*"
-    return strip(F.regexp_replace(decoded, runs, " "))
+    """Split at the node separators, strip every node, drop the empty ones,
+    join with one space: ``get_text(" ", strip=True)`` on marked text."""
+    nodes = F.transform(F.split(decoded, P.NODE_SEP), strip)
+    return F.array_join(F.filter(nodes, lambda t: t != ""), " ")
 
 
 def hide_blocks(html: Column) -> Column:
@@ -121,11 +119,13 @@ def with_scraped(df: DataFrame, html: str = "html") -> DataFrame:
     decoded = parts.select(
         *keep, "_no_page", "_formats", "_title_in", "_has_title", "_desc_tag",
         desc_tag.rlike(P.CONTENT_PRESENT_RE).alias("_has_content"),
-        unescape(F.col("_marked")).alias("_text_dec"),
-        unescape(F.col("_title_in")).alias("_title_dec"),
-        unescape(unquote(F.regexp_extract(desc_tag, P.CONTENT_VALUE_RE, 1))).alias("_content_dec"),
-        unescape(F.col("_hrefs")).alias("_hrefs_dec"),
-    )
+        unescape_all(
+            F.col("_marked"), F.col("_title_in"),
+            unquote(F.regexp_extract(desc_tag, P.CONTENT_VALUE_RE, 1)), F.col("_hrefs"),
+        ).alias("_dec"),
+    ).select(
+        "*", *[F.col("_dec")[i].alias(n) for i, n in enumerate(("_text_dec", "_title_dec", "_content_dec", "_hrefs_dec"))]
+    ).drop("_dec")
     title_in, has_title = F.col("_title_in"), F.col("_has_title")
     error = (
         F.when(F.col("_no_page"), "no_page")

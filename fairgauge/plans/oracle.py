@@ -131,11 +131,11 @@ s0 AS (
   FROM pg),
 s1 AS (
   SELECT *,
-    regexp_replace(clean, {q(P.TAG_RE)}, chr(1), 'g') AS marked,
+    regexp_replace(clean, {q(P.TAG_RE_RE2)}, chr(1), 'g') AS marked,
     regexp_extract(clean, {q(P.TITLE_RE)}, 1) AS title_in,
     regexp_matches(clean, {q(P.TITLE_OPEN_RE)}) AS has_title,
-    list_filter(regexp_extract_all(clean, {q(P.META_TAG_RE)}, 0), lambda t: regexp_matches(t, {q(P.NAME_IS_DESCRIPTION_RE)}))[1] AS desc_tag,
-    list_transform(regexp_extract_all(clean, {q(P.ANCHOR_TAG_RE)}, 0), lambda t: regexp_extract(t, {q(P.HREF_VALUE_RE)}, 1)) AS hrefs_q,
+    list_filter(regexp_extract_all(clean, {q(P.META_TAG_RE_RE2)}, 0), lambda t: regexp_matches(t, {q(P.NAME_IS_DESCRIPTION_RE)}))[1] AS desc_tag,
+    list_transform(regexp_extract_all(clean, {q(P.ANCHOR_TAG_RE_RE2)}, 0), lambda t: regexp_extract(t, {q(P.HREF_VALUE_RE)}, 1)) AS hrefs_q,
     {strip(f"regexp_replace({unesc('marked')}, {q(RUNS_RE)}, ' ', 'g')")} AS txt
   FROM s0),
 s2 AS (

@@ -107,3 +107,16 @@ def test_error_record_by_dialect(spark):
         "Error scraping website", "N/A", ["N/A"], ["N/A"], "")
     assert (b["file_formats"], b["download_links"]) == ([], [])
     assert ok["title"] == "t" and ok["file_formats"] == ["None detected"]
+
+
+def test_long_attributes_and_unclosed_blocks(spark):
+    """A 200 KB unquoted attribute once overflowed Java's regex stack and
+    killed the executor; unclosed comments and scripts run to the end."""
+    html = (
+        "<p><a href=" + "x" * 200_000 + ".csv>d</a><img src=data:image/png;base64," + "A" * 300_000
+        + "></p><title>t</title><p>after</p><!-- never closed " + "c" * 100_000
+    )
+    r = with_scraped(spark.createDataFrame([(html,)], "html string")).first()
+    assert r["title"] == "t"
+    assert r["raw_text_snippet"] == "d t after"
+    assert r["download_links"][0].endswith("x.csv")
