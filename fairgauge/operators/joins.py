@@ -23,6 +23,16 @@ DEFAULT_HOT_ROWS = 100_000
 _PAGE_COLUMNS = ("page_id",) + SCRAPED_FIELDS + ("scrape_ok", "scrape_error")
 
 
+def _shuffle_partitions(df: DataFrame) -> int:
+    """The session's shuffle partition count, or the cluster's slots when
+    the setting is not a number."""
+    value = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+    try:
+        return int(value)
+    except ValueError:
+        return df.sparkSession.sparkContext.defaultParallelism
+
+
 def hot_keys(catalog: DataFrame, hot_rows: int) -> DataFrame:
     """Keys holding at least ``hot_rows`` rows, with their bucket count.
 
@@ -52,7 +62,7 @@ def attach_pages(catalog: DataFrame, pages: DataFrame, hot_rows: int = DEFAULT_H
     # the stage after it does far more work than its input size suggests.
     # A fixed partition count (the session's shuffle partitions) keeps AQE
     # from coalescing it into a few tasks; skew is handled by the salt.
-    parts = int(catalog.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = _shuffle_partitions(catalog)
     left = (
         catalog.join(hot, "url_key", "left")
         .withColumn(

@@ -32,16 +32,23 @@ def check_columns(columns: list[str]) -> None:
         raise ValueError("CSV must contain 'Dataset Name' and 'Website Link' columns.")
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-1: read the catalogue CSV (UTF-8, BOM and CRLF tolerated).
+def read_catalog(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """SRC-1: read the catalogue CSV (UTF-8, BOM and CRLF tolerated), or a
+    parquet catalogue with the same two columns.
 
-    The header is checked by name first; the data is then read with every
-    column typed as string.
+    Quoted cells may span lines, as pandas allows; Spark reads such a CSV one
+    file per task, so a large catalogue should come as many files, as
+    parquet, or with ``multi_line=False`` when no cell holds a newline.
     """
+    if path.endswith(".parquet"):
+        raw = spark.read.parquet(path)
+        check_columns(raw.columns)
+        cols = [F.col(f"`{src}`").cast("string").alias(dst) for src, dst in REQUIRED_COLUMNS.items()]
+        return with_row_id(raw.select(*cols))
     raw = (
         spark.read.option("header", True)
         .option("inferSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .csv(path)
     )

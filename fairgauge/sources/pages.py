@@ -25,10 +25,12 @@ def spread(df: DataFrame) -> DataFrame:
     the cluster has slots (a small crawl packed in one row group). A crawl of
     cluster size already scans in thousands of splits and is left alone, so
     HTML is shuffled only when there is little of it."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave it
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

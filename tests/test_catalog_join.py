@@ -82,3 +82,11 @@ def test_hot_key_holds_many_rows(spark, inputs):
     cat, _ = inputs
     top = cat.groupBy("url_key").count().orderBy(F.desc("count")).first()
     assert top["count"] * 3 >= cat.count()  # the fixture's hot page holds over a third
+
+
+def test_read_parquet_catalogue(spark):
+    d = tempfile.mkdtemp(prefix="fairgauge-test-")
+    src = spark.createDataFrame([("A", "http://x/#a", 1), ("B", None, 2)], "`Dataset Name` string, `Website Link` string, n int")
+    src.write.parquet(f"{d}/cat.parquet")
+    rows = read_catalog(spark, f"{d}/cat.parquet").orderBy("row_id").collect()
+    assert [(r["dataset_name"], r["website_link"]) for r in rows] == [("A", "http://x/#a"), ("B", None)]
