@@ -8,8 +8,8 @@ The job's steps, each written to parquet in a fresh scratch folder:
 * ``results``  — requests ⟕ replies, both parsers, validation (OUT-U)
 * ``derived``  — DER-1 … DER-3 from the written results
 
-``value`` is their sum on a warm pass (JIT-compiled regex paths, generated
-code and Python workers warm — the steady state a long job runs in), the
+``value`` is their sum on a warm pass (JIT-compiled regex paths and
+generated code warm — the steady state a long job runs in), the
 median of three warm passes; ``cold`` is the same steps on the first pass in
 a fresh JVM. ``extract_only`` times extraction alone (already inside
 ``requests``, so not added).
