@@ -37,7 +37,12 @@ JVM_ENTITIES = [("&" + n + ";", _ref_value(n)) for n in JVM_ENTITY_NAMES]
 #: Every ';'-terminated named reference of the HTML standard (the stdlib's
 #: table), name without '&' and ';' -> text.
 NAMED_REFS = {k[:-1]: v for k, v in html.entities.html5.items() if k.endswith(";")}
+# Short table looked up first: the names above plus the Latin-1 letters and
+# signs (code points 160-255, the stdlib's names for them), frequent in
+# European pages. A map literal is searched linearly, so the long table is
+# reached only for rare names.
 _COMMON = {n: _ref_value(n) for n in JVM_ENTITY_NAMES if not n.startswith("#")}
+_COMMON.update({html.entities.codepoint2name[cp]: chr(cp) for cp in range(160, 256)})
 
 
 def _special_code_points() -> dict[int, str]:
@@ -92,22 +97,25 @@ def _numeric_value(name: Column) -> Column:
 
 
 def _named_value(name: Column) -> Column:
+    """Text of '&name;', NULL for an unknown name. Each map literal is
+    searched once (a missing key gives NULL); the long one only on a miss."""
     common = F.expr(_COMMON_SQL)
     named = F.from_json(F.lit(_NAMED_JSON), "map<string,string>")
-    return F.when(F.map_contains_key(common, name), common[name]).otherwise(named[name])
+    return F.coalesce(common[name], named[name])
 
 
 def _decode_piece(piece: Column, name: Column, i: Column) -> Column:
     """One piece of the text split at '&': the first piece is plain text;
     any other starts right after an '&' and begins with a reference (``name``,
-    '' if none) or not."""
+    '' if none) or not.
+
+    Lambda bodies are evaluated without common-subexpression elimination, so
+    the reference's value appears once: ``concat`` is NULL when the value is,
+    and ``coalesce`` then keeps the '&' and the piece as they were.
+    """
     value = F.when(name == "", F.lit(None)).when(name.startswith("#"), _numeric_value(name)).otherwise(_named_value(name))
     rest = F.substring(piece, F.length(name) + 2, F.length(piece))
-    return (
-        F.when(i == 0, piece)
-        .when(value.isNull(), F.concat(F.lit("&"), piece))
-        .otherwise(F.concat(value, rest))
-    )
+    return F.when(i == 0, piece).otherwise(F.coalesce(F.concat(value, rest), F.concat(F.lit("&"), piece)))
 
 
 def unescape(c: Column) -> Column:
