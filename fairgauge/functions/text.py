@@ -82,18 +82,31 @@ _SPECIAL_SQL = _sql_map((str(k), sql_str(v)) for k, v in SPECIAL_CODE_POINTS.ite
 REF_HEAD_RE = "^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once. Inside higher-order
+    function lambdas Spark evaluates every occurrence of an expression again;
+    a one-element ``transform`` binds it to a variable instead."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _code_point_text(num: Column) -> Column:
+    special = F.expr(_SPECIAL_SQL)
+    return (
+        F.when((num > 0x10FFFF) | num.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+        .otherwise(F.coalesce(special[num.cast("int")], F.format_string("%c", num.cast("int"))))
+    )
+
+
 def _numeric_value(name: Column) -> Column:
     """Text of '&#...;' by the HTML standard's rules (as html.unescape)."""
     hexa = name.rlike("^#[xX]")
     digits = F.ltrim(F.when(hexa, F.substring(name, 3, 16)).otherwise(F.substring(name, 2, 16)), F.lit("0"))
-    too_big = F.length(digits) > F.when(hexa, F.lit(6)).otherwise(F.lit(7))
-    num = F.coalesce(F.when(hexa, F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint"), F.lit(0))
-    special = F.expr(_SPECIAL_SQL)
-    return (
-        F.when(too_big | (num > 0x10FFFF) | num.between(0xD800, 0xDFFF), F.lit("\ufffd"))
-        .when(F.map_contains_key(special, num.cast("int")), special[num.cast("int")])
-        .otherwise(F.format_string("%c", num.cast("int")))
+    # More than 6 hex or 7 decimal digits (leading zeros dropped) is past
+    # U+10FFFF; the sentinel keeps such runs out of the casts.
+    num = F.when(F.length(digits) > F.when(hexa, F.lit(6)).otherwise(F.lit(7)), F.lit(0x110000)).otherwise(
+        F.coalesce(F.when(hexa, F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint"), F.lit(0))
     )
+    return let(num, _code_point_text)
 
 
 def _named_value(name: Column) -> Column:

@@ -77,7 +77,8 @@ def raw_hrefs(clean: Column) -> Column:
     """EX-6, first half: href values of ``<a>`` tags in document order, quotes
     removed, joined by the node separator so that one decode covers them."""
     tags = F.regexp_extract_all(clean, F.lit(P.ANCHOR_TAG_RE), 0)
-    return F.array_join(F.transform(tags, lambda t: unquote(F.regexp_extract(t, P.HREF_VALUE_RE, 1))), P.NODE_SEP)
+    values = F.transform(tags, lambda t: F.regexp_extract(t, P.HREF_VALUE_RE, 1))
+    return F.array_join(F.transform(values, unquote), P.NODE_SEP)
 
 
 def download_links(decoded_hrefs: Column) -> Column:
