@@ -74,8 +74,12 @@ def _sql_map(pairs) -> str:
 _COMMON_SQL = _sql_map((sql_str(k), sql_str(v)) for k, v in _COMMON.items())
 # The full table is one JSON string literal read by from_json: constant
 # folding turns it into a map literal once, instead of analysing a map()
-# call with thousands of arguments in every plan.
-_NAMED_JSON = json.dumps(NAMED_REFS)
+# call with thousands of arguments in every plan. Map literals are searched
+# linearly, so names are grouped by first letter: two short searches.
+_BY_LETTER: dict[str, dict[str, str]] = {}
+for _name, _text in NAMED_REFS.items():
+    _BY_LETTER.setdefault(_name[0], {})[_name] = _text
+_NAMED_JSON = json.dumps(_BY_LETTER)
 _SPECIAL_SQL = _sql_map((str(k), sql_str(v)) for k, v in SPECIAL_CODE_POINTS.items())
 
 #: A reference at the start of the text that follows an '&'.
@@ -113,8 +117,8 @@ def _named_value(name: Column) -> Column:
     """Text of '&name;', NULL for an unknown name. Each map literal is
     searched once (a missing key gives NULL); the long one only on a miss."""
     common = F.expr(_COMMON_SQL)
-    named = F.from_json(F.lit(_NAMED_JSON), "map<string,string>")
-    return F.coalesce(common[name], named[name])
+    named = F.from_json(F.lit(_NAMED_JSON), "map<string,map<string,string>>")
+    return F.coalesce(common[name], named[F.substring(name, 1, 1)][name])
 
 
 def _decode_piece(piece: Column, name: Column, i: Column) -> Column:
