@@ -28,19 +28,28 @@ def _has_all_cells(reply: Column) -> Column:
     )
 
 
-def _parse(reply: Column, pattern: str) -> dict[str, Column]:
-    ok = F.coalesce(_has_all_cells(reply) & reply.rlike(pattern), F.lit(False))
-
-    def group(i: int) -> Column:
-        return F.regexp_extract(reply, pattern, i)
-
-    out = {"parse_ok": ok, "parsed_dataset_name": F.when(ok, strip(group(1)))}
+def matched_text(reply: Column, pattern: str) -> Column:
+    """The text the pattern matches in the reply ('' when none): the one full
+    scan of the reply. A match is never empty (it holds at least the pipes)."""
+    return F.coalesce(F.when(_has_all_cells(reply), F.regexp_extract(reply, pattern, 0)), F.lit(""))
+
+
+def _groups(match: Column, pattern: str) -> dict[str, Column]:
+    """PA-3 … PA-5 from the matched text. Searching the pattern again inside
+    its own match gives the same groups: the match starts at 0, and every
+    greedy or lazy choice was already bounded by the same end."""
+    ok = match != ""
+    out = {"parse_ok": ok, "parsed_dataset_name": F.when(ok, strip(F.regexp_extract(match, pattern, 1)))}
     for i, name in enumerate(SCORE_COLUMNS, start=2):
         # int() of a digit run; a run beyond BIGINT becomes NULL (and invalid).
-        out[name] = F.when(ok, group(i).try_cast("bigint"))
+        out[name] = F.when(ok, F.regexp_extract(match, pattern, i).try_cast("bigint"))
     return out
 
 
+def _parse(reply: Column, pattern: str) -> dict[str, Column]:
+    return _groups(matched_text(reply, pattern), pattern)
+
+
 def strict(reply: Column) -> dict[str, Column]:
     """PA-1 (dialect A) with PA-3 … PA-5."""
     return _parse(reply, P.STRICT_REPLY_RE)
@@ -53,17 +62,26 @@ def lenient(reply: Column) -> dict[str, Column]:
 
 def with_parsed(df: DataFrame, reply: str = "response", dialect: str | None = "dialect") -> DataFrame:
     """Add ``parse_ok, parsed_dataset_name, f/a/i/r_score`` using each row's
-    dialect (or the strict/lenient form alone when ``dialect`` is 'A'/'B')."""
+    dialect (or the strict/lenient form alone when ``dialect`` is 'A'/'B').
+
+    The reply is scanned once, in its own projection; the groups then come
+    from the short matched text.
+    """
     r = F.col(reply)
     if dialect in ("A", "B"):
         cols = strict(r) if dialect == "A" else lenient(r)
-    else:
-        a, b = strict(r), lenient(r)
-        is_a = F.col(dialect) == "A"
-        cols = {k: F.when(is_a, a[k]).otherwise(b[k]) for k in a}
-    for name, expr in cols.items():
-        df = df.withColumn(name, expr)
-    return df
+        for name, expr in cols.items():
+            df = df.withColumn(name, expr)
+        return df
+    is_a = F.col(dialect) == "A"
+    staged = df.withColumn(
+        "_match",
+        F.when(is_a, matched_text(r, P.STRICT_REPLY_RE)).otherwise(matched_text(r, P.LENIENT_REPLY_RE)),
+    )
+    a, b = _groups(F.col("_match"), P.STRICT_REPLY_RE), _groups(F.col("_match"), P.LENIENT_REPLY_RE)
+    for name in a:
+        staged = staged.withColumn(name, F.when(is_a, a[name]).otherwise(b[name]))
+    return staged.drop("_match")
 
 
 def multi_row_reply(reply: Column) -> Column:
