@@ -8,6 +8,7 @@ with the Spark side. Views ``pages nation region`` are expected to exist.
 
 from __future__ import annotations
 
+import html.entities
 import re
 
 from fairgauge.functions import patterns as P
@@ -30,8 +31,16 @@ def strip(e: str) -> str:
     return f"trim({e}, {WS_CHARS})"
 
 
+# The common references plus the Latin-1 names, '&amp;' last (no decoded
+# value contains '&', so the chain never decodes its own output).
+_ORACLE_ENTITIES = [x for x in JVM_ENTITIES if x[0] != "&amp;"] + [
+    (f"&{html.entities.codepoint2name[cp]};", chr(cp)) for cp in range(160, 256)
+    if f"&{html.entities.codepoint2name[cp]};" not in dict(JVM_ENTITIES)
+] + [("&amp;", "&")]
+
+
 def unesc(e: str) -> str:
-    for ref, value in JVM_ENTITIES:
+    for ref, value in _ORACLE_ENTITIES:
         e = f"replace({e}, {q(ref)}, {q(value)})"
     return e
 
