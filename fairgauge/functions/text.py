@@ -17,8 +17,8 @@ from fairgauge.functions.patterns import PY_WHITESPACE
 
 # ---------------------------------------------------------------------------
 # The most frequent named references, looked up first in a
-# short table (values from the HTML standard). The oracle decodes exactly
-# these with a chain of replace() calls, '&amp;' last.
+# short table (values from the HTML standard). The oracle decodes these and
+# the Latin-1 names with a chain of replace() calls, '&amp;' last.
 # ---------------------------------------------------------------------------
 JVM_ENTITY_NAMES = [
     "lt", "gt", "quot", "apos", "nbsp", "copy", "reg", "trade", "middot",
