@@ -23,11 +23,16 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new place in the shared scratch folder."""
+    return f"{scratch_root(spark).rstrip('/')}/fairgauge-llm/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a table of its own in the shared scratch folder and read
     it back: later reads neither recompute it nor depend on any executor."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark).rstrip('/')}/fairgauge-llm/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

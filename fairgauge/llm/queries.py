@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fairgauge.llm import cascade, contentsort
-from fairgauge.llm.common import read_table
+from fairgauge.llm import cascade, contentsort, dac, packing
+from fairgauge.llm.common import read_table, scratch_path
 
 URL_RULES = (
     cascade.Rule("net", "/", "block"),
@@ -17,6 +18,16 @@ URL_RULES = (
 )
 
 
+def op2_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "dac-tokens")
+    dac.write_tokens(read_table(spark, sf_dir, "documents"), path)
+    return dac.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op3_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 def op7_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.filter_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -26,6 +37,8 @@ def op9_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_dac_tokens": op2_dac_tokens,
+    "op3_sum_of_squares": op3_sum_of_squares,
     "op7_url_cascade": op7_url_cascade,
     "op9_content_sort": op9_content_sort,
 }
