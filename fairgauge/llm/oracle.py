@@ -34,7 +34,38 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
 FROM n
 """
 
+#: Position (and with it the order) is left out: the schedules' inverse is checked by tests.
+MIXING = r"""
+WITH d AS (
+  SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, source,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))) AS place FROM documents
+), p AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc_id
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM d
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         (row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 AS turn FROM d GROUP BY source
+), w AS (
+  SELECT *, CASE turn WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 2.0 END AS weight, 2.0 * source_size AS most FROM s
+), f AS (
+  SELECT *, row_number() OVER (ORDER BY most / weight, source IS NULL, encode(source)) AS k FROM w
+), l AS (
+  SELECT a.*, (1.5 * (SELECT sum(source_size) FROM f) - coalesce((SELECT sum(most) FROM f b WHERE b.k < a.k), 0))
+              / ((SELECT sum(weight) FROM f) - coalesce((SELECT sum(weight) FROM f b WHERE b.k < a.k), 0)) AS level FROM f a
+), o AS (
+  SELECT min(k) AS k, min_by(level, k) AS level FROM l WHERE most / weight > level
+), t AS (
+  SELECT l.source, l.source_size, CAST(CASE WHEN l.k >= o.k THEN o.level * weight ELSE most END AS DOUBLE) AS target
+  FROM l LEFT JOIN o ON true
+)
+SELECT doc_id, size, source_size, target,
+       CAST(greatest(0, least(floor(target), start + size) - start)
+            + greatest(0, least(floor(target), source_size + start + size) - source_size - start) AS BIGINT) AS taken
+FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op6_curriculum": MIXING,
     "op7_url_cascade": URL_CASCADE,
     "op9_content_sort": CONTENT_SORT,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairgauge.llm import cascade, contentsort, dac, packing
+from fairgauge.llm import cascade, contentsort, dac, importance, mixing, packing
 from fairgauge.llm.common import read_table, scratch_path
 
 URL_RULES = (
@@ -18,6 +18,10 @@ URL_RULES = (
 )
 
 
+def op1_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_dac_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "dac-tokens")
     dac.write_tokens(read_table(spark, sf_dir, "documents"), path)
@@ -28,6 +32,11 @@ def op3_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op6_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix_plan(read_table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.filter_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -37,8 +46,10 @@ def op9_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_importance": op1_importance,
     "op2_dac_tokens": op2_dac_tokens,
     "op3_sum_of_squares": op3_sum_of_squares,
+    "op6_curriculum": op6_curriculum,
     "op7_url_cascade": op7_url_cascade,
     "op9_content_sort": op9_content_sort,
 }
