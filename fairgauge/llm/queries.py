@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairgauge.llm import cascade, contentsort, dac, importance, mixing, packing
+from fairgauge.llm import cascade, contentsort, dac, importance, mixing, packing, toxicity
 from fairgauge.llm.common import read_table, scratch_path
 
 URL_RULES = (
@@ -45,6 +45,10 @@ def op9_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contentsort.group_copies(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op10_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance": op1_importance,
     "op2_dac_tokens": op2_dac_tokens,
@@ -52,4 +56,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_curriculum": op6_curriculum,
     "op7_url_cascade": op7_url_cascade,
     "op9_content_sort": op9_content_sort,
+    "op10_boosted_trees": op10_boosted_trees,
 }

@@ -58,23 +58,32 @@ class Words:
     ends: np.ndarray
     hashes: np.ndarray
     first: np.ndarray
+    sums: np.ndarray
+
+    def prefixes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the first ``n`` bytes of the longer words, and which those are."""
+        longer = np.flatnonzero(self.ends - self.starts > n)
+        at = self.starts[longer]
+        return mix((self.sums[at + n] - self.sums[at]) * _power(INVERSE, len(self.data))[at] + np.uint64(n)), longer
 
     @property
     def doc(self) -> np.ndarray:
         return np.repeat(np.arange(self.n_docs), np.diff(self.first))
 
 
-def words_of(texts: list[bytes]) -> Words:
+def words_of(texts: list[bytes], separators: np.ndarray = SPACE, folded: np.ndarray = LOWER) -> Words:
+    """``separators``: bytes that end a word (space among them); ``folded``: the byte
+    that each byte is hashed as."""
     data = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
-    inside = np.concatenate([[False], ~SPACE[data[1:-1]], [False]])
+    inside = ~separators[data]
     turns = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     starts, ends = turns[0::2], turns[1::2]
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_VALUE[LOWER[data]] * _power(BASE, len(data)), out=sums[1:])
+    np.cumsum(BYTE_VALUE[folded[data]] * _power(BASE, len(data)), out=sums[1:])
     hashes = mix((sums[ends] - sums[starts]) * _power(INVERSE, len(data))[starts] + (ends - starts).astype(np.uint64))
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     bounds = np.concatenate([[1], 1 + np.cumsum(lengths)])
-    return Words(len(texts), data, starts, ends, hashes, np.searchsorted(starts, bounds))
+    return Words(len(texts), data, starts, ends, hashes, np.searchsorted(starts, bounds), sums)
 
 
 def chunks(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
