@@ -64,8 +64,31 @@ SELECT doc_id, size, source_size, target,
 FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
 """
 
+PARITY_JOIN = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4
+    THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ') || ' ' || len(w)] ELSE [] END) AS shingle FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM g a JOIN g b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)
+), edges AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM w UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a
+)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op6_curriculum": MIXING,
     "op7_url_cascade": URL_CASCADE,
+    "op8_parity_join": PARITY_JOIN,
     "op9_content_sort": CONTENT_SORT,
 }

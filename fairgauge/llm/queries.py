@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairgauge.llm import cascade, contentsort, dac, importance, mixing, packing, toxicity
+from fairgauge.llm import cascade, contentsort, dac, importance, mixing, packing, parity, toxicity
 from fairgauge.llm.common import read_table, scratch_path
 
 URL_RULES = (
@@ -41,6 +42,11 @@ def op7_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.filter_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return parity.group_similar(docs, words=4, threshold=Fraction(85, 100)).drop("text_hash")
+
+
 def op9_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contentsort.group_copies(read_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -55,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sum_of_squares": op3_sum_of_squares,
     "op6_curriculum": op6_curriculum,
     "op7_url_cascade": op7_url_cascade,
+    "op8_parity_join": op8_parity_join,
     "op9_content_sort": op9_content_sort,
     "op10_boosted_trees": op10_boosted_trees,
 }
