@@ -64,6 +64,24 @@ SELECT doc_id, size, source_size, target,
 FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
 """
 
+FLAT_GRAPH = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), u AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v
+  WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_dot_product(e, e) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) >= 0.9 * a.n * b.n
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v LEFT JOIN (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a) USING (vec_id)
+JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a) USING (vec_id)
+"""
+
 PARITY_JOIN = rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -87,6 +105,7 @@ FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_flat_graph": FLAT_GRAPH,
     "op6_curriculum": MIXING,
     "op7_url_cascade": URL_CASCADE,
     "op8_parity_join": PARITY_JOIN,
