@@ -9,7 +9,8 @@ centroid: a greedy search from the shard's medoid (and from the node itself, bei
 the graph), then expansion of all that lies in range, a margin below the threshold, until
 nothing new is in range. What was found is verified by cosine in double precision.
 
-A shard hands on counts and a spanning forest of its links, never the links themselves.
+A shard of more than ``BLOCK_NODES`` nodes is cut into blocks, each with a graph of its
+own, and the queries of each block go to all of them. A shard hands on counts and a spanning forest of its links, never the links themselves.
 The recall is audited: a bounded number of queries is compared with all vectors by brute
 force, and while less than ``LEAST_RECALL`` of their links was found the search is
 repeated with more overlap.
@@ -37,6 +38,9 @@ from fairgauge.llm.components import components
 #: Nodes of a shard on average, before overlap, and centroids at most (2 MB at 64 doubles).
 SHARD_NODES = 1000
 MOST_SHARDS = 4096
+#: Nodes of a block: a larger shard is searched block by block, so that no task holds
+#: more than two blocks however large a tight group is.
+BLOCK_NODES = 8192
 #: Vectors that the centroids are fitted on at most, and rounds of fitting.
 SAMPLE_ROWS = 16_384
 FIT_ROUNDS = 8
@@ -65,8 +69,8 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(vectors, pa.binary())], names=batch.schema.names)
 
 
-def fit_centroids(sample: np.ndarray, k: int) -> np.ndarray:
-    """Spherical k-means."""
+def fit_centroids(sample: np.ndarray, k: int, apart: float) -> np.ndarray:
+    """Spherical k-means; of centroids whose cosine is ``apart`` or more one stays."""
     rng = np.random.default_rng(SEED)
     centroids = sample[rng.permutation(len(sample))[:k]]
     for _ in range(FIT_ROUNDS):
@@ -75,7 +79,11 @@ def fit_centroids(sample: np.ndarray, k: int) -> np.ndarray:
         np.add.at(sums, nearest, sample)
         size = np.linalg.norm(sums, axis=1, keepdims=True)
         centroids = np.where(size > 0, sums / np.maximum(size, 1e-300), centroids)
-    return centroids
+    alone = np.ones(k, bool)  # a tight group isn't cut by several centroids inside of it
+    for i in range(k):
+        if alone[i]:
+            alone[i + 1 :] &= centroids[i + 1 :] @ centroids[i] < apart
+    return centroids[alone]
 
 
 def _deal(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, overlap: int) -> Iterator[pa.RecordBatch]:
@@ -123,11 +131,8 @@ def build_graph(x: np.ndarray) -> list[np.ndarray]:
                 if j != i:
                     lists[i].add(j)
                     lists[j].add(i)
-    out = []
-    for i, edges in enumerate(lists):
-        edges = np.fromiter(edges, np.int64, len(edges))
-        out.append(robust_prune(x, i, edges, 2 * DEGREE) if len(edges) > 4 * DEGREE else edges)
-    return out
+    # Reverse edges aren't pruned again: a node is reached from whatever it points to.
+    return [np.fromiter(edges, np.int64, len(edges)) for edges in lists]
 
 
 def _adjacency(group: pd.DataFrame) -> pd.DataFrame:
@@ -136,50 +141,51 @@ def _adjacency(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": node, "neighbours": [node[e] for e in lists]})
 
 
-def range_search(x: np.ndarray, lists: list[np.ndarray], query: int, medoid: int, threshold: float) -> np.ndarray:
-    """Nodes whose cosine with node ``query`` is at least ``threshold``, itself left out."""
-    q = x[query]
-    start = np.unique([medoid, query])
+def range_search(x: np.ndarray, lists: list[np.ndarray], q: np.ndarray, start: np.ndarray, threshold: float) -> np.ndarray:
+    """Nodes whose cosine with ``q`` is at least ``threshold``, searched from ``start``."""
     cosine = dict(zip(start.tolist(), (x[start] @ q).tolist(), strict=True))
     opened: set[int] = set()
 
-    def look(at: np.ndarray) -> None:
-        new = np.array([j for j in set(np.concatenate([lists[i] for i in at]).tolist()) if j not in cosine], np.int64) if len(at) else at
+    def look(at: list[int]) -> None:
+        opened.update(at)
+        new = np.array([j for j in set(np.concatenate([lists[i] for i in at]).tolist()) if j not in cosine], np.int64)
         if len(new):
             cosine.update(zip(new.tolist(), (x[new] @ q).tolist(), strict=True))
-        opened.update(at.tolist())
 
-    while True:  # the beam's best node that isn't opened yet
+    while True:  # the beam's best nodes that aren't opened yet
         beam = sorted(cosine, key=cosine.get, reverse=True)[:BEAM]
         closed = [i for i in beam if i not in opened]
         if not closed:
             break
-        look(np.array(closed[:4], np.int64))
-    while True:  # all in range, ever further
-        reach = [i for i, c in cosine.items() if c >= threshold - MARGIN and i not in opened]
-        if not reach:
-            break
-        look(np.array(reach, np.int64))
-    found = np.array([i for i, c in cosine.items() if c >= threshold - MARGIN and i != query], np.int64)
+        look(closed[:4])
+    while reach := [i for i, c in cosine.items() if c >= threshold - MARGIN and i not in opened]:
+        look(reach)  # all in range, ever further
+    found = np.array([i for i, c in cosine.items() if c >= threshold - MARGIN], np.int64)
     return found[x[found] @ q >= threshold] if len(found) else found
 
 
 def _search(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """For each node at home: its number of links (copies of others counted). For each
-    linked node: the smallest node that it hangs together with in this shard."""
-    group = group.sort_values("node", kind="stable")
-    node, copies, x = group["node"].to_numpy(), group["copies"].to_numpy(), _matrix(group["vector"])
-    places = {v: i for i, v in enumerate(node.tolist())}
-    lists = [np.array([places[v] for v in e if v in places], np.int64) for e in group["neighbours"]]
-    medoid = int((x @ x.mean(axis=0)).argmax())
+    """The queries of one block among the nodes of another (or the same). For each query
+    its number of links here (copies of others counted); for each linked node the
+    smallest node that it hangs together with here."""
+    group = group.sort_values(["data", "node"], ascending=[False, True], kind="stable")
+    n = int(group["data"].sum())
+    node, copies = group["node"].to_numpy(), group["copies"].to_numpy()[:n]
+    every = _matrix(group["vector"])
+    x = every[:n]
+    places = {v: i for i, v in enumerate(node[:n].tolist())}
+    lists = [np.array([places[v] for v in e if v in places], np.int64) for e in group["neighbours"].iloc[:n]]
+    medoid = int((x @ x.mean(axis=0)).argmax()) if n else 0
     root, counts = np.arange(len(node)), {}
-    for i in np.flatnonzero(group["home"].to_numpy()):
-        found = range_search(x, lists, int(i), medoid, threshold)
+    for i in np.flatnonzero(group["query"].to_numpy()) if n else ():
+        start = np.unique([medoid, i]) if i < n else np.array([medoid])  # a node is in its own graph
+        found = range_search(x, lists, every[i], start, threshold)
+        found = found[found != i]
         counts[int(i)] = int(copies[found].sum())
         if len(found):
             roots = np.unique(root[np.append(found, i)])
             if len(roots) > 1:
-                root[np.isin(root, roots)] = roots[0]
+                root[np.isin(root, roots)] = roots[np.argmin(node[roots])]
     home = np.fromiter(counts, np.int64, len(counts))
     hung = np.flatnonzero(root != np.arange(len(node)))
     return pd.concat(
@@ -190,6 +196,22 @@ def _search(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
     ).astype({"links": "Int64", "root": "Int64", "node": "int64"})
 
 
+def _units(dealt: DataFrame, united: DataFrame) -> DataFrame:
+    """What each pair of blocks of a shard needs: the nodes of ``at`` with their lists,
+    and the nodes at home of ``of`` as queries."""
+    every, other = F.sequence(F.lit(0), F.col("blocks") - 1), F.col("other")
+    rows = dealt.join(united, "node").withColumn("other", F.explode(every))
+    data = rows.select(
+        "shard", F.col("block").alias("at"), other.alias("of"), "node", "copies", "vector", "neighbours",
+        F.lit(True).alias("data"), (F.col("home") & (other == F.col("block"))).alias("query"),
+    )
+    queries = rows.where(F.col("home") & (other != F.col("block"))).select(
+        "shard", other.alias("at"), F.col("block").alias("of"), "node", "copies", "vector",
+        F.lit(None).cast("array<bigint>").alias("neighbours"), F.lit(False).alias("data"), F.lit(True).alias("query"),
+    )
+    return data.unionByName(queries)
+
+
 def _brute_force(batches: Iterator[pa.RecordBatch], queries: dict[int, bytes], threshold: float) -> Iterator[pa.RecordBatch]:
     ids, q = np.array(list(queries), np.int64), _matrix(list(queries.values()))
     for batch in batches:
@@ -212,7 +234,7 @@ def audit(nodes: DataFrame, counts: DataFrame, threshold: float, queries: int =
 
 
 def near_duplicates(
-    vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", overlap: int = 2
+    vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", overlap: int = 3
 ) -> DataFrame:
     """``id_col``, n_links, component_id, kept of each vector."""
     raw = F.col(vector_col).cast("array<double>")
@@ -233,7 +255,7 @@ def near_duplicates(
     found = None
     if n:
         sample = nodes.orderBy(F.xxhash64("node", F.lit(SEED)), "node").limit(SAMPLE_ROWS).select("vector").collect()
-        centroids = fit_centroids(_matrix([bytes(r.vector) for r in sample]), min(MOST_SHARDS, math.ceil(n / SHARD_NODES), len(sample)))
+        centroids = fit_centroids(_matrix([bytes(r.vector) for r in sample]), min(MOST_SHARDS, math.ceil(n / SHARD_NODES), len(sample)), threshold)
     while n:
         spread = overlap
         dealt = materialise(
@@ -242,20 +264,22 @@ def near_duplicates(
             ),
             "graph-shards",
         )
-        lists = dealt.groupBy("shard").applyInPandas(_adjacency, "node long, neighbours array<bigint>")
+        sizes = dealt.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"))
+        dealt = dealt.join(F.broadcast(sizes), "shard").withColumn("block", F.pmod(F.xxhash64("node", "shard"), "blocks").cast("int"))
+        lists = dealt.groupBy("shard", "block").applyInPandas(_adjacency, "node long, neighbours array<bigint>")
         united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
-        searched = dealt.join(united, "node").groupBy("shard").applyInPandas(
+        searched = _units(dealt, united).groupBy("shard", "at", "of").applyInPandas(
             lambda g: _search(g, threshold), "node long, links long, root long"
         )
         found = materialise(searched, "graph-links")
-        got, exist = audit(nodes, found.where(F.col("links").isNotNull()), threshold)
+        counts = found.groupBy("node").agg(F.sum("links").alias("links"))
+        got, exist = audit(nodes, counts, threshold)
         if got >= LEAST_RECALL * exist or overlap >= min(MOST_OVERLAP, len(centroids)):
             break
         overlap += 1
     if found is None:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     parts = components(found.where(F.col("root").isNotNull()), "node", "root")
-    counts = found.where(F.col("links").isNotNull()).select("node", "links")
     known = nodes.drop("vector").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = known.groupBy("component").agg(F.min("id").alias("component_id"))
     by_node = known.join(smallest, "component").join(counts, "node", "left").select(
