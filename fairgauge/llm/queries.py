@@ -8,7 +8,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairgauge.llm import cascade, contentsort, dac, flatgraph, importance, mixing, packing, parity, toxicity
+from fairgauge.llm import cascade, contentsort, dac, flatgraph, importance, mixing, packing, parity, toxicity, wrapper
 from fairgauge.llm.common import read_table, scratch_path
 
 URL_RULES = (
@@ -33,6 +33,10 @@ def op3_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op4_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op5_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatgraph.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance": op1_importance,
     "op2_dac_tokens": op2_dac_tokens,
     "op3_sum_of_squares": op3_sum_of_squares,
+    "op4_wrapper_induction": op4_wrapper_induction,
     "op5_flat_graph": op5_flat_graph,
     "op6_curriculum": op6_curriculum,
     "op7_url_cascade": op7_url_cascade,
