@@ -1,30 +1,62 @@
-"""From raw documents to packed sequences, one operator after the other."""
+"""From raw documents to packed sequences: each stage reads what the one before wrote.
+
+Every stage judges the rows its predecessor kept, and its decisions take effect: rejected
+documents and all but one of each group of copies or near copies go, the mix repeats or
+leaves out whole documents. All stages but the last return the columns of ``documents``;
+the last returns a row per packed piece.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fairgauge.llm import contentsort
+from fairgauge.llm import contentsort, importance, mixing, packing, parity
 from fairgauge.llm.common import materialise, read_table
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Importance resampling (1) towards the labelled good documents."""
+    return importance.classify(docs, read_table(spark, sf_dir, "labels"), rows=True)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays, that with the smallest id."""
+    """Content sort (9); of equal texts that with the smallest id stays."""
     return contentsort.drop_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Parity-sketch join (8) on five-word shingles at similarity 0.8; of linked
+    documents that with the smallest id stays."""
+    return parity.drop_similar(docs, words=5, threshold=Fraction(4, 5))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Curriculum (6): whole documents in training order, repeated up to twice."""
+    return mixing.mix_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sum-of-squares packing (3) of the mix's documents."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mix", mix),
+    ("pack", pack),
 ]
 
-#: SQL can't express the tokenizer's ids.
+#: SQL can't express the tokenizer's ids; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again by the next."""
+    """All stages over ``documents``, each written as Parquet and read again by the next."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
