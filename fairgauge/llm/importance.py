@@ -17,7 +17,8 @@ Exact at any size: the k-th key is found by counting keys in ever finer ranges,
 by sorting all.
 
 The target model and the cut are fitted on at most ``SAMPLE_ROWS`` labelled rows of
-each class, those of least id hash; the raw model counts every document.
+each class, those of least id hash; the good rows of the cut are kept from the model.
+The raw model counts every document.
 
 Defined cases: a null or empty text has log weight 0; rows of one id share their noise;
 rows with the k-th key all stay; an id labelled both ways counts as rejected; without
@@ -41,8 +42,11 @@ from fairgauge.llm.words import Words, chunks, mix, words_of
 SAMPLE_ROWS = 20_000
 #: Buckets of the word model and of the shape model.
 BUCKETS = 1 << 13
-#: Added to each bucket's count.
-SMOOTHING = 1.0
+#: The target model is drawn towards the raw one as if it had seen so many more n-grams of
+#: raw text per bucket: many of words, most of which are rare, few of shapes.
+PRIOR = (50.0, 5.0)
+#: Of the sampled good rows, one in so many is kept from the model for the cut.
+CUT_PART = 4
 SEED = 17
 
 _CLASS = np.zeros((5, 256), np.int64)  # lower case, upper case, digit, ASCII mark, other
@@ -111,7 +115,7 @@ def _scores(batches: Iterator[pa.RecordBatch], ratio: np.ndarray) -> Iterator[pa
     for batch in batches:
         for part, texts in chunks(batch):
             bucket, doc = features(words_of(texts))
-            weight = np.bincount(doc, weights=ratio[bucket], minlength=len(texts))
+            weight = np.bincount(doc, weights=ratio[bucket], minlength=len(texts)).astype(float)  # long if all are empty
             others = [part.column(i) for i in range(part.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*others, pa.array(weight)], names=[*part.schema.names[:-1], "log_weight"])
 
@@ -131,10 +135,12 @@ def log_ratio(docs: DataFrame, target_ids: DataFrame) -> np.ndarray:
     for r in rows:
         counts[0, r.bucket // BUCKETS, r.bucket % BUCKETS] = r.raw
         counts[1, r.bucket // BUCKETS, r.bucket % BUCKETS] = r.good
-    if not counts[1].any():
-        return np.zeros(2 * BUCKETS)
-    p = np.log(counts + SMOOTHING) - np.log(counts.sum(axis=2, keepdims=True) + SMOOTHING * BUCKETS)
-    return (p[1] - p[0]).ravel()
+    out = np.zeros((2, BUCKETS))
+    for k, (raw, good) in enumerate(zip(*counts, strict=True)):
+        if good.any():
+            prior, p = PRIOR[k] * BUCKETS, np.maximum(raw, 1) / raw.sum()  # a bucket without raw text is never looked up
+            out[k] = np.log((good / p + prior) / (good.sum() + prior))
+    return out.ravel()
 
 
 def gumbel(id_: Column, seed: int) -> Column:
@@ -183,14 +189,15 @@ def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
 
 
 def labelled_sample(labels: DataFrame, id_col: str, sample_rows: int, seed: int) -> DataFrame:
-    """id and ``good`` of at most ``sample_rows`` rows of each class."""
+    """id, ``good`` and ``for_cut`` of at most ``sample_rows`` rows of each class."""
     rated = (
         labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull())
         .groupBy(F.col(id_col).alias("id"))
         .agg((F.min("quality") == 1).alias("good"))
     )
     some = [rated.where(F.col("good") == x).orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample_rows) for x in (True, False)]
-    return some[0].unionByName(some[1])
+    for_cut = ~F.col("good") | (F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(CUT_PART)) == 0)
+    return some[0].unionByName(some[1]).withColumn("for_cut", for_cut)
 
 
 def classify(
@@ -201,7 +208,7 @@ def classify(
     documents in their own columns. ``labels`` has ``id_col`` and ``quality``."""
     texts = docs.select(F.col(id_col).alias("id"), "text")
     sample = materialise(labelled_sample(labels, id_col, sample_rows, seed), "importance-sample")
-    ratio = log_ratio(texts, sample.where("good").select("id"))
+    ratio = log_ratio(texts, sample.where(~F.col("for_cut")).select("id"))
 
     def score(frame: DataFrame) -> DataFrame:
         schema = frame.drop("text").schema.add("log_weight", "double")
@@ -209,7 +216,7 @@ def classify(
         return scored.withColumn("key", F.col("log_weight") + gumbel(F.col("id"), seed))
 
     scored = materialise(score(texts), "importance")
-    known = scored.join(F.broadcast(sample), "id").groupBy("id", "good").agg(F.min("log_weight").alias("w")).collect()
+    known = scored.join(F.broadcast(sample.where("for_cut")), "id").groupBy("id", "good").agg(F.min("log_weight").alias("w")).collect()
     cut = best_cut(np.array([r.w for r in known if r.good]), np.array([r.w for r in known if not r.good]))
     bound = kth_largest(scored.select("key"), scored.where(F.col("log_weight") > cut).count())
     if not rows:
