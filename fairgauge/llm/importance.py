@@ -12,7 +12,8 @@ word before is repeated. Words tell subject and language, shapes tell running te
 from lists, shouting, symbols and repetitions, whatever the language.
 
 k is the number of documents whose weight lies above the cut that tells labelled good
-from labelled rejected rows with fewest errors, halfway between the rows around it.
+from labelled rejected rows with fewest errors, halfway between the rows around it,
+and never above minus log 2, so that no text is rejected for being short.
 Exact at any size: the k-th key is found by counting keys in ever finer ranges, never
 by sorting all.
 
@@ -218,6 +219,7 @@ def classify(
     scored = materialise(score(texts), "importance")
     known = scored.join(F.broadcast(sample.where("for_cut")), "id").groupBy("id", "good").agg(F.min("log_weight").alias("w")).collect()
     cut = best_cut(np.array([r.w for r in known if r.good]), np.array([r.w for r in known if not r.good]))
+    cut = min(cut, -math.log(2))
     bound = kth_largest(scored.select("key"), scored.where(F.col("log_weight") > cut).count())
     if not rows:
         return scored.select(F.col("id").alias(id_col), "log_weight", "key", (F.col("key") >= bound).alias("kept"))
