@@ -2,12 +2,11 @@
 the DuckDB oracle.
 
 Spark evaluates patterns with ``java.util.regex``; the oracle runs them on
-DuckDB's RE2. Every pattern here stays inside the subset both dialects read
-the same way: no look-around, no possessive quantifiers, code points written
-``\\x{...}``, and whitespace classes spelled out instead of ``\\s`` (Java's
-``\\s`` includes vertical tab, RE2's does not, Python's covers all Unicode
-spaces). Where the two engines need different flags the pattern comes in a
-``*_JAVA`` and a ``*_RE2`` form.
+DuckDB's RE2. Patterns that both run stay inside the subset both dialects read
+the same way: no look-around, code points written ``\\x{...}``, and whitespace
+classes spelled out instead of ``\\s`` (Java's ``\\s`` includes vertical tab,
+RE2's does not, Python's covers all Unicode spaces). Where the engines need
+different forms (possessive quantifiers, flags) the pattern has a ``*_RE2`` twin.
 """
 
 from __future__ import annotations
@@ -43,6 +42,8 @@ HWS = "[ \\t\\n\\f\\r]"
 #: Marks a text-node boundary while HTML is flattened to text. Not in ``WS``.
 NODE_SEP = "\x01"
 NODE_SEP_RE = "\\x01"
+#: Stands for a page's own ``NODE_SEP`` while its text is marked (a noncharacter).
+HELD = "\ufdd0"
 
 # Element content the DOM never shows as text: comments, script, style and
 # template bodies. An unclosed block runs to the end of the document. The
@@ -56,18 +57,18 @@ _HIDDEN = (
 
 
 def _tag(head: str, java: bool) -> str:
-    """A tag whose quoted attribute values may hold '>'.
+    """A tag whose quoted attribute values may hold '>'. As in HTML, a quote
+    opens a value only behind '='; elsewhere it is an ordinary character.
 
     Java runs a repeated group with alternatives by recursion, one frame per
     repetition: a long unquoted attribute (an inline data URI) overflows the
     stack and kills the executor. The Java form therefore uses possessive
-    quantifiers, which Java runs as a loop; the alternatives start with
-    different characters, so nothing is lost by not backtracking. RE2 has no
-    backtracking and takes the plain form.
+    quantifiers, which Java runs as a loop. RE2 has no backtracking and takes
+    the plain form.
     """
     if java:
-        return head + r"""(?:"[^"]*+"|'[^']*+'|[^>"']++)*+>"""
-    return head + r"""(?:"[^"]*"|'[^']*'|[^>"'])*>"""
+        return head + r"""(?:[^>=]++|=[ \t\n\f\r]*+"[^"]*+"|=[ \t\n\f\r]*+'[^']*+'|=)*+>"""
+    return head + r"""(?:[^>=]|=[ \t\n\f\r]*"[^"]*"|=[ \t\n\f\r]*'[^']*'|=)*>"""
 
 
 #: Hidden blocks: replaced by ``HIDDEN_MARK`` before tags are looked up.
@@ -87,32 +88,25 @@ NESTED_MARKUP_RE = r"(?i)<[a-z/!?]"
 
 META_TAG_RE = "(?is)" + _tag(r"<meta\b", java=True)
 META_TAG_RE_RE2 = "(?is)" + _tag(r"<meta\b", java=False)
-#: ``name`` attribute (any case) whose value is exactly ``description``.
-NAME_IS_DESCRIPTION_RE = (
-    r"""(?s)[ \t\n\f\r/](?i:name)[ \t\n\f\r]*=[ \t\n\f\r]*"""
-    r"""(?:"description"|'description'|description[ \t\n\f\r>])"""
-)
-CONTENT_PRESENT_RE = r"(?is)[ \t\n\f\r/]content(?:[ \t\n\f\r]*=|[ \t\n\f\r/>])"
-CONTENT_VALUE_RE = (
-    r"""(?is)[ \t\n\f\r/]content[ \t\n\f\r]*=[ \t\n\f\r]*("[^"]*"|'[^']*'|[^ \t\n\f\r>]+)"""
+#: One attribute of a tag, read from left to right: its name, then (maybe) its
+#: value. What stands inside a value is consumed with it.
+ATTRIBUTE_RE = (
+    r"""(?s)([^ \t\n\f\r/>=][^ \t\n\f\r/>=]*)"""
+    r"""(?:[ \t\n\f\r]*=[ \t\n\f\r]*("[^"]*"|'[^']*'|[^ \t\n\f\r>"'][^ \t\n\f\r>]*))?"""
 )
+#: A tag's opening up to its attributes.
+TAG_HEAD_RE = "(?i)^<[a-z][^ \\t\\n\\f\\r/>]*"
 
 ANCHOR_TAG_RE = "(?is)" + _tag(r"<a[ \t\n\f\r/]", java=True)
 ANCHOR_TAG_RE_RE2 = "(?is)" + _tag(r"<a[ \t\n\f\r/]", java=False)
-HREF_VALUE_RE = (
-    r"""(?is)[ \t\n\f\r/]href[ \t\n\f\r]*=[ \t\n\f\r]*("[^"]*"|'[^']*'|[^ \t\n\f\r>]+)"""
-)
-
-# Python's IGNORECASE folds Unicode (long s matches s); Java needs (?u) for
-# that, RE2 does it under (?i) alone.
-FORMAT_RE_JAVA = r"(?iu)\.(csv|xlsx?|json|xml|zip|shp|kml|txt|pdf)"
-FORMAT_RE_RE2 = r"(?i)\.(csv|xlsx?|json|xml|zip|shp|kml|txt|pdf)"
-
 # ---------------------------------------------------------------------------
 # These must equal the scoring scripts' own constants.
 # ---------------------------------------------------------------------------
 LICENSE_KEYWORDS = ["license", "creativecommons", "CC-BY", "public domain", "creative commons"]
-DOWNLOAD_EXTENSIONS = [".csv", ".json", ".zip", ".xlsx", ".xml"]
+# Python's IGNORECASE folds Unicode (long s matches s); Java needs (?u) for
+# that, RE2 does it under (?i) alone.
+FORMAT_RE_JAVA = r"(?iu)\.(csv|xlsx?|json|xml|zip|shp|kml|txt|pdf)"
+FORMAT_RE_RE2 = r"(?i)\.(csv|xlsx?|json|xml|zip|shp|kml|txt|pdf)"
 NOT_FOUND = "Not found"
 NOT_DETECTED = "Not detected"
 NONE_DETECTED = "None detected"
@@ -137,7 +131,19 @@ LENIENT_REPLY_RE = (
     + ".*I-Score \\(([0-9]+)/8\\)"
     + ".*R-Score \\(([0-9]+)/7\\)"
 )
-#: One score cell per principle; used for cheap pre-checks and row counts.
+#: What the Spark side scans for instead: every score cell (F with the pipe before
+#: it), and a strict row without its name. Nothing here gives back what it took.
+SCORE_CELLS_RE = (
+    "\\|" + WS + "*+F-Score \\([0-9]++/17\\)"
+    + "|A-Score \\([0-9]++/10\\)|I-Score \\([0-9]++/8\\)|R-Score \\([0-9]++/7\\)"
+)
+STRICT_ROW_RE = (
+    "\\|" + WS + "*+F-Score \\(([0-9]++)/17\\)" + WS + "*+\\|"
+    + WS + "*+A-Score \\(([0-9]++)/10\\)" + WS + "*+\\|"
+    + WS + "*+I-Score \\(([0-9]++)/8\\)" + WS + "*+\\|"
+    + WS + "*+R-Score \\(([0-9]++)/7\\)" + WS + "*+\\|"
+)
+#: One score cell per principle, for row counts.
 SCORE_CELL_RE = {
     "f": r"F-Score \([0-9]+/17\)",
     "a": r"A-Score \([0-9]+/10\)",

@@ -43,6 +43,10 @@ NAMED_REFS = {k[:-1]: v for k, v in html.entities.html5.items() if k.endswith(";
 # reached only for rare names.
 _COMMON = {n: _ref_value(n) for n in JVM_ENTITY_NAMES if not n.startswith("#")}
 _COMMON.update({html.entities.codepoint2name[cp]: chr(cp) for cp in range(160, 256)})
+#: Names that also count without their ';' (the stdlib's table lists them so),
+#: longest first: of several that fit, the longest one is read.
+LEGACY_NAMES = sorted((k for k in html.entities.html5 if not k.endswith(";")), key=lambda k: (-len(k), k))
+_COMMON.update({n: html.entities.html5[n] for n in LEGACY_NAMES})
 
 
 def _special_code_points() -> dict[int, str]:
@@ -82,8 +86,10 @@ for _name, _text in NAMED_REFS.items():
 _NAMED_JSON = json.dumps(_BY_LETTER)
 _SPECIAL_SQL = _sql_map((str(k), sql_str(v)) for k, v in SPECIAL_CODE_POINTS.items())
 
-#: A reference at the start of the text that follows an '&'.
-REF_HEAD_RE = "^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+#: A reference at the start of the text that follows an '&': a number, with or
+#: without ';', or a name up to its ';'.
+REF_HEAD_RE = "^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*;)"
+LEGACY_RE = "^(" + "|".join(LEGACY_NAMES) + ")"
 
 
 def let(value: Column, body) -> Column:
@@ -104,7 +110,7 @@ def _code_point_text(num: Column) -> Column:
 def _numeric_value(name: Column) -> Column:
     """Text of '&#...;' by the HTML standard's rules (as html.unescape)."""
     hexa = name.rlike("^#[xX]")
-    digits = F.ltrim(F.when(hexa, F.substring(name, 3, 16)).otherwise(F.substring(name, 2, 16)), F.lit("0"))
+    digits = F.regexp_replace(name, "^#[xX]?0*+", "")
     # More than 6 hex or 7 decimal digits (leading zeros dropped) is past
     # U+10FFFF; the sentinel keeps such runs out of the casts.
     num = F.when(F.length(digits) > F.when(hexa, F.lit(6)).otherwise(F.lit(7)), F.lit(0x110000)).otherwise(
@@ -130,16 +136,23 @@ def _decode_piece(piece: Column, name: Column, i: Column) -> Column:
     the reference's value appears once: ``concat`` is NULL when the value is,
     and ``coalesce`` then keeps the '&' and the piece as they were.
     """
-    value = F.when(name == "", F.lit(None)).when(name.startswith("#"), _numeric_value(name)).otherwise(_named_value(name))
-    rest = F.substring(piece, F.length(name) + 2, F.length(piece))
-    return F.when(i == 0, piece).otherwise(F.coalesce(F.concat(value, rest), F.concat(F.lit("&"), piece)))
+    number = name.startswith("#")
+    value = F.when(number, _numeric_value(name)).when(name != "", _named_value(F.substring(name, F.lit(1), F.length(name) - 1)))
+    read = F.length(name) + F.when(number & (F.substring(piece, F.length(name) + 1, F.lit(1)) == ";"), 1).otherwise(0)
+    rest = F.substring(piece, read + 1, F.length(piece))
+    legacy = let(
+        F.regexp_extract(piece, LEGACY_RE, 1),
+        lambda n: F.concat(F.expr(_COMMON_SQL)[n], F.substring(piece, F.length(n) + 1, F.length(piece))),
+    )
+    return F.when(i == 0, piece).otherwise(F.coalesce(F.concat(value, rest), legacy, F.concat(F.lit("&"), piece)))
 
 
 def unescape(c: Column) -> Column:
     """FN-2: decode character references the way the DOM parser does, in one
     pass (decoded text is never decoded again: '&amp;lt;' gives '&lt;').
 
-    Only ';'-terminated references are decoded; a bare '&amp' stays text.
+    As there, a name without ';' (or one that is unknown with it) is read as the
+    longest of the legacy names it begins with: '&copy 2020', '&ampx'.
     """
     pieces = F.transform(
         F.split(c, "&"), lambda p: F.struct(p.alias("p"), F.regexp_extract(p, REF_HEAD_RE, 1).alias("n"))
@@ -148,12 +161,6 @@ def unescape(c: Column) -> Column:
     return F.when(F.instr(c, "&") == 0, c).otherwise(decoded)
 
 
-def unescape_all(*cols: Column) -> Column:
-    """:func:`unescape` of several columns, as an array in the same order.
-    One copy of the decoder in the plan however many columns need it."""
-    return F.transform(F.array(*cols), unescape)
-
-
 def strip(c: Column) -> Column:
     """FN-1: Python ``str.strip()`` — every Unicode space, not just U+0020."""
     return F.btrim(c, F.lit(PY_WHITESPACE))
@@ -165,12 +172,25 @@ def unquote(c: Column) -> Column:
     return F.when(quoted, F.substring(c, F.lit(2), F.length(c) - 2)).otherwise(c)
 
 
+#: What Python prints as an escape: controls, formats, unassigned, separators but ' '.
+UNPRINTABLE_RE = r"[\p{C}\p{Z}&&[^ ]]"
+
+
+def _escaped_char(c: Column) -> Column:
+    cp = F.ascii(c)
+    code = (
+        F.when(cp < 0x100, F.format_string("\\x%02x", cp)).when(cp < 0x10000, F.format_string("\\u%04x", cp)).otherwise(F.format_string("\\U%08x", cp))
+    )
+    return F.when(c.rlike(UNPRINTABLE_RE), code).otherwise(c)
+
+
 def py_repr_str(x: Column) -> Column:
     """Python ``repr()`` of one string: quote choice and escapes."""
     esc = F.replace(x, F.lit("\\"), F.lit("\\\\"))
     esc = F.replace(esc, F.lit("\n"), F.lit("\\n"))
     esc = F.replace(esc, F.lit("\r"), F.lit("\\r"))
     esc = F.replace(esc, F.lit("\t"), F.lit("\\t"))
+    esc = F.when(esc.rlike(UNPRINTABLE_RE), F.array_join(F.transform(F.regexp_extract_all(esc, F.lit("(?s)."), 0), _escaped_char), "")).otherwise(esc)
     double = (F.instr(x, "'") > 0) & (F.instr(x, '"') == 0)
     return F.when(double, F.concat(F.lit('"'), esc, F.lit('"'))).otherwise(
         F.concat(F.lit("'"), F.replace(esc, F.lit("'"), F.lit("\\'")), F.lit("'"))

@@ -4,10 +4,10 @@ One narrow projection per page: no shuffle and no Python. The wide ``html``
 column is consumed here and never leaves the scan stage; what comes out is a
 record of a few KB (the text snippet is capped at 2,000 code points).
 
-Regex extraction instead of a DOM. Known divergences from a DOM parser:
-unbalanced quotes inside tags, CDATA sections, markup or a comment inside
-``<title>`` (reported as the ``nested_title`` error, a parser-dependent
-case), and only ';'-terminated character references are decoded.
+Regex extraction instead of a DOM. Known divergences from a DOM parser: an
+attribute value whose quote never closes, CDATA sections, and markup or a comment
+inside ``<title>`` (reported as the ``nested_title`` error, a parser-dependent
+case).
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairgauge.functions import patterns as P
-from fairgauge.functions.text import strip, unescape, unescape_all, unquote
+from fairgauge.functions.text import let, strip, unescape, unquote
 
 #: Error codes for pages that the scraping step could not use, in the order
 #: they are checked (the title is examined before the description).
@@ -41,12 +41,13 @@ def collapse_nodes(decoded: Column) -> Column:
     """Split at the node separators, strip every node, drop the empty ones,
     join with one space: ``get_text(" ", strip=True)`` on marked text."""
     nodes = F.transform(F.split(decoded, P.NODE_SEP), strip)
-    return F.array_join(F.filter(nodes, lambda t: t != ""), " ")
+    return F.translate(F.array_join(F.filter(nodes, lambda t: t != ""), " "), P.HELD, P.NODE_SEP)
 
 
 def hide_blocks(html: Column) -> Column:
-    """Comments, script, style and template bodies replaced by a marker."""
-    return F.regexp_replace(html, P.HIDDEN_RE, P.HIDDEN_MARK)
+    """Comments, script, style and template bodies replaced by a marker. A
+    separator character of the page's own is held back as a noncharacter."""
+    return F.regexp_replace(F.translate(html, P.NODE_SEP, P.HELD), P.HIDDEN_RE, P.HIDDEN_MARK)
 
 
 def mark_nodes(clean: Column) -> Column:
@@ -73,18 +74,27 @@ def file_formats(html: Column) -> Column:
     return F.array_sort(F.array_distinct(F.regexp_extract_all(html, F.lit(P.FORMAT_RE_JAVA), 1)))
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """Raw value of a tag's first attribute called ``name`` ('' if it has none),
+    NULL without such an attribute. Attributes are read from left to right, so
+    text inside another one's value is never taken for one."""
+    body = F.regexp_replace(tag, P.TAG_HEAD_RE, "")
+    every = F.regexp_extract_all(body, F.lit(P.ATTRIBUTE_RE), 0)
+    named = F.filter(every, lambda a: F.lower(F.regexp_extract(a, P.ATTRIBUTE_RE, 1)) == name)
+    return unquote(F.regexp_extract(F.get(named, 0), P.ATTRIBUTE_RE, 2))
+
+
 def raw_hrefs(clean: Column) -> Column:
-    """EX-6, first half: href values of ``<a>`` tags in document order, quotes
-    removed, joined by the node separator so that one decode covers them."""
+    """EX-6, first half: href values of ``<a>`` tags in document order."""
     tags = F.regexp_extract_all(clean, F.lit(P.ANCHOR_TAG_RE), 0)
-    values = F.transform(tags, lambda t: F.regexp_extract(t, P.HREF_VALUE_RE, 1))
-    return F.array_join(F.transform(values, unquote), P.NODE_SEP)
+    return F.array_compact(F.transform(tags, lambda t: attribute(t, "href")))
 
 
-def download_links(decoded_hrefs: Column) -> Column:
-    """EX-6, second half: hrefs whose lower-cased value contains a data
+def download_links(hrefs: Column) -> Column:
+    """EX-6, second half: decoded hrefs whose lower-cased value contains a data
     extension; duplicates kept."""
-    return F.filter(F.split(decoded_hrefs, P.NODE_SEP), lambda h: F.lower(h).rlike(P.DOWNLOAD_LINK_RE))
+    decoded = F.transform(hrefs, lambda h: F.translate(unescape(h), P.HELD, P.NODE_SEP))
+    return F.filter(decoded, lambda h: F.lower(h).rlike(P.DOWNLOAD_LINK_RE))
 
 
 def _or_default(arr: Column, default: str) -> Column:
@@ -96,8 +106,9 @@ def with_scraped(df: DataFrame, html: str = "html") -> DataFrame:
 
     Fields are NULL on error rows; the dialect's sentinels are filled in by
     :func:`fill_error_record` once the strategy is known. Work is staged so
-    that every regex pass over the HTML and every decode runs once per page:
-    raw passes, then decoding, then the fields.
+    that every regex pass over the HTML runs once per page (raw passes, then the
+    fields), and every text is decoded in a column of its own, so that a query
+    for the title alone decodes nothing else.
     """
     keep = [c for c in df.columns if c != html]
     h = F.col(html)
@@ -113,32 +124,29 @@ def with_scraped(df: DataFrame, html: str = "html") -> DataFrame:
         F.regexp_extract(clean, P.TITLE_RE, 1).alias("_title_in"),
         clean.rlike(P.TITLE_OPEN_RE).alias("_has_title"),
         F.get(F.filter(F.regexp_extract_all(clean, F.lit(P.META_TAG_RE), 0),
-                       lambda t: t.rlike(P.NAME_IS_DESCRIPTION_RE)), 0).alias("_desc_tag"),
+                       lambda t: attribute(t, "name") == "description"), 0).alias("_desc_tag"),
         raw_hrefs(clean).alias("_hrefs"),
     )
     desc_tag = F.col("_desc_tag")
     decoded = parts.select(
         *keep, "_no_page", "_formats", "_title_in", "_has_title", "_desc_tag",
-        desc_tag.rlike(P.CONTENT_PRESENT_RE).alias("_has_content"),
-        unescape_all(
-            F.col("_marked"), F.col("_title_in"),
-            unquote(F.regexp_extract(desc_tag, P.CONTENT_VALUE_RE, 1)), F.col("_hrefs"),
-        ).alias("_dec"),
-    ).select(
-        "*", *[F.col("_dec")[i].alias(n) for i, n in enumerate(("_text_dec", "_title_dec", "_content_dec", "_hrefs_dec"))]
-    ).drop("_dec")
+        "_hrefs",
+        unescape(F.col("_marked")).alias("_text_dec"),
+        unescape(F.translate(F.col("_title_in"), P.HELD, P.NODE_SEP)).alias("_title_dec"),
+        let(attribute(desc_tag, "content"), lambda c: unescape(F.translate(c, P.HELD, P.NODE_SEP))).alias("_content_dec"),
+    )
     title_in, has_title = F.col("_title_in"), F.col("_has_title")
     error = (
         F.when(F.col("_no_page"), "no_page")
         .when(has_title & (title_in == ""), "empty_title")
         .when(has_title & title_in.rlike(P.NESTED_MARKUP_RE), "nested_title")
-        .when(desc_tag.isNotNull() & ~F.col("_has_content"), "meta_without_content")
+        .when(desc_tag.isNotNull() & F.col("_content_dec").isNull(), "meta_without_content")
     )
     texts = decoded.select(
         *keep, "_formats", "_has_title", "_desc_tag", "_title_dec", "_content_dec",
         error.alias("scrape_error"),
         collapse_nodes(F.col("_text_dec")).alias("_text"),
-        download_links(F.col("_hrefs_dec")).alias("_links"),
+        download_links(F.col("_hrefs")).alias("_links"),
     )
     text = F.col("_text")
     cues = texts.select(
@@ -177,7 +185,3 @@ def fill_error_record(df: DataFrame, dialect: Column) -> DataFrame:
         .withColumn("raw_text_snippet", F.when(bad, "").otherwise(F.col("raw_text_snippet")))
     )
 
-
-def scraped_struct() -> Column:
-    """EX-8: the six-field record plus status, as one struct."""
-    return F.struct(*[F.col(c) for c in SCRAPED_FIELDS], F.col("scrape_ok"), F.col("scrape_error"))

@@ -1,13 +1,16 @@
 """JOIN-1 (catalogue ⟕ pages), MAP-2 (strategy fan-out), JOIN-2 (requests ⟕
 replies).
 
-JOIN-1 is a many-to-one lookup: many datasets may share one landing page, and
-one page may hold a third of the catalogue. Keys with at least ``hot_rows``
-catalogue rows are salted into ``ceil(n / hot_rows)`` buckets; their page is
-replicated once per bucket, so no task joins more than about ``hot_rows``
-rows of one key. Copies of a page in the crawl are cut to one per key by a
-partial (map-side) aggregate before the shuffle, so a URL crawled a million
-times ships at most one record per map task.
+JOIN-1 asks first which pages the catalogue needs, on narrow columns alone:
+link keys that occur in the catalogue, and of each key the lowest ``page_id``.
+Only those pages' HTML is read and extracted, so the cost follows the
+catalogue, not the crawl, and copies of a page are never extracted.
+
+It is then a many-to-one lookup: many datasets may share one landing page, and
+one page may hold a third of the catalogue. A key with more rows than an even
+share of a shuffle partition is salted into as many buckets as it has shares;
+its page is replicated once per bucket, at most once per partition. Rows
+without a link never enter the join.
 """
 
 from __future__ import annotations
@@ -15,12 +18,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairgauge.operators.extract import SCRAPED_FIELDS
+from fairgauge.operators.extract import SCRAPED_FIELDS, with_scraped
+from fairgauge.sources.catalog import url_key
 
-#: Catalogue rows per key above which the key is split across tasks.
-DEFAULT_HOT_ROWS = 100_000
-
-_PAGE_COLUMNS = ("page_id",) + SCRAPED_FIELDS + ("scrape_ok", "scrape_error")
+_PAGE_COLUMNS = ("page_id",) + SCRAPED_FIELDS + ("scrape_error",)
 
 
 def _shuffle_partitions(df: DataFrame) -> int:
@@ -33,66 +34,64 @@ def _shuffle_partitions(df: DataFrame) -> int:
         return df.sparkSession.sparkContext.defaultParallelism
 
 
-def hot_keys(catalog: DataFrame, hot_rows: int) -> DataFrame:
-    """Keys holding at least ``hot_rows`` rows, with their bucket count.
+def needed_pages(catalog: DataFrame, pages: DataFrame) -> DataFrame:
+    """``url_key, page_id`` of the one page each catalogued link needs: the
+    lowest ``page_id`` of its key. Reads ``page_id`` and ``url`` only."""
+    keys = catalog.select("url_key").where(F.col("url_key").isNotNull()).distinct()
+    narrow = pages.select("page_id", url_key(F.col("url")).alias("url_key"))
+    return narrow.join(keys, "url_key", "left_semi").groupBy("url_key").agg(F.min("page_id").alias("page_id"))
 
-    Size bound: every row stands for ``hot_rows`` catalogue rows, so there are
-    at most ``count(catalog) / hot_rows`` of them — that is what makes the
-    broadcast below safe at any scale.
-    """
-    return (
-        catalog.where(F.col("url_key").isNotNull())
-        .groupBy("url_key")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= hot_rows)
-        .select("url_key", F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_buckets"))
+
+def catalogued_pages(catalog: DataFrame, pages: DataFrame) -> DataFrame:
+    """The extracted record of each page that the catalogue needs, one per
+    key. Rows that share a ``page_id`` are told apart by a hash of their HTML."""
+    need = needed_pages(catalog, pages).select(F.col("url_key").alias("_key"), F.col("page_id").alias("_id"))
+    keyed = pages.select("page_id", url_key(F.col("url")).alias("url_key"), "html")
+    same = (keyed["url_key"] == need["_key"]) & keyed["page_id"].eqNullSafe(need["_id"])
+    hashed = keyed.join(need, same, "left_semi").withColumn("_tie", F.xxhash64("html"))
+    record = F.struct(*[F.col(c) for c in _PAGE_COLUMNS])
+    return with_scraped(hashed, "html").groupBy("url_key").agg(F.min_by(record, "_tie").alias("_page"))
+
+
+def hot_keys(catalog: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """Keys that hold more than ``hot_rows`` catalogue rows, with their bucket
+    count. By default that is an even share of a shuffle partition, so there are
+    fewer hot keys, and fewer buckets of a key, than partitions."""
+    parts = _shuffle_partitions(catalog)
+    linked = catalog.where(F.col("url_key").isNotNull())
+    counts = linked.groupBy("url_key").agg(F.count(F.lit(1)).alias("_n"))
+    share = F.lit(hot_rows) if hot_rows else F.greatest(F.lit(1), linked.select(F.count(F.lit(1))).scalar() / parts)
+    return counts.where(F.col("_n") > share).select(
+        "url_key", F.least(F.ceil(F.col("_n") / share), F.lit(parts)).cast("int").alias("_buckets")
     )
 
 
-def attach_pages(catalog: DataFrame, pages: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+def attach_pages(catalog: DataFrame, pages: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """JOIN-1: every catalogue row with the extracted record of its page.
 
-    ``catalog`` needs ``row_id`` and ``url_key``; ``pages`` is the output of
-    :func:`fairgauge.sources.pages.extract_pages`. A row whose key finds no
-    page (or has no key) keeps NULL fields and the ``no_page`` error.
+    ``catalog`` needs ``row_id`` and ``url_key``; ``pages`` is the crawl table.
+    A row whose key finds no page (or has no key) keeps NULL fields and the
+    ``no_page`` error.
     """
-    hot = F.broadcast(hot_keys(catalog, hot_rows))
-    buckets = F.col("_buckets")
-    # Each catalogue row leaves this join as four prompts of several KB, so
-    # the stage after it does far more work than its input size suggests.
-    # A fixed partition count (the session's shuffle partitions) keeps AQE
-    # from coalescing it into a few tasks; skew is handled by the salt.
-    parts = _shuffle_partitions(catalog)
+    hot = hot_keys(catalog, hot_rows)
+    buckets = F.coalesce(F.col("_buckets"), F.lit(1))
     left = (
-        catalog.join(hot, "url_key", "left")
-        .withColumn(
-            "_salt",
-            F.when(buckets.isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("row_id"), buckets).cast("int")),
-        )
+        catalog.where(F.col("url_key").isNotNull())
+        .join(hot, "url_key", "left")
+        .withColumn("_salt", F.pmod(F.xxhash64("row_id"), buckets).cast("int"))
         .drop("_buckets")
-        .repartition(parts, "url_key", "_salt")
     )
-    replicated = (
-        pages.where(F.col("url_key").isNotNull())
+    right = (
+        catalogued_pages(catalog, pages)
         .join(hot, "url_key", "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.when(buckets.isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), buckets - 1))),
-        )
-    )
-    # One page per key: the lowest page_id. min_by runs partially before the
-    # shuffle, so copies never pile up in one task.
-    rec = F.struct(*[F.col(c) for c in _PAGE_COLUMNS])
-    unique = (
-        replicated.groupBy("url_key", "_salt")
-        .agg(F.min_by(rec, F.col("page_id")).alias("_page"))
-        .select("url_key", "_salt", "_page.*")
+        .select("url_key", F.explode(F.sequence(F.lit(0), buckets - 1)).alias("_salt"), "_page")
     )
-    joined = left.join(unique, ["url_key", "_salt"], "left").drop("_salt")
-    missing = F.col("page_id").isNull()
-    return joined.withColumn(
-        "scrape_error", F.when(missing, F.lit("no_page")).otherwise(F.col("scrape_error"))
-    ).withColumn("scrape_ok", F.col("scrape_error").isNull())
+    joined = left.join(right, ["url_key", "_salt"], "left").drop("_salt")
+    unlinked = catalog.where(F.col("url_key").isNull()).withColumn("_page", F.lit(None).cast(right.schema["_page"].dataType))
+    rows = joined.select(*catalog.columns, "_page").unionByName(unlinked.select(*catalog.columns, "_page"))
+    error = F.when(F.col("_page").isNull(), F.lit("no_page")).otherwise(F.col("_page.scrape_error"))
+    fields = [F.col(f"_page.{c}").alias(c) for c in _PAGE_COLUMNS if c != "scrape_error"]
+    return rows.select(*catalog.columns, *fields, error.alias("scrape_error"), error.isNull().alias("scrape_ok"))
 
 
 def fan_out(df: DataFrame, strategies: list[dict]) -> DataFrame:
@@ -112,12 +111,17 @@ def fan_out(df: DataFrame, strategies: list[dict]) -> DataFrame:
 
 
 def dedupe_replies(replies: DataFrame) -> DataFrame:
-    """One reply per request. If a request was answered twice the smallest
-    response is kept, so a recomputed task always picks the same one."""
-    return replies.groupBy("request_id").agg(F.min("response").alias("response"))
+    """One reply per request, and ``reply_count``. Of several, one that holds a
+    score goes before one that holds text, then an empty one, then none; of
+    equals the smallest is kept, so a recomputed task picks the same one."""
+    r = F.col("response")
+    rank = F.when(r.contains("F-Score ("), 0).when(F.btrim(r) != "", 1).when(r.isNotNull(), 2).otherwise(3)
+    best = F.min(F.struct(rank.alias("rank"), r.alias("response")))
+    return replies.groupBy("request_id").agg(best["response"].alias("response"), F.count(F.lit(1)).alias("reply_count"))
 
 
 def attach_replies(requests: DataFrame, replies: DataFrame) -> DataFrame:
     """JOIN-2: requests ⟕ replies on the content-addressed ``request_id``.
     A request without a reply keeps a NULL response (parsed as no match)."""
-    return requests.join(dedupe_replies(replies), "request_id", "left")
+    joined = requests.join(dedupe_replies(replies), "request_id", "left")
+    return joined.withColumn("reply_count", F.coalesce("reply_count", F.lit(0).cast("bigint")))

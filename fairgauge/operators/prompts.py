@@ -65,9 +65,14 @@ def user_content(strategies: list[dict]) -> Column:
     return F.when(F.col("dialect") == "A", a).otherwise(b)
 
 
-def request_id(content: Column) -> Column:
-    """PR-6: content address of a request — strategy, row and message."""
-    return F.sha2(F.concat_ws("\u0001", F.col("strategy"), F.col("row_id").cast("string"), content), 256)
+def request_id() -> Column:
+    """PR-6: content address of a request — strategy, row, the strategy's
+    parameters and both messages."""
+    parts = [
+        F.col("strategy"), F.col("row_id").cast("string"), F.lit(S.MODEL), F.lit(str(S.TEMPERATURE)),
+        F.col("max_tokens").cast("string"), F.col("system_content"), F.col("user_content"),
+    ]
+    return F.sha2(F.concat_ws("\u0001", *parts), 256)
 
 
 def with_requests(df: DataFrame, strategies: list[dict]) -> DataFrame:
@@ -76,9 +81,9 @@ def with_requests(df: DataFrame, strategies: list[dict]) -> DataFrame:
     with the dialect's error record already filled."""
     return (
         df.withColumn("user_content", user_content(strategies))
-        .withColumn("request_id", request_id(F.col("user_content")))
         .withColumn("system_content", _by_strategy("system", strategies))
         .withColumn("max_tokens", _by_strategy("max_tokens", strategies).cast("int"))
+        .withColumn("request_id", request_id())
     )
 
 

@@ -15,6 +15,9 @@ from fairgauge.operators.parse import multi_row_reply, with_parsed
 from fairgauge.operators.validate import valid_a, valid_b
 from fairgauge.plans.strategies import PRINCIPLES
 
+#: Quotes doubled, white space at the ends of cells kept.
+CSV_OPTIONS = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 #: Maximum total score (sum of the principle maxima) — bounds DER-3's histogram.
 MAX_TOTAL = sum(m for _, _, m in PRINCIPLES)
 
@@ -67,11 +70,11 @@ def unified(answered: DataFrame) -> DataFrame:
         F.col("license_info").alias("scraped_license"),
         F.col("file_formats").alias("scraped_file_formats"),
         "scrape_error",
-        F.col("parse_ok").alias("parse_success"),
+        F.coalesce("parse_ok", F.lit(False)).alias("parse_success"),
         "valid_scores", "parsed_dataset_name",
         "f_score", "a_score", "i_score", "r_score",
         "f_valid", "a_valid", "i_valid", "r_valid", "all_valid",
-        multi_row_reply(F.col("response")).alias("multi_row_reply"),
+        multi_row_reply(F.col("response")).alias("multi_row_reply"), "reply_count",
     )
 
 
@@ -101,9 +104,7 @@ def write_csv(df: DataFrame, path: str, display: dict[str, str]) -> None:
     (
         out.write.mode("overwrite")
         .option("header", True)
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
+        .options(**CSV_OPTIONS)
         .csv(path)
     )
 

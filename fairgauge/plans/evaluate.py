@@ -17,14 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairgauge.operators.extract import fill_error_record
-from fairgauge.operators.joins import DEFAULT_HOT_ROWS, attach_pages, attach_replies, fan_out
+from fairgauge.operators.joins import attach_pages, attach_replies, fan_out
 from fairgauge.operators.prompts import request_lines, with_requests
 from fairgauge.operators.results import (
     DISPLAY_A, DISPLAY_B, result_a, result_b, unified, write_csv,
 )
 from fairgauge.plans.strategies import strategies as strategy_rows
 from fairgauge.sources.catalog import keyed, read_catalog
-from fairgauge.sources.pages import extract_pages, read_pages
+from fairgauge.sources.pages import read_pages
 from fairgauge.sources.replies import read_replies
 
 #: Columns of the written requests table that the results half reads back.
@@ -35,16 +35,16 @@ REQUEST_COLUMNS = (
 )
 
 
-def scraped_catalog(catalog: DataFrame, pages: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+def scraped_catalog(catalog: DataFrame, pages: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Catalogue rows with their page's extracted record (JOIN-1)."""
-    return attach_pages(keyed(catalog), extract_pages(pages), hot_rows)
+    return attach_pages(keyed(catalog), pages, hot_rows)
 
 
 def requests(
     catalog: DataFrame,
     pages: DataFrame,
     strategy_names: list[str] | None = None,
-    hot_rows: int = DEFAULT_HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Requests for every (catalogue row, strategy): MAP-2, EX-9, PR-*."""
     strats = strategy_rows(strategy_names)
@@ -68,7 +68,7 @@ def write_requests(
     pages_path: str,
     out_dir: str,
     strategy_names: list[str] | None = None,
-    hot_rows: int = DEFAULT_HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> str:
     """First half: write ``requests`` (parquet) and the JSON lines a scoring
     service consumes. Returns the parquet path.
@@ -78,19 +78,23 @@ def write_requests(
     prompts of several KB per catalogue row. Readers prune columns instead."""
     reqs = requests(read_catalog(spark, catalog_csv), read_pages(spark, pages_path), strategy_names, hot_rows)
     table = f"{out_dir}/requests"
-    reqs.write.mode("overwrite").parquet(table)
+    # Replies refer to this table and can't be had again: it is never overwritten.
+    reqs.write.mode("errorifexists").parquet(table)
     written = spark.read.parquet(table)
-    request_lines(written).write.mode("overwrite").text(f"{out_dir}/request_lines")
+    request_lines(written).write.mode("errorifexists").text(f"{out_dir}/request_lines")
     return table
 
 
 def write_results(spark: SparkSession, requests_path: str, replies_path: str, out_dir: str) -> str:
     """Second half: join the replies, parse, validate, write parquet (by
-    strategy) plus the two CSV layouts. Returns the parquet path."""
+    strategy) plus one CSV per strategy in its script's own columns, ordered by
+    ``row_id`` (a range-partitioned sort). Returns the parquet path."""
     out = results(spark.read.parquet(requests_path), read_replies(spark, replies_path))
     table = f"{out_dir}/results"
     out.write.mode("overwrite").partitionBy("strategy").parquet(table)
     written = spark.read.parquet(table)
-    write_csv(result_a(written).drop("strategy", "row_id"), f"{out_dir}/results_zero_shot_csv", DISPLAY_A)
-    write_csv(result_b(written).drop("row_id"), f"{out_dir}/results_shot_csv", DISPLAY_B)
+    for s in strategy_rows():
+        rows, display = (result_a(written), DISPLAY_A) if s["dialect"] == "A" else (result_b(written), DISPLAY_B)
+        ordered = rows.where(F.col("strategy") == s["strategy"]).orderBy("row_id").drop("strategy", "row_id")
+        write_csv(ordered, f"{out_dir}/results_{s['strategy']}_csv", display)
     return table

@@ -10,7 +10,7 @@ tables so that their work grows with them (DuckDB counterparts in
   trailing-space and fragment variants of its link), one "mirror" row per
   page that points at the lowest page's landing page (a hot key holding
   about half the catalogue), nations with links that have no page, and
-  regions with no link.
+  regions with no link. Row ids are ``4 * key + kind``, so no two meet.
 * ``reply_stub`` — a stand-in for the model: replies in eight shapes,
   chosen from the request's row and strategy.
 """
@@ -23,6 +23,13 @@ from pyspark.sql import functions as F
 from fairgauge.plans.strategies import STRATEGY_NAMES
 
 TITLE_TAG_RE = "<title>[^<]*</title>"
+#: A value that looks like another attribute, before the real description.
+LOOKALIKE_META = "<meta property=x content=\" name='description' \"><meta content='real &copy 2020' name=description>"
+#: Stray quotes, look-alike values, raw controls, references without ';'.
+AWKWARD_TAGS = (
+    '<a href="/q.csv"">click</a><a title="see href=\'/x.csv\' here" href="/y.html">y</a>'
+    '<a data-href=/n.csv HREF=/u\u200bv\u00a0w\x01.json>u</a><p class=it\'s>Body &ampx &copy 2020 &#00000000000000000065;\x01.</p>'
+)
 
 
 def _s(c: Column) -> Column:
@@ -45,7 +52,7 @@ def overlay_pages(pages: DataFrame) -> DataFrame:
         F.when(pid % 33 == 3, F.lit('<meta name="description">'))
         .when(pid % 3 == 0, F.concat(F.lit('<meta name="description" content="  About &amp; around '), _s(pid), F.lit(' ">')))
         .when(pid % 3 == 1, F.lit('<meta name="Description" content="wrong case">'))
-        .otherwise(F.lit(""))
+        .otherwise(F.lit(LOOKALIKE_META))
     )
     links = F.when(
         pid % 2 == 0,
@@ -53,7 +60,7 @@ def overlay_pages(pages: DataFrame) -> DataFrame:
             F.lit('<a href="/data/F'), _s(pid),
             F.lit('.CSV?x=1&amp;y=2">d</a><a class="k" href="/z.zip">z</a><a href="/z.zip">z</a><a href="/r.pdf">r</a>'),
         ),
-    ).otherwise(F.lit(""))
+    ).otherwise(F.when(pid % 6 == 1, F.lit(AWKWARD_TAGS)).otherwise(F.lit("")))
     lic = (
         F.when(pid % 5 == 0, F.lit("<p>Released as <i>CC-BY</i> or public domain</p>"))
         .when(pid % 5 == 1, F.lit('<!-- license --><script>var k="creativecommons";</script>'))
@@ -73,17 +80,17 @@ def catalog_fixture(pages: DataFrame, nation: DataFrame, region: DataFrame) -> D
         .when(pid % 4 == 2, F.concat(F.regexp_replace(url, "#.*$", ""), F.lit("#sec")))
         .otherwise(url)
     )
-    base = pages.select(pid.alias("row_id"), F.concat(F.lit("DS"), _s(pid)).alias("dataset_name"), link.alias("website_link"))
+    base = pages.select((pid * 4).alias("row_id"), F.concat(F.lit("DS"), _s(pid)).alias("dataset_name"), link.alias("website_link"))
     mirror = pages.select(
-        (pid + 1_000_000).alias("row_id"), F.concat(F.lit("MIRROR"), _s(pid)).alias("dataset_name"),
+        (pid * 4 + 1).alias("row_id"), F.concat(F.lit("MIRROR"), _s(pid)).alias("dataset_name"),
         hot_url.alias("website_link"),
     )
     nat = nation.select(
-        (F.col("n_nationkey") + 2_000_000).cast("bigint").alias("row_id"), F.col("n_name").alias("dataset_name"),
+        (F.col("n_nationkey").cast("bigint") * 4 + 2).alias("row_id"), F.col("n_name").alias("dataset_name"),
         F.concat(F.lit("http://missing.example.test/"), _s(F.col("n_nationkey"))).alias("website_link"),
     )
     reg = region.select(
-        (F.col("r_regionkey") + 3_000_000).cast("bigint").alias("row_id"), F.col("r_name").alias("dataset_name"),
+        (F.col("r_regionkey").cast("bigint") * 4 + 3).alias("row_id"), F.col("r_name").alias("dataset_name"),
         F.lit(None).cast("string").alias("website_link"),
     )
     return base.unionByName(mirror).unionByName(nat).unionByName(reg)
@@ -114,9 +121,20 @@ def stub_response(k: Column) -> Column:
     )
 
 
-def page_replies(pages: DataFrame) -> DataFrame:
-    """Replies keyed by page (for the parser and validator queries)."""
-    return pages.select("page_id", stub_response(F.col("page_id")).alias("response"))
+def turn_replies(conversations: DataFrame) -> DataFrame:
+    """Replies keyed by conversation turn (for the parser and validator queries):
+    the turn's whole text around, before, after or without a score row."""
+    k = F.col("conv_id") * 3 + F.col("turn")
+    text, stub = F.coalesce("text", F.lit("")), F.coalesce(stub_response(k), F.lit(""))
+    rows = F.concat(F.lit("| EX | F-Score (1/17) |"), text, F.lit(" | I-Score (2/8) | A-Score (3/10) |"))
+    response = (
+        F.when(k % 5 == 0, F.concat(text, F.lit("\n"), stub, F.lit("\n"), text))
+        .when(k % 5 == 1, F.concat(rows, F.lit("\n"), stub))
+        .when(k % 5 == 2, F.concat(stub, F.lit("\n"), rows))
+        .when(k % 5 == 3, stub_response(k))
+        .otherwise(F.col("text"))
+    )
+    return conversations.select("conv_id", "turn", response.alias("response"))
 
 
 def strategy_ord() -> Column:
@@ -126,7 +144,23 @@ def strategy_ord() -> Column:
 def reply_stub(requests: DataFrame) -> DataFrame:
     """Replies keyed by ``request_id``, as a scoring service would write them."""
     k = F.col("row_id") + strategy_ord()
-    return requests.select("request_id", stub_response(k).alias("response"))
+    once = requests.select("request_id", stub_response(k).alias("response"), (k % 8).alias("_c"))
+    # Some are answered again, with nothing or by an empty reply.
+    again = once.where(F.col("_c").isin(0, 1, 6)).withColumn("response", F.when(F.col("_c") == 0, F.lit("")))
+    return once.unionByName(again).drop("_c")
+
+
+def catalog_lines(pages: DataFrame) -> DataFrame:
+    """CSV lines of a catalogue over the pages: quoted and plain cells, doubled
+    quotes, commas, surrounding spaces, empty cells."""
+    pid, url = _s(F.col("page_id")), F.col("url")
+    name = (
+        F.when(F.col("page_id") % 4 == 0, F.concat(F.lit('"Set ""'), pid, F.lit('"", a"')))
+        .when(F.col("page_id") % 4 == 1, F.concat(F.lit(" DS"), pid, F.lit(" ")))
+        .when(F.col("page_id") % 4 == 2, F.lit(""))
+        .otherwise(F.lit("NA"))
+    )
+    return pages.select("page_id", F.concat(name, F.lit(","), F.lit('"'), url, F.lit('",x')).alias("value"))
 
 
 def completion_bodies(replies: DataFrame) -> DataFrame:
@@ -134,4 +168,4 @@ def completion_bodies(replies: DataFrame) -> DataFrame:
     body = F.to_json(
         F.struct(F.array(F.struct(F.struct(F.col("response").alias("content")).alias("message"))).alias("choices"))
     )
-    return replies.select("page_id", body.alias("body"))
+    return replies.select("conv_id", "turn", body.alias("body"))

@@ -12,8 +12,10 @@ import html.entities
 import re
 
 from fairgauge.functions import patterns as P
-from fairgauge.functions.text import JVM_ENTITIES
+from fairgauge.functions.text import JVM_ENTITIES, LEGACY_NAMES
 from fairgauge.operators.extract import ERROR_MESSAGES
+from fairgauge.operators.results import DISPLAY_A
+from fairgauge.plans import fixtures as X
 from fairgauge.plans import strategies as S
 
 _FIELD = re.compile(r"\{(\w+)\}")
@@ -32,17 +34,30 @@ def strip(e: str) -> str:
 
 
 # The common references plus the Latin-1 names, '&amp;' last (no decoded
-# value contains '&', so the chain never decodes its own output).
+# value contains '&', so the chain never decodes its own output); then the names
+# that count without ';', longest first.
 _ORACLE_ENTITIES = [x for x in JVM_ENTITIES if x[0] != "&amp;"] + [
     (f"&{html.entities.codepoint2name[cp]};", chr(cp)) for cp in range(160, 256)
     if f"&{html.entities.codepoint2name[cp]};" not in dict(JVM_ENTITIES)
-] + [("&amp;", "&")]
+] + [("&#00000000000000000065;", "A")]
 
 
 def unesc(e: str) -> str:
     for ref, value in _ORACLE_ENTITIES:
         e = f"replace({e}, {q(ref)}, {q(value)})"
-    return e
+    for name in LEGACY_NAMES:
+        if html.entities.html5[name] != "&":
+            e = f"regexp_replace({e}, {q(f'&{name};?')}, {q(html.entities.html5[name])}, 'g')"
+    return f"regexp_replace({e}, '&(amp|AMP);?', '&', 'g')"
+
+
+def attribute(tag: str, name: str) -> str:
+    every = f"regexp_extract_all(regexp_replace({tag}, {q(P.TAG_HEAD_RE)}, ''), {q(P.ATTRIBUTE_RE)}, 0)"
+    first = f"list_filter({every}, lambda a: lower(regexp_extract(a, {q(P.ATTRIBUTE_RE)}, 1)) = {q(name)})[1]"
+    return unquote(f"regexp_extract({first}, {q(P.ATTRIBUTE_RE)}, 2)")
+
+
+HELD_BACK = f"chr({ord(P.HELD)})"
 
 
 def unquote(e: str) -> str:
@@ -51,6 +66,9 @@ def unquote(e: str) -> str:
 
 def py_repr(x: str) -> str:
     esc = f"replace(replace(replace(replace({x}, '\\', '\\\\'), chr(10), '\\n'), chr(13), '\\r'), chr(9), '\\t')"
+    other = "regexp_matches(c, '[\\p{Cc}\\p{Cf}\\p{Zs}\\p{Zl}\\p{Zp}]') AND c <> ' '"
+    code = "CASE WHEN unicode(c) < 256 THEN format('\\x{:02x}', unicode(c)) WHEN unicode(c) < 65536 THEN format('\\u{:04x}', unicode(c)) ELSE format('\\U{:08x}', unicode(c)) END"
+    esc = f"array_to_string(list_transform(regexp_extract_all({esc}, '(?s).'), lambda c: CASE WHEN {other} THEN {code} ELSE c END), '')"
     return (
         f"(CASE WHEN contains({x}, '''') AND NOT contains({x}, '\"') THEN '\"' || {esc} || '\"' "
         f"ELSE '''' || replace({esc}, '''', '\\''') || '''' END)"
@@ -94,8 +112,8 @@ pg AS (
       '</head>', concat(CASE WHEN page_id % 33 = 3 THEN '<meta name="description">'
                              WHEN page_id % 3 = 0 THEN concat('<meta name="description" content="  About &amp; around ', CAST(page_id AS VARCHAR), ' ">')
                              WHEN page_id % 3 = 1 THEN '<meta name="Description" content="wrong case">'
-                             ELSE '' END, '</head>')),
-      '</nav>', concat(CASE WHEN page_id % 2 = 0 THEN concat('<a href="/data/F', CAST(page_id AS VARCHAR), '.CSV?x=1&amp;y=2">d</a><a class="k" href="/z.zip">z</a><a href="/z.zip">z</a><a href="/r.pdf">r</a>') ELSE '' END, '</nav>')),
+                             ELSE {q(X.LOOKALIKE_META)} END, '</head>')),
+      '</nav>', concat(CASE WHEN page_id % 2 = 0 THEN concat('<a href="/data/F', CAST(page_id AS VARCHAR), '.CSV?x=1&amp;y=2">d</a><a class="k" href="/z.zip">z</a><a href="/z.zip">z</a><a href="/r.pdf">r</a>') WHEN page_id % 6 = 1 THEN {q(X.AWKWARD_TAGS)} ELSE '' END, '</nav>')),
       '</article>', concat(CASE WHEN page_id % 5 = 0 THEN '<p>Released as <i>CC-BY</i> or public domain</p>'
                                 WHEN page_id % 5 = 1 THEN '<!-- license --><script>var k="creativecommons";</script>'
                                 ELSE '' END, '</article>')) AS html
@@ -103,15 +121,15 @@ pg AS (
 
 CATALOG = """
 cat AS (
-  SELECT page_id AS row_id, 'DS' || CAST(page_id AS VARCHAR) AS dataset_name,
+  SELECT page_id * 4 AS row_id, 'DS' || CAST(page_id AS VARCHAR) AS dataset_name,
     CASE page_id % 4 WHEN 1 THEN url || ' ' WHEN 2 THEN regexp_replace(url, '#.*$', '') || '#sec' ELSE url END AS website_link
   FROM pages
   UNION ALL
-  SELECT page_id + 1000000, 'MIRROR' || CAST(page_id AS VARCHAR), (SELECT arg_min(url, page_id) FROM pages) FROM pages
+  SELECT page_id * 4 + 1, 'MIRROR' || CAST(page_id AS VARCHAR), (SELECT arg_min(url, page_id) FROM pages) FROM pages
   UNION ALL
-  SELECT CAST(n_nationkey AS BIGINT) + 2000000, n_name, 'http://missing.example.test/' || CAST(n_nationkey AS VARCHAR) FROM nation
+  SELECT CAST(n_nationkey AS BIGINT) * 4 + 2, n_name, 'http://missing.example.test/' || CAST(n_nationkey AS VARCHAR) FROM nation
   UNION ALL
-  SELECT CAST(r_regionkey AS BIGINT) + 3000000, r_name, CAST(NULL AS VARCHAR) FROM region)"""
+  SELECT CAST(r_regionkey AS BIGINT) * 4 + 3, r_name, CAST(NULL AS VARCHAR) FROM region)"""
 
 
 def _stub(k: str) -> str:
@@ -136,34 +154,33 @@ RUNS_RE = P.WS + "*" + P.NODE_SEP_RE + "[" + P.WS[1:-1] + P.NODE_SEP_RE + "]*"
 EXTRACT = f"""
 s0 AS (
   SELECT page_id, url, html,
-    regexp_replace(html, {q(P.HIDDEN_RE)}, {q(P.HIDDEN_MARK)}, 'g') AS clean
+    regexp_replace(translate(html, chr(1), {HELD_BACK}), {q(P.HIDDEN_RE)}, {q(P.HIDDEN_MARK)}, 'g') AS clean
   FROM pg),
 s1 AS (
   SELECT *,
     regexp_replace(clean, {q(P.TAG_RE_RE2)}, chr(1), 'g') AS marked,
     regexp_extract(clean, {q(P.TITLE_RE)}, 1) AS title_in,
     regexp_matches(clean, {q(P.TITLE_OPEN_RE)}) AS has_title,
-    list_filter(regexp_extract_all(clean, {q(P.META_TAG_RE_RE2)}, 0), lambda t: regexp_matches(t, {q(P.NAME_IS_DESCRIPTION_RE)}))[1] AS desc_tag,
-    list_transform(regexp_extract_all(clean, {q(P.ANCHOR_TAG_RE_RE2)}, 0), lambda t: regexp_extract(t, {q(P.HREF_VALUE_RE)}, 1)) AS hrefs_q,
-    {strip(f"regexp_replace({unesc('marked')}, {q(RUNS_RE)}, ' ', 'g')")} AS txt
+    list_filter(regexp_extract_all(clean, {q(P.META_TAG_RE_RE2)}, 0), lambda t: {attribute('t', 'name')} = 'description')[1] AS desc_tag,
+    list_filter(list_transform(regexp_extract_all(clean, {q(P.ANCHOR_TAG_RE_RE2)}, 0), lambda t: {attribute('t', 'href')}), lambda h: h IS NOT NULL) AS hrefs,
+    translate({strip(f"regexp_replace({unesc('marked')}, {q(RUNS_RE)}, ' ', 'g')")}, {HELD_BACK}, chr(1)) AS txt
   FROM s0),
 s2 AS (
   SELECT *,
-    regexp_extract(desc_tag, {q(P.CONTENT_VALUE_RE)}, 1) AS content_q,
-    list_filter(string_split({unesc(f"array_to_string(list_transform(hrefs_q, lambda h: {unquote('h')}), chr(1))")}, chr(1)),
-                lambda h: regexp_matches(lower(h), {q(P.DOWNLOAD_LINK_RE)})) AS links,
+    {attribute('desc_tag', 'content')} AS content,
+    list_filter(list_transform(hrefs, lambda h: translate({unesc('h')}, {HELD_BACK}, chr(1))), lambda h: regexp_matches(lower(h), {q(P.DOWNLOAD_LINK_RE)})) AS links,
     list_sort(list_distinct(regexp_extract_all(html, {q(P.FORMAT_RE_RE2)}, 1))) AS formats,
     concat_ws(', ', {", ".join(f"CASE WHEN contains(lower(txt), {q(k.lower())}) THEN {q(k)} END" for k in P.LICENSE_KEYWORDS)}) AS lic,
     CASE WHEN html IS NULL THEN 'no_page'
          WHEN has_title AND title_in = '' THEN 'empty_title'
          WHEN has_title AND regexp_matches(title_in, {q(P.NESTED_MARKUP_RE)}) THEN 'nested_title'
-         WHEN desc_tag IS NOT NULL AND NOT regexp_matches(desc_tag, {q(P.CONTENT_PRESENT_RE)}) THEN 'meta_without_content'
+         WHEN desc_tag IS NOT NULL AND content IS NULL THEN 'meta_without_content'
     END AS scrape_error
   FROM s1),
 ex AS (
   SELECT page_id, url, {url_key('url')} AS url_key, scrape_error, scrape_error IS NULL AS scrape_ok,
     CASE WHEN scrape_error IS NULL THEN (CASE WHEN NOT has_title THEN 'Not found' ELSE {strip(unesc('title_in'))} END) END AS title,
-    CASE WHEN scrape_error IS NULL THEN (CASE WHEN desc_tag IS NULL THEN 'Not found' ELSE {strip(unesc(unquote('content_q')))} END) END AS description,
+    CASE WHEN scrape_error IS NULL THEN (CASE WHEN desc_tag IS NULL THEN 'Not found' ELSE {strip(unesc('content'))} END) END AS description,
     CASE WHEN scrape_error IS NULL THEN (CASE WHEN lic = '' THEN 'Not detected' ELSE lic END) END AS license_info,
     CASE WHEN scrape_error IS NULL THEN (CASE WHEN len(formats) = 0 THEN ['None detected'] ELSE formats END) END AS file_formats,
     CASE WHEN scrape_error IS NULL THEN (CASE WHEN len(links) = 0 THEN ['None detected'] ELSE links END) END AS download_links,
@@ -219,15 +236,12 @@ prompts AS (
     {_SYSTEM} AS system_content, CAST({_MAXTOK} AS INTEGER) AS max_tokens
   FROM filled),
 reqs AS (
-  SELECT *, sha256(concat_ws(chr(1), strategy, CAST(row_id AS VARCHAR), user_content)) AS request_id FROM prompts)"""
-
-
-def _gate(r: str) -> str:
-    return " AND ".join(f"instr({r}, {q(c)}) > 0" for c in ("F-Score (", "A-Score (", "I-Score (", "R-Score ("))
+  SELECT *, sha256(concat_ws(chr(1), strategy, CAST(row_id AS VARCHAR), {q(S.MODEL)}, {q(str(S.TEMPERATURE))}, CAST(max_tokens AS VARCHAR),
+    system_content, user_content)) AS request_id FROM prompts)"""
 
 
 def _parse_cols(r: str, pat: str) -> dict[str, str]:
-    ok = f"coalesce({_gate(r)} AND regexp_matches({r}, {q(pat)}), false)"
+    ok = f"coalesce(regexp_matches({r}, {q(pat)}), false)"
     cols = {"parse_ok": ok, "parsed_dataset_name": f"CASE WHEN {ok} THEN {strip(f'regexp_extract({r}, {q(pat)}, 1)')} END"}
     for i, name in enumerate(("f_score", "a_score", "i_score", "r_score"), start=2):
         cols[name] = f"CASE WHEN {ok} THEN TRY_CAST(regexp_extract({r}, {q(pat)}, {i}) AS BIGINT) END"
@@ -258,7 +272,8 @@ uni AS (
     response AS fair_raw_output, title AS scraped_title, license_info AS scraped_license,
     file_formats AS scraped_file_formats, scrape_error, parse_ok AS parse_success,
     parsed_dataset_name, f_score, a_score, i_score, r_score, {_validity()},
-    {_MULTI} AS multi_row_reply
+    {_MULTI} AS multi_row_reply,
+    CASE WHEN (row_id + strategy_ord) % 8 IN (0, 1, 6) THEN 2 ELSE 1 END::BIGINT AS reply_count
   FROM parsed)"""
 
 
@@ -278,10 +293,19 @@ def _page_field(expr: str, alias: str) -> str:
     return _with(*_EXTRACT_CHAIN) + f"SELECT page_id, scrape_error, {expr} AS {alias} FROM ex"
 
 
+_TURN_ROWS = "concat('| EX | F-Score (1/17) |', coalesce(text, ''), ' | I-Score (2/8) | A-Score (3/10) |')"
+_TURN_STUB = f"coalesce({_stub('k')}, '')"
+TURNS = f"""
+  SELECT conv_id, turn, CASE k % 5 WHEN 0 THEN concat(text, chr(10), {_TURN_STUB}, chr(10), text)
+    WHEN 1 THEN concat({_TURN_ROWS}, chr(10), {_TURN_STUB}) WHEN 2 THEN concat({_TURN_STUB}, chr(10), {_TURN_ROWS})
+    WHEN 3 THEN {_stub('k')} ELSE text END AS response
+  FROM (SELECT conv_id, turn, text, conv_id * 3 + turn AS k FROM conversations)"""
+
+
 def _page_parse(pat: str) -> str:
     cols = _parse_cols("response", pat)
     body = ", ".join(f"{v} AS {k}" for k, v in cols.items())
-    return f"SELECT page_id, {body} FROM (SELECT page_id, {_stub('page_id')} AS response FROM pages)"
+    return f"SELECT conv_id, turn, {body} FROM ({TURNS})"
 
 
 def _record(dialect: str) -> str:
@@ -302,7 +326,24 @@ _B_COLS = f"""strategy, row_id, dataset_name, website_link, fair_raw_output, scr
 _U_COLS = """strategy, dialect, row_id, request_id, dataset_name, website_link, fair_raw_output, scraped_title,
   scraped_license, array_to_string(scraped_file_formats, ' || ') AS scraped_file_formats, scrape_error,
   parse_success, valid_scores, parsed_dataset_name, f_score, a_score, i_score, r_score,
-  f_valid, a_valid, i_valid, r_valid, all_valid, multi_row_reply"""
+  f_valid, a_valid, i_valid, r_valid, all_valid, multi_row_reply, reply_count"""
+
+def _csv_cell(e: str) -> str:
+    """Quoted when it holds a comma, a quote or a line end, or is empty; NULL is nothing."""
+    return (
+        f"(CASE WHEN {e} IS NULL THEN '' WHEN {e} = '' THEN '\"\"' WHEN regexp_matches({e}, '[,\"\\r\\n]') "
+        f"THEN '\"' || replace({e}, '\"', '\"\"') || '\"' ELSE {e} END)"
+    )
+
+
+_CSV_CELLS = ", ".join(
+    _csv_cell("array_to_string(scraped_file_formats, ', ')" if c == "scraped_file_formats" else f"CAST({c} AS VARCHAR)")
+    for c in DISPLAY_A
+)
+CATALOG_CSV = """
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'Set "' || page_id || '", a' WHEN 1 THEN ' DS' || page_id || ' '
+  WHEN 3 THEN 'NA' END AS dataset_name, url AS website_link
+FROM pages"""
 
 _PRINCIPLE_ROWS = " UNION ALL ".join(
     f"SELECT strategy, row_id, {q(name)} AS principle, {letter}_score AS score, {mx} AS max_score, {letter}_valid AS valid FROM uni"
@@ -336,9 +377,14 @@ def oracle_sql() -> dict[str, str]:
         "md5(system_content) AS system_md5, md5(user_content) AS user_md5 FROM reqs",
         "parse_strict": _page_parse(P.STRICT_REPLY_RE),
         "parse_lenient": _page_parse(P.LENIENT_REPLY_RE),
-        "validate_a": f"SELECT page_id, parse_ok, f_score, a_score, i_score, r_score, {_validity()} FROM ({_page_parse(P.STRICT_REPLY_RE)})",
-        "validate_b": f"SELECT page_id, parse_ok, f_score, a_score, i_score, r_score, {_validity()} FROM ({_page_parse(P.LENIENT_REPLY_RE)})",
-        "reply_source": f"SELECT page_id, {_stub('page_id')} AS response FROM pages",
+        "validate_a": f"SELECT conv_id, turn, parse_ok, f_score, a_score, i_score, r_score, {_validity()} FROM ({_page_parse(P.STRICT_REPLY_RE)})",
+        "validate_b": f"SELECT conv_id, turn, parse_ok, f_score, a_score, i_score, r_score, {_validity()} FROM ({_page_parse(P.LENIENT_REPLY_RE)})",
+        "reply_source": f"SELECT conv_id || '-' || turn AS request_id, response FROM ({TURNS})",
+        "request_json": _with(*_REQ_CHAIN)
+        + f"SELECT request_id, strategy, row_id, {q(S.MODEL)} AS model, CAST({S.TEMPERATURE} AS DOUBLE) AS temperature, max_tokens, "
+        "'system' AS first_role, 'user' AS second_role, md5(system_content) AS system_md5, md5(user_content) AS user_md5 FROM reqs",
+        "result_csv_line": _with(*_UNI_CHAIN) + f"SELECT row_id, concat_ws(',', {_CSV_CELLS}) AS line FROM uni WHERE dialect = 'A'",
+        "catalog_csv": CATALOG_CSV,
         "result_a": _with(*_UNI_CHAIN) + f"SELECT {_A_COLS} FROM uni WHERE dialect = 'A'",
         "result_b": _with(*_UNI_CHAIN) + f"SELECT {_B_COLS} FROM uni WHERE dialect = 'B'",
         "result_unified": _with(*_UNI_CHAIN) + f"SELECT {_U_COLS} FROM uni",

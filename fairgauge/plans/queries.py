@@ -15,18 +15,15 @@ from pyspark.sql import functions as F
 from fairgauge.operators import results as R
 from fairgauge.operators.extract import fill_error_record, visible_text
 from fairgauge.operators.joins import attach_pages, attach_replies, fan_out
-from fairgauge.operators.parse import lenient, strict
-from fairgauge.operators.prompts import envelope, with_requests
+from fairgauge.operators.parse import parsed_as
+from fairgauge.operators.prompts import envelope, request_lines, with_requests
 from fairgauge.operators.validate import valid_a, valid_b
 from fairgauge.plans import fixtures as X
 from fairgauge.plans.strategies import strategies
-from fairgauge.sources.catalog import keyed
+from fairgauge.sources.catalog import CSV_OPTIONS, keyed
 from fairgauge.sources.pages import extract_pages
 from fairgauge.sources.replies import normalise_replies
 
-#: Catalogue rows per key above which JOIN-1 salts a key. The fixture's hot
-#: landing page holds ~n_pages rows, so this splits it at every scale.
-FIXTURE_HOT_ROWS = 16
 SEP = " || "
 
 
@@ -44,7 +41,7 @@ def _catalog(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def joined_catalog(spark: SparkSession, sf: str) -> DataFrame:
-    return attach_pages(keyed(_catalog(spark, sf)), _extracted(spark, sf), FIXTURE_HOT_ROWS)
+    return attach_pages(keyed(_catalog(spark, sf)), _pages(spark, sf))
 
 
 def request_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,12 +116,9 @@ def request_envelope(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _parse(kind: str) -> Callable[[SparkSession, str], DataFrame]:
-    fn = strict if kind == "A" else lenient
-
     def q(spark: SparkSession, sf: str) -> DataFrame:
-        replies = X.page_replies(X.load(spark, sf, "pages"))
-        cols = fn(F.col("response"))
-        return replies.select("page_id", *[c.alias(k) for k, c in cols.items()])
+        replies = X.turn_replies(X.load(spark, sf, "conversations"))
+        return parsed_as(replies, kind).drop("response")
 
     return q
 
@@ -135,7 +129,7 @@ def _validate(kind: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf: str) -> DataFrame:
         checked = valid_b(valid_a(parse(spark, sf)))
         return checked.select(
-            "page_id", "parse_ok", "f_score", "a_score", "i_score", "r_score",
+            "conv_id", "turn", "parse_ok", "f_score", "a_score", "i_score", "r_score",
             "valid_scores", "f_valid", "a_valid", "i_valid", "r_valid", "all_valid",
         )
 
@@ -143,8 +137,37 @@ def _validate(kind: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def reply_source(spark: SparkSession, sf: str) -> DataFrame:
-    bodies = X.completion_bodies(X.page_replies(X.load(spark, sf, "pages")))
-    return normalise_replies(bodies.withColumnRenamed("page_id", "request_id")).withColumnRenamed("request_id", "page_id")
+    bodies = X.completion_bodies(X.turn_replies(X.load(spark, sf, "conversations")))
+    keyed_bodies = bodies.select(F.concat_ws("-", "conv_id", "turn").alias("request_id"), "body")
+    return normalise_replies(keyed_bodies)
+
+
+def request_json(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-2: the written JSON lines, read back field by field."""
+    messages = "messages array<struct<role:string,content:string>>"
+    schema = f"request_id string, strategy string, row_id long, request struct<model:string,{messages.replace(' ', ':', 1)},temperature:double,max_tokens:int>"
+    line = F.from_json("value", schema)
+    body = line["request"]
+    return request_lines(request_table(spark, sf)).select(
+        line["request_id"].alias("request_id"), line["strategy"].alias("strategy"), line["row_id"].alias("row_id"),
+        body["model"].alias("model"), body["temperature"].alias("temperature"), body["max_tokens"].alias("max_tokens"),
+        body["messages"][0]["role"].alias("first_role"), body["messages"][1]["role"].alias("second_role"),
+        F.md5(body["messages"][0]["content"]).alias("system_md5"), F.md5(body["messages"][1]["content"]).alias("user_md5"),
+    )
+
+
+def result_csv_line(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-1: each zero-shot row as the CSV text that the sink writes for it."""
+    rows = R.result_a(unified_results(spark, sf))
+    cells = F.struct(*[F.col(c).cast("string").alias(c) for c in R.DISPLAY_A])
+    return rows.select("row_id", F.to_csv(cells, {k: str(v).lower() if isinstance(v, bool) else v for k, v in R.CSV_OPTIONS.items()}).alias("line"))
+
+
+def catalog_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-1: catalogue lines read with the source's options."""
+    lines = X.catalog_lines(X.load(spark, sf, "pages"))
+    cells = F.from_csv("value", "dataset_name string, website_link string, rest string", CSV_OPTIONS)
+    return lines.select("page_id", cells["dataset_name"].alias("dataset_name"), cells["website_link"].alias("website_link"))
 
 
 def result_a(spark: SparkSession, sf: str) -> DataFrame:
@@ -192,6 +215,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validate_a": _validate("A"),
     "validate_b": _validate("B"),
     "reply_source": reply_source,
+    "request_json": request_json,
+    "result_csv_line": result_csv_line,
+    "catalog_csv": catalog_csv,
     "result_a": result_a,
     "result_b": result_b,
     "result_unified": result_unified,

@@ -4,7 +4,6 @@ cluster has not set them already."""
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -38,22 +37,3 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only when it is unset (local tests) is a scratch folder created and
-    registered.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    path = tempfile.mkdtemp(prefix="fairgauge-ckpt-")
-    sc.setCheckpointDir(path)
-    return path

@@ -3,7 +3,9 @@
 The catalogue is a CSV of ``Dataset Name, Website Link`` (other columns are
 ignored). All columns are read as strings — no type inference, so a name
 like ``NA`` or ``1`` stays text — and each row gets a surrogate ``row_id``
-because names repeat. ``row_id`` follows input order.
+because names repeat: a caller's key column, or else a hash of the row and of
+its number among equal rows. Neither depends on how the file was split, so the
+requests of a rerun keep their ids.
 """
 
 from __future__ import annotations
@@ -13,6 +15,9 @@ from pyspark.sql import functions as F
 
 from fairgauge.functions.text import strip
 
+#: How catalogue cells are quoted: a quote inside a quoted cell is doubled.
+CSV_OPTIONS = {"escape": '"'}
+
 #: Header names the scoring scripts read, and our column names for them.
 REQUIRED_COLUMNS = {"Dataset Name": "dataset_name", "Website Link": "website_link"}
 
@@ -29,39 +34,53 @@ def url_key(url: Column) -> Column:
 def check_columns(columns: list[str]) -> None:
     """SRC-2: refuse a catalogue without both required headers."""
     if not all(c in columns for c in REQUIRED_COLUMNS):
-        raise ValueError("CSV must contain 'Dataset Name' and 'Website Link' columns.")
+        missing = [c for c in REQUIRED_COLUMNS if c not in columns]
+        raise ValueError(f"the catalogue lacks {missing}; it has {columns}")
 
 
-def read_catalog(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_catalog(spark: SparkSession, path: str, multi_line: bool = False, key_column: str | None = None) -> DataFrame:
     """SRC-1: read the catalogue CSV (UTF-8, BOM and CRLF tolerated), or a
-    parquet catalogue with the same two columns.
+    parquet catalogue with the same two columns. ``key_column`` names an integer
+    column that serves as ``row_id``.
 
-    Quoted cells may span lines, as pandas allows; Spark reads such a CSV one
-    file per task, so a large catalogue should come as many files, as
-    parquet, or with ``multi_line=False`` when no cell holds a newline.
+    A CSV is split between tasks. ``multi_line=True`` lets quoted cells span
+    lines, as pandas allows; Spark then reads each file in one task, so a large
+    catalogue of that kind should come as many files or as parquet.
     """
     if path.endswith(".parquet"):
         raw = spark.read.parquet(path)
         check_columns(raw.columns)
-        cols = [F.col(f"`{src}`").cast("string").alias(dst) for src, dst in REQUIRED_COLUMNS.items()]
-        return with_row_id(raw.select(*cols))
+        return _with_ids(raw, key_column)
     raw = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("multiLine", multi_line)
-        .option("escape", '"')
+        .options(**CSV_OPTIONS)
         .csv(path)
     )
     # Without inference every column is a string; empty cells are NULL.
     raw = raw.toDF(*[c.lstrip("﻿") for c in raw.columns])
     check_columns(raw.columns)
-    named = raw.select(*[F.col(f"`{src}`").alias(dst) for src, dst in REQUIRED_COLUMNS.items()])
-    return with_row_id(named)
+    return _with_ids(raw, key_column)
+
+
+def _with_ids(raw: DataFrame, key_column: str | None) -> DataFrame:
+    cols = [F.col(f"`{src}`").cast("string").alias(dst) for src, dst in REQUIRED_COLUMNS.items()]
+    if key_column:
+        return raw.select(*cols, F.col(f"`{key_column}`").cast("bigint").alias("row_id"))
+    return with_row_id(raw.select(*cols))
 
 
 def with_row_id(df: DataFrame) -> DataFrame:
-    """Attach ``row_id``: stable for a given input split, ordered like the input."""
-    return df.withColumn("row_id", F.monotonically_increasing_id())
+    """Attach ``row_id``: a 64-bit hash of the row and its number among equal
+    rows. Equal rows are counted (a partial aggregate) and written out again by
+    that count, so no group of them meets in one task. At billions of rows two
+    hashes may meet; pass a key column there."""
+    cols = df.columns
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = counted.select(*cols, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_k"))
+    marks = [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-")) for c in cols]
+    return numbered.withColumn("row_id", F.xxhash64(*marks, "_k")).drop("_k")
 
 
 def keyed(catalog: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 """SRC-3, re-aimed: the crawl table ``pages(page_id, url, html)`` replaces the
 per-row HTTP fetch.
 
-Extraction runs here, on the scan side, so the wide ``html`` column is read,
-reduced to a record of a few KB and dropped inside the first stage.
+Extraction is a projection on the scan: the wide ``html`` column is read,
+reduced to a record of a few KB and dropped inside one stage. How many tasks
+share that stage follows from the crawl's row groups and
+``spark.sql.files.maxPartitionBytes``.
 """
 
 from __future__ import annotations
@@ -13,31 +15,12 @@ from pyspark.sql import functions as F
 from fairgauge.operators.extract import with_scraped
 from fairgauge.sources.catalog import url_key
 
-PAGES_SCHEMA = "page_id bigint, url string, html string"
-
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("page_id", "url", "html")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give extraction every core when the scan arrives in fewer splits than
-    the cluster has slots (a small crawl packed in one row group). A crawl of
-    cluster size already scans in thousands of splits and is left alone, so
-    HTML is shuffled only when there is little of it."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a remote session): leave it
-        return df
-    return df.repartition(slots) if splits < slots else df
-
-
 def extract_pages(pages: DataFrame) -> DataFrame:
-    """Keyed, extracted pages: ``page_id, url_key`` plus the scraped record.
-
-    Not yet unique per key; :func:`fairgauge.operators.joins.attach_pages`
-    keeps the lowest ``page_id`` of each key after its one shuffle.
-    """
-    keyed = spread(pages.select("page_id", url_key(F.col("url")).alias("url_key"), "html"))
-    return with_scraped(keyed, "html")
+    """Keyed, extracted pages: ``page_id, url_key`` plus the scraped record, for
+    every row of the crawl (JOIN-1 extracts only what a catalogue needs)."""
+    return with_scraped(pages.select("page_id", url_key(F.col("url")).alias("url_key"), "html"), "html")

@@ -40,7 +40,8 @@ def score_replies(replies: DataFrame) -> DataFrame:
     return checked.select(
         "request_id", "strategy", "row_id", "dialect",
         F.col("response").alias("fair_raw_output"),
-        F.col("parse_ok").alias("parse_success"),
+        F.coalesce("parse_ok", F.lit(False)).alias("parse_success"),
+        F.col("dialect").isNull().alias("unknown_strategy"),
         "valid_scores", "parsed_dataset_name", "f_score", "a_score", "i_score", "r_score",
         "f_valid", "a_valid", "i_valid", "r_valid", "all_valid",
         multi_row_reply(F.col("response")).alias("multi_row_reply"),

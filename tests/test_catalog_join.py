@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from fairgauge.operators.joins import attach_pages, hot_keys
+from fairgauge.operators.joins import attach_pages, hot_keys, needed_pages
 from fairgauge.plans import fixtures as X
 from fairgauge.sources.catalog import keyed, read_catalog
 from fairgauge.sources.pages import extract_pages
@@ -31,15 +31,34 @@ def _write(text):
 
 
 def test_read_catalog_traps(spark):
-    rows = read_catalog(spark, _write(CSV)).orderBy("row_id").collect()
-    assert [r["dataset_name"] for r in rows] == ["Alpha", "Beta", "Alpha", "NA", "1"]
-    assert rows[0]["website_link"] == "https://a.example.org/x "  # kept verbatim
-    assert rows[3]["website_link"] is None
-    assert rows[4]["website_link"] == "https://c.example.org/z,comma"
-    assert len({r["row_id"] for r in rows}) == 5
-    keys = keyed(read_catalog(spark, _write(CSV))).orderBy("row_id").collect()
-    assert keys[0]["url_key"] == keys[1]["url_key"] == "https://a.example.org/x"
-    assert keys[3]["url_key"] is None
+    rows = keyed(read_catalog(spark, _write(CSV))).collect()
+    assert {(r["dataset_name"], r["website_link"], r["url_key"]) for r in rows} == {
+        ("Alpha", "https://a.example.org/x ", "https://a.example.org/x"),  # the link is kept verbatim
+        ("Beta", "https://a.example.org/x#frag", "https://a.example.org/x"),
+        ("Alpha", "https://b.example.org/y?q=%20", "https://b.example.org/y?q=%20"),
+        ("NA", None, None),
+        ("1", "https://c.example.org/z,comma", "https://c.example.org/z,comma"),
+    }
+    assert len({r["row_id"] for r in rows}) == len(rows) == 5
+
+
+def test_row_ids_do_not_depend_on_splits(spark):
+    path = _write("Dataset Name,Website Link\r\n" + "".join(f"D{i % 700},http://x/{i % 350}\r\n" for i in range(4000)))
+    read = lambda: sorted(tuple(r) for r in read_catalog(spark, path).select("row_id", "dataset_name", "website_link").collect())
+    whole = read()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        assert read() == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len({r[0] for r in whole}) == 4000
+
+
+def test_multi_line_cells_and_key_column(spark):
+    path = _write('Dataset Name,Website Link,n\r\n"two\nlines",http://x,7\r\nB,http://y,8\r\n')
+    rows = read_catalog(spark, path, multi_line=True, key_column="n").collect()
+    assert {(r["row_id"], r["dataset_name"]) for r in rows} == {(7, "two\nlines"), (8, "B")}
 
 
 def test_missing_column_is_rejected(spark):
@@ -51,7 +70,7 @@ def test_missing_column_is_rejected(spark):
 def inputs(spark):
     pages = X.load(spark, SF_SMALL, "pages")
     cat = keyed(X.catalog_fixture(pages, X.load(spark, SF_SMALL, "nation"), X.load(spark, SF_SMALL, "region")))
-    return cat, extract_pages(X.overlay_pages(pages))
+    return cat, X.overlay_pages(pages)
 
 
 def _rows(df):
@@ -59,25 +78,59 @@ def _rows(df):
 
 
 def test_salted_join_equals_plain_join(spark, inputs):
-    cat, ext = inputs
-    salted = attach_pages(cat, ext, hot_rows=4)
-    plain = attach_pages(cat, ext, hot_rows=10**12)
+    cat, pages = inputs
+    salted = attach_pages(cat, pages, hot_rows=4)
+    plain = attach_pages(cat, pages, hot_rows=10**12)
     assert hot_keys(cat, 4).count() >= 1
+    assert _rows(attach_pages(cat, pages)) == _rows(plain)
     assert _rows(salted) == _rows(plain)
     assert salted.count() == cat.count()
 
 
 def test_join_picks_lowest_page_per_key(spark, inputs):
-    cat, ext = inputs
-    got = {r["row_id"]: r["page_id"] for r in attach_pages(cat, ext, 4).collect()}
+    cat, crawl = inputs
+    got = {r["row_id"]: r["page_id"] for r in attach_pages(cat, crawl, 4).collect()}
     pages = {}
-    for r in ext.select("page_id", "url_key").collect():
+    for r in extract_pages(crawl).select("page_id", "url_key").collect():
         if r["url_key"] is not None:
             pages[r["url_key"]] = min(pages.get(r["url_key"], r["page_id"]), r["page_id"])
     for r in cat.collect():
         assert got[r["row_id"]] == pages.get(r["url_key"])
 
 
+def test_buckets_are_bounded_by_the_partitions(spark, inputs):
+    cat, _ = inputs
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for hot_rows in (None, 1):
+        hot = hot_keys(cat, hot_rows).collect()
+        assert hot and all(2 <= r["_buckets"] <= n for r in hot)
+    assert len(hot_keys(cat).collect()) < n
+
+
+def test_only_needed_pages_are_extracted(spark):
+    crawl = [(i, "http://one/a", f"<title>copy {i}</title>") for i in range(1000, 0, -1)]
+    crawl += [(5000 + i, f"http://other/{i}", "<title>no</title>") for i in range(300)]
+    crawl += [(2000, "http://two/b#x", "<title>two</title>"), (2000, "http://two/b", "<title>again</title>"), (None, "http://three/c", "<title>3</title>")]
+    pages = spark.createDataFrame(crawl, "page_id long, url string, html string")
+    cat = keyed(spark.createDataFrame(
+        [(1, "A", "http://one/a"), (2, "B", "http://two/b"), (3, "C", "http://three/c"), (4, "D", None), (5, "E", "http://gone/")],
+        "row_id long, dataset_name string, website_link string"))
+    assert {(r["url_key"], r["page_id"]) for r in needed_pages(cat, pages).collect()} == {
+        ("http://one/a", 1), ("http://two/b", 2000), ("http://three/c", None)}
+    got = {r["row_id"]: (r["title"], r["scrape_error"]) for r in attach_pages(cat, pages).collect()}
+    assert got[1] == ("copy 1", None) and got[2][0] in ("two", "again") and got[3] == ("3", None)
+    assert got[4] == got[5] == (None, "no_page")
+    assert got == {r["row_id"]: (r["title"], r["scrape_error"]) for r in attach_pages(cat, pages.repartition(5)).collect()}
+
+
+def test_rows_without_a_link_stay_where_they_are(spark):
+    cat = keyed(spark.range(0, 4000, 1, 8).selectExpr(
+        "id AS row_id", "'D' AS dataset_name", "if(id % 10 < 3, null, concat('http://p/', id % 50)) AS website_link"))
+    pages = spark.range(50).selectExpr("id AS page_id", "concat('http://p/', id) AS url", "'<title>t</title>' AS html")
+    sizes = attach_pages(cat, pages).groupBy(F.spark_partition_id().alias("p"), F.col("url_key").isNull().alias("none")).count().where("none").collect()
+    assert sum(r["count"] for r in sizes) == 1200 and max(r["count"] for r in sizes) <= 200
+
+
 def test_hot_key_holds_many_rows(spark, inputs):
     cat, _ = inputs
     top = cat.groupBy("url_key").count().orderBy(F.desc("count")).first()
@@ -88,5 +141,5 @@ def test_read_parquet_catalogue(spark):
     d = tempfile.mkdtemp(prefix="fairgauge-test-")
     src = spark.createDataFrame([("A", "http://x/#a", 1), ("B", None, 2)], "`Dataset Name` string, `Website Link` string, n int")
     src.write.parquet(f"{d}/cat.parquet")
-    rows = read_catalog(spark, f"{d}/cat.parquet").orderBy("row_id").collect()
-    assert [(r["dataset_name"], r["website_link"]) for r in rows] == [("A", "http://x/#a"), ("B", None)]
+    rows = read_catalog(spark, f"{d}/cat.parquet").collect()
+    assert {(r["dataset_name"], r["website_link"]) for r in rows} == {("A", "http://x/#a"), ("B", None)}

@@ -1,6 +1,10 @@
 """Extraction (EX-1 … EX-9) on hand-written HTML; expected values are read
 off the scraping step's behaviour (FIXTURES.md §3)."""
 
+import random
+import re
+from html.parser import HTMLParser
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,7 +61,10 @@ TEXT_CASES = [
     ("<title>T</title>a<b>b</b>c<br> d \n e <style>p{}</style>&nbsp;f<!-- z -->g", "T a b c d \n e f g"),
     ("<!DOCTYPE html><p>  x  </p>\n\n<p>y</p><script>s</script><template>t</template>", "x y"),
     ("a < b &amp;lt; c", "a < b &lt; c"),
-    ("&eacute;t&#233; &#x27;q&#39; &notit; &amp", "été 'q' &notit; &amp"),
+    ("&eacute;t&#233; &#x27;q&#39; &notit; &amp &copy 2020", "été 'q' ¬it; & © 2020"),
+    ("<p class=it's>Body</p><p>a\x01b</p>", "Body a\x01b"),
+    ('<a href="/a.csv"">click here</a> then <b title=">">x</b>', "click here then x"),
+    ("&#00000000000000000000065;&#x000000000000000000000041;", "AA"),
 ]
 
 
@@ -109,6 +116,59 @@ def test_error_record_by_dialect(spark):
     assert ok["title"] == "t" and ok["file_formats"] == ["None detected"]
 
 
+TAG_CASES = [
+    # html, links, description
+    ('<a href="/a.csv"">click here</a><a href="/b.csv">', ["/a.csv", "/b.csv"], None),
+    ("<a title=\"see href='/x.csv' here\" href=\"/y.html\">", ["None detected"], None),
+    ('<a data-href="/n.csv" hreflang=/m.csv>x</a>', ["None detected"], None),
+    ('<a href="/first.csv" href="/second.csv">x</a><A HREF=/u.json>', ["/first.csv", "/u.json"], None),
+    ("<a href='/q\x01r.csv'>x</a>", ["/q\x01r.csv"], None),
+    ('<a class=x\nhref = "/s p.zip">x</a><a href>y</a>', ["/s p.zip"], None),
+    ("<meta content=\" name='description' \" property=x><meta name=description content=real>", ["None detected"], "real"),
+    ('<meta name="description"content="close">', ["None detected"], "close"),
+]
+
+
+@pytest.mark.parametrize("html,links,description", TAG_CASES)
+def test_attributes_are_read_from_left_to_right(spark, html, links, description):
+    r = with_scraped(spark.createDataFrame([(html,)], "html string")).first()
+    assert r["download_links"] == links
+    assert r["description"] == (description or "Not found")
+
+
+def test_well_formed_tags_against_the_standard_parser(spark):
+    rnd = random.Random(5)
+    pages = []
+    for _ in range(150):
+        page = ""
+        for _ in range(rnd.randrange(1, 6)):
+            attributes = [
+                rnd.choice(["href", "HREF", "title", "data-x", "class"]) + rnd.choice(["=", " = "])
+                + rnd.choice(['"%s"', "'%s'"]) % rnd.choice(["/a.csv", "x > y.zip", "href=/q.json", "&amp;.xml", "name=description", " "])
+                for _ in range(rnd.randrange(4))
+            ]
+            names = [a.split("=")[0].strip().lower() for a in attributes]
+            attributes = [a for k, a in enumerate(attributes) if names[k] not in names[:k]]
+            page += "<a " + " ".join(attributes) + ">" + rnd.choice(["x", "a.csv", " it's ", "&lt;"]) + "</a>"
+        pages.append(page)
+
+    class Reader(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            self.links += [v for k, v in attrs if k == "href" and re.search(r"\.(csv|json|zip|xlsx|xml)", v.lower())]
+
+        def handle_data(self, data):
+            self.texts.append(data.strip())
+
+    rows = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    for r in with_scraped(rows).collect():
+        reader = Reader()
+        reader.links, reader.texts = [], []
+        reader.feed(pages[r["i"]])
+        reader.close()
+        assert r["download_links"] == (reader.links or ["None detected"]), pages[r["i"]]
+        assert r["raw_text_snippet"] == " ".join(t for t in reader.texts if t), pages[r["i"]]
+
+
 def test_long_attributes_and_unclosed_blocks(spark):
     """A 200 KB unquoted attribute once overflowed Java's regex stack and
     killed the executor; unclosed comments and scripts run to the end."""

@@ -30,10 +30,10 @@ def test_every_extraction_branch_has_rows(ext):
 
 
 def test_every_reply_shape_and_parse_outcome(spark):
-    replies = X.page_replies(X.load(spark, SF_MID, "pages"))
-    cols = {f"a_{k}": c for k, c in strict(F.col("response")).items()}
-    cols.update({f"b_{k}": c for k, c in lenient(F.col("response")).items()})
-    p = replies.select("page_id", "response", *[c.alias(k) for k, c in cols.items()]).toPandas()
+    replies = X.turn_replies(X.load(spark, SF_MID, "conversations"))
+    both = replies.select("response", strict(F.col("response")).alias("a"), lenient(F.col("response")).alias("b"))
+    fields = ("parse_ok", "a_score", "r_score")
+    p = both.select("response", *[F.col(f"{t}.{k}").alias(f"{t}_{k}") for t in "ab" for k in fields]).toPandas()
     assert p.response.isna().any() and (p.response == "").any()
     assert p.a_parse_ok.any() and (~p.a_parse_ok).any()
     assert (p.b_parse_ok & ~p.a_parse_ok).any()          # no closing pipe

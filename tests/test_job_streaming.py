@@ -6,10 +6,13 @@ import os
 import tempfile
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from fairgauge.plans.evaluate import write_requests, write_results
+from fairgauge.operators.results import DISPLAY_A, DISPLAY_B
 from fairgauge.plans import fixtures as X
+from fairgauge.plans.strategies import STRATEGIES
 from fairgauge.streaming.replies import score_replies, start_scoring
 from tests.conftest import SF_SMALL
 
@@ -56,12 +59,22 @@ def test_results_and_csv_round_trip(spark, job):
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .csv(f"{out}/results_zero_shot_csv"))
     assert back.count() == n
-    assert "FAIR Raw Output" in back.columns and "Valid Scores" in back.columns
+    assert back.columns == list(DISPLAY_A.values()) and len(back.columns) == 13
     raw = back.first()["FAIR Raw Output"]
     assert raw.startswith("  Here:\n|") and raw.endswith("|\n")
-    shot = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{out}/results_shot_csv")
-    assert shot.count() == n * 3 and "All Valid" in shot.columns
-    assert shot.where(F.col("Scraped File Formats").startswith("[")).count() == n * 3
+    for s in STRATEGIES:
+        if s["dialect"] == "B":
+            shot = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{out}/results_{s['strategy']}_csv")
+            assert shot.columns == list(DISPLAY_B.values()) and len(shot.columns) == 16
+            assert shot.where(F.col("Scraped File Formats").startswith("[")).count() == n
+            ordered = res.where(F.col("strategy") == s["strategy"]).orderBy("row_id").collect()
+            assert [r["Dataset Name"] for r in shot.collect()] == [r["dataset_name"] for r in ordered]
+
+
+def test_requests_are_never_overwritten(spark, job):
+    out, *_ = job
+    with pytest.raises(AnalysisException):
+        write_requests(spark, os.path.join(out, "catalog.csv"), f"{SF_SMALL}/pages.parquet", out)
 
 
 def test_reply_stream_equals_batch(spark, job):

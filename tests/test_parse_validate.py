@@ -4,12 +4,15 @@ The brute-force oracle is Python's own ``re`` with the scoring scripts'
 patterns, run on the same replies.
 """
 
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from fairgauge.operators.parse import lenient, multi_row_reply, strict
+from fairgauge.operators.joins import dedupe_replies
+from fairgauge.operators.parse import lenient, multi_row_reply, strict, with_parsed
 from fairgauge.operators.validate import valid_a, valid_b
 
 # The scoring scripts' reply patterns (strict zero-shot form,
@@ -55,12 +58,10 @@ def py_parse(pattern, reply):
 @pytest.fixture(scope="module")
 def parsed(spark):
     df = spark.createDataFrame([(i, r) for i, r in enumerate(REPLIES + [None])], "i int, reply string")
-    cols = {}
-    for tag, fn in (("a", strict), ("b", lenient)):
-        for k, c in fn(F.col("reply")).items():
-            cols[f"{tag}_{k}"] = c
-    rows = df.select("i", "reply", *[c.alias(k) for k, c in cols.items()],
-                     multi_row_reply(F.col("reply")).alias("multi")).collect()
+    fields = ("parse_ok", "parsed_dataset_name", "f_score", "a_score", "i_score", "r_score")
+    both = df.select("i", "reply", strict(F.col("reply")).alias("a"), lenient(F.col("reply")).alias("b"),
+                     multi_row_reply(F.col("reply")).alias("multi"))
+    rows = both.select("i", "reply", "multi", *[F.col(f"{t}.{k}").alias(f"{t}_{k}") for t in "ab" for k in fields]).collect()
     return {r["i"]: r for r in rows}
 
 
@@ -94,6 +95,46 @@ def test_documented_reply_semantics(parsed):
     assert parsed[len(REPLIES)]["a_parse_ok"] is False
 
 
+def test_random_replies_equal_python(spark):
+    rnd = random.Random(11)
+    parts = ["| D |", "|", " ", "\n", "   ", "name", "F-Score (3/17)", "| F-Score (4/17)", "A-Score (5/10)", "| A-Score (6/10) |",
+             "I-Score (7/8)", "| I-Score (1/8)", "R-Score (2/7)", "| R-Score (0/7) |", "F-Score (x/17)", "A-Score (12", "\u00a0", "|\t",
+             "| E | F-Score (9/17) | A-Score (8/10) | I-Score (7/8) | R-Score (4/7) |"]
+    replies = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 16))) for _ in range(1500)]
+    df = spark.createDataFrame(list(enumerate(replies)), "i int, reply string")
+    rows = df.select("i", strict(F.col("reply")).alias("a"), lenient(F.col("reply")).alias("b")).collect()
+    found = 0
+    for r in rows:
+        for got, pattern in ((r["a"], PY_STRICT), (r["b"], PY_LENIENT)):
+            want = py_parse(pattern, replies[r["i"]])
+            found += want is not None
+            assert (got["parse_ok"], tuple(got)[1:]) == (want is not None, want or (None,) * 5), replies[r["i"]]
+    assert found > 200
+
+
+def test_parsing_takes_linear_time(spark):
+    header = "| Dataset Name | F-Score (X/17) | A-Score (X/10) | I-Score (X/8) | R-Score (X/7) |\n"
+    cells = "| F-Score (1/17) | A-Score (2/10) | I-Score (3/8) "
+    cases = [header + cells * 40, "|" + " " * 800 + "F-Score (1/17)", header + cells * 4000, "| F-Score (1/17)" + " " * 200_000 + "|", "|" * 200_000]
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, reply string").repartition(1)
+    both = df.select(strict(F.col("reply")).alias("a"), lenient(F.col("reply")).alias("b"))
+    both.collect()
+    begun = time.perf_counter()
+    assert not any(r["a"]["parse_ok"] or r["b"]["parse_ok"] for r in both.collect())
+    assert time.perf_counter() - begun < 6
+
+
+def test_rows_of_unknown_dialect_stay_unparsed(spark):
+    df = spark.createDataFrame([(ROW, "A"), (ROW, None), (ROW, "C")], "response string, dialect string")
+    assert [r["parse_ok"] for r in with_parsed(df).collect()] == [True, None, None]
+
+
+def test_the_reply_that_says_most_is_kept(spark):
+    rows = [("a", ""), ("a", ROW), ("a", None), ("b", None), ("c", "zz"), ("c", "aa"), ("c", " "), ("d", ""), ("d", None)]
+    got = {r["request_id"]: (r["response"], r["reply_count"]) for r in dedupe_replies(spark.createDataFrame(rows, "request_id string, response string")).collect()}
+    assert got == {"a": (ROW, 3), "b": (None, 1), "c": ("aa", 3), "d": ("", 2)}
+
+
 VALIDATION = [
     # f, a, i, r, parse_ok, valid_a, flags_b, all_valid
     (17, 10, 8, 7, True, True, (True, True, True, True), True),

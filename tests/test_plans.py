@@ -1,5 +1,5 @@
-"""Plan checks: the physical plans keep HTML out of every
-shuffle, and the post-join repartition is a fixed count."""
+"""Plan checks: only the HTML that the catalogue needs is read
+into the extraction, none of it is shuffled after, and no partition count is fixed."""
 
 import pytest
 
@@ -33,20 +33,31 @@ def request_exchanges(spark):
     return _exchanges(Q.request_table(spark, SF_SMALL).select(*REQUEST_COLUMNS))
 
 
-def test_no_html_in_any_hash_shuffle(request_exchanges):
+def test_html_is_shuffled_for_the_join_with_the_needed_pages_at_most(request_exchanges):
     assert request_exchanges
     for ex in request_exchanges:
-        partitioning = ex.outputPartitioning().toString()
-        if "html" in _names(ex):
-            # only the spread of a one-split scan, never a keyed shuffle
-            assert partitioning.startswith("RoundRobinPartitioning"), partitioning
+        if "html" in _names(ex):  # to the semi-join's own keys, when those can't be broadcast
+            assert "page_id" in ex.outputPartitioning().toString()
 
 
-def test_join_side_is_a_fixed_count_repartition(spark, request_exchanges):
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = [ex for ex in request_exchanges if ex.outputPartitioning().toString().startswith("hashpartitioning(url_key")]
-    assert any(ex.shuffleOrigin().toString() == "REPARTITION_BY_NUM" and ex.outputPartitioning().numPartitions() == n
-               for ex in keyed)
+def test_extraction_reads_needed_pages_only(spark):
+    plan = Q.joined_catalog(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.split("\n")
+    semi = [k for k, x in enumerate(lines) if "Join LeftSemi" in x]
+    extraction = [k for k, x in enumerate(lines) if "<title" in x and "regexp_extract" in x]
+    assert semi and extraction
+    assert min(extraction) < max(semi)  # the extracting projection stands above the semi-join
+
+
+def test_no_fixed_partition_count(request_exchanges):
+    assert all(ex.shuffleOrigin().toString() == "ENSURE_REQUIREMENTS" for ex in request_exchanges)
+
+
+def test_ranking_filter_is_not_pushed_below_the_parsing(spark):
+    from fairgauge.operators.results import dataset_ranking
+
+    plan = dataset_ranking(Q.unified_results(spark, SF_SMALL))._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.split("\n") if "Filter" in x and "F-Score" in x and "regexp_extract" in x]
 
 
 def test_ranking_window_runs_on_the_broadcast_histogram(spark):
