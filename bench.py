@@ -5,13 +5,16 @@ The job's steps, each written to parquet in a fresh scratch folder:
 
 * ``requests`` — page extraction (EX-*), catalogue ⟕ pages, four-strategy
   fan-out, prompts and request ids, written as the requests table
+* ``request_lines`` — the JSON lines of the written requests (SNK-2)
 * ``results``  — requests ⟕ replies, both parsers, validation (OUT-U)
+* ``result_csv`` — one CSV per strategy in its script's columns (SNK-1)
 * ``derived``  — DER-1 … DER-3 from the written results
 
 ``value`` is their sum on a warm pass (JIT-compiled regex paths and
 generated code warm — the steady state a long job runs in), the
 median of three warm passes; ``cold`` is the same steps on the first pass in
-a fresh JVM. ``extract_only`` times extraction alone (already inside
+a fresh JVM, and ``planning`` the seconds that building and planning the
+request and result queries takes on the driver alone. ``extract_only`` times extraction alone (already inside
 ``requests``, so not added).
 """
 
@@ -31,7 +34,8 @@ from fairgauge.operators import results as R  # noqa: E402
 from fairgauge.operators.joins import attach_replies  # noqa: E402
 from fairgauge.plans import fixtures as X  # noqa: E402
 from fairgauge.plans import queries as Q  # noqa: E402
-from fairgauge.plans.evaluate import REQUEST_COLUMNS  # noqa: E402
+from fairgauge.operators.prompts import request_lines  # noqa: E402
+from fairgauge.plans.evaluate import REQUEST_COLUMNS, write_strategy_csvs  # noqa: E402
 from fairgauge.session import local_session  # noqa: E402
 from fairgauge.sources.pages import extract_pages  # noqa: E402
 
@@ -45,6 +49,11 @@ def run_steps(spark, sf_dir: str, out: str) -> tuple[dict, dict]:
     reqs = spark.read.parquet(f"{out}/requests")
     rows["requests"] = reqs.count()
 
+    t = time.perf_counter()
+    request_lines(reqs).write.text(f"{out}/request_lines")
+    times["request_lines"] = time.perf_counter() - t
+    rows["request_lines"] = rows["requests"]
+
     # The scoring service's side, not timed: one reply per request.
     X.reply_stub(reqs).write.mode("overwrite").parquet(f"{out}/replies")
 
@@ -59,6 +68,11 @@ def run_steps(spark, sf_dir: str, out: str) -> tuple[dict, dict]:
     res = spark.read.parquet(f"{out}/results")
     rows["results"] = res.count()
 
+    t = time.perf_counter()
+    write_strategy_csvs(res, out)
+    times["result_csv"] = time.perf_counter() - t
+    rows["result_csv"] = rows["results"]
+
     t = time.perf_counter()
     R.component_scores(res).write.mode("overwrite").parquet(f"{out}/component_scores")
     R.strategy_summary(res).write.mode("overwrite").parquet(f"{out}/strategy_summary")
@@ -68,6 +82,13 @@ def run_steps(spark, sf_dir: str, out: str) -> tuple[dict, dict]:
     return times, rows
 
 
+def time_planning(spark, sf_dir: str) -> float:
+    t = time.perf_counter()
+    for df in (Q.request_table(spark, sf_dir), Q.unified_results(spark, sf_dir)):
+        df._jdf.queryExecution().executedPlan()
+    return time.perf_counter() - t
+
+
 def time_extract(spark, sf_dir: str, out: str) -> tuple[float, int]:
     t = time.perf_counter()
     ext = extract_pages(X.overlay_pages(X.load(spark, sf_dir, "pages")))
@@ -80,12 +101,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = local_session(cpus, shuffle_partitions=max(cpus, 8), app="fairgauge-bench")
-    scratch = tempfile.mkdtemp(prefix="fairgauge-bench-")
+    scratch = tempfile.mkdtemp(prefix="fairgauge-bench-", dir=os.environ.get("BENCH_SCRATCH"))
 
     cold, _ = run_steps(spark, sf_dir, f"{scratch}/cold")
     passes = [run_steps(spark, sf_dir, f"{scratch}/warm{i}") for i in range(3)]
     passes.sort(key=lambda p: sum(p[0].values()))
     times, rows = passes[1]
+    planning = time_planning(spark, sf_dir)
     ext_time, ext_rows = time_extract(spark, sf_dir, f"{scratch}/extract")
 
     total = sum(times.values())
@@ -100,6 +122,7 @@ def main() -> None:
         "warm_totals": [round(sum(p[0].values()), 3) for p in passes],
         "cold": {k: round(v, 3) for k, v in cold.items()},
         "cold_total": round(sum(cold.values()), 3),
+        "planning": round(planning, 3),
         "extract_only": {"sec": round(ext_time, 3), "pages": ext_rows, "pages_per_sec": round(ext_rows / ext_time, 1)},
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,

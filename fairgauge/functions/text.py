@@ -65,26 +65,16 @@ def _special_code_points() -> dict[int, str]:
 SPECIAL_CODE_POINTS = _special_code_points()
 
 
-def sql_str(s: str) -> str:
-    """Spark SQL string literal (backslash escapes are processed)."""
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _sql_map(pairs) -> str:
-    return "map(" + ", ".join(f"{k}, {v}" for k, v in pairs) + ")"
-
-
-# Tables as single SQL expressions: one call to build, folded to literals.
-_COMMON_SQL = _sql_map((sql_str(k), sql_str(v)) for k, v in _COMMON.items())
-# The full table is one JSON string literal read by from_json: constant
-# folding turns it into a map literal once, instead of analysing a map()
-# call with thousands of arguments in every plan. Map literals are searched
-# linearly, so names are grouped by first letter: two short searches.
+# Each table is one JSON string literal read by from_json: constant folding
+# turns it into a map literal once, instead of analysing a map() call with
+# hundreds of arguments in every plan. Map literals are searched linearly, so
+# the full table's names are grouped by first letter: two short searches.
 _BY_LETTER: dict[str, dict[str, str]] = {}
 for _name, _text in NAMED_REFS.items():
     _BY_LETTER.setdefault(_name[0], {})[_name] = _text
 _NAMED_JSON = json.dumps(_BY_LETTER)
-_SPECIAL_SQL = _sql_map((str(k), sql_str(v)) for k, v in SPECIAL_CODE_POINTS.items())
+_COMMON_JSON = json.dumps(_COMMON)
+_SPECIAL_JSON = json.dumps({str(k): v for k, v in SPECIAL_CODE_POINTS.items()})
 
 #: A reference at the start of the text that follows an '&': a number, with or
 #: without ';', or a name up to its ';'.
@@ -100,10 +90,10 @@ def let(value: Column, body) -> Column:
 
 
 def _code_point_text(num: Column) -> Column:
-    special = F.expr(_SPECIAL_SQL)
+    special = F.from_json(F.lit(_SPECIAL_JSON), "map<string,string>")
     return (
         F.when((num > 0x10FFFF) | num.between(0xD800, 0xDFFF), F.lit("\ufffd"))
-        .otherwise(F.coalesce(special[num.cast("int")], F.format_string("%c", num.cast("int"))))
+        .otherwise(F.coalesce(special[num.cast("string")], F.format_string("%c", num.cast("int"))))
     )
 
 
@@ -122,7 +112,7 @@ def _numeric_value(name: Column) -> Column:
 def _named_value(name: Column) -> Column:
     """Text of '&name;', NULL for an unknown name. Each map literal is
     searched once (a missing key gives NULL); the long one only on a miss."""
-    common = F.expr(_COMMON_SQL)
+    common = F.from_json(F.lit(_COMMON_JSON), "map<string,string>")
     named = F.from_json(F.lit(_NAMED_JSON), "map<string,map<string,string>>")
     return F.coalesce(common[name], named[F.substring(name, 1, 1)][name])
 
@@ -142,7 +132,7 @@ def _decode_piece(piece: Column, name: Column, i: Column) -> Column:
     rest = F.substring(piece, read + 1, F.length(piece))
     legacy = let(
         F.regexp_extract(piece, LEGACY_RE, 1),
-        lambda n: F.concat(F.expr(_COMMON_SQL)[n], F.substring(piece, F.length(n) + 1, F.length(piece))),
+        lambda n: F.concat(F.from_json(F.lit(_COMMON_JSON), "map<string,string>")[n], F.substring(piece, F.length(n) + 1, F.length(piece))),
     )
     return F.when(i == 0, piece).otherwise(F.coalesce(F.concat(value, rest), legacy, F.concat(F.lit("&"), piece)))
 

@@ -92,9 +92,13 @@ def write_results(spark: SparkSession, requests_path: str, replies_path: str, ou
     out = results(spark.read.parquet(requests_path), read_replies(spark, replies_path))
     table = f"{out_dir}/results"
     out.write.mode("overwrite").partitionBy("strategy").parquet(table)
-    written = spark.read.parquet(table)
+    write_strategy_csvs(spark.read.parquet(table), out_dir)
+    return table
+
+
+def write_strategy_csvs(written: DataFrame, out_dir: str) -> None:
+    """SNK-1: ``results_<strategy>_csv`` for each strategy."""
     for s in strategy_rows():
         rows, display = (result_a(written), DISPLAY_A) if s["dialect"] == "A" else (result_b(written), DISPLAY_B)
         ordered = rows.where(F.col("strategy") == s["strategy"]).orderBy("row_id").drop("strategy", "row_id")
         write_csv(ordered, f"{out_dir}/results_{s['strategy']}_csv", display)
-    return table

@@ -51,11 +51,12 @@ def request_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def unified_results(spark: SparkSession, sf: str) -> DataFrame:
-    reqs = request_table(spark, sf).select(
+    reqs = request_table(spark, sf)
+    narrow = reqs.select(
         "request_id", "strategy", "dialect", "row_id", "dataset_name", "website_link",
         "title", "license_info", "file_formats", "scrape_error",
     )
-    return R.unified(attach_replies(reqs, X.reply_stub(request_table(spark, sf))))
+    return R.unified(attach_replies(narrow, X.reply_stub(reqs)))
 
 
 def _page_field(field: str, expr=None) -> Callable[[SparkSession, str], DataFrame]:

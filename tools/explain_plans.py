@@ -29,7 +29,7 @@ def tree(df) -> str:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(8, 8)
-    out = tempfile.mkdtemp(prefix="fairgauge-plans-")
+    out = tempfile.mkdtemp(prefix="fairgauge-plans-", dir=os.environ.get("BENCH_SCRATCH"))
     reqs = Q.request_table(spark, sf).select(*REQUEST_COLUMNS)
     print("## requests\n" + tree(reqs))
     reqs.write.parquet(f"{out}/requests")
