@@ -22,9 +22,9 @@ LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes of text that are held at once; a longer text is held alone.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 #: Length up to which powers are kept between chunks.
-KEPT_POWERS = 1 << 22
+KEPT_POWERS = 1 << 20
 
 _powers: dict[int, np.ndarray] = {}
 
