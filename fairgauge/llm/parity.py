@@ -180,20 +180,32 @@ def _filter_places(ids: np.ndarray) -> np.ndarray:
 def _filter_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = np.zeros(FILTER_BITS // 64, np.uint64)
     for batch in batches:
-        place = _filter_places(batch.column("id").to_numpy(zero_copy_only=False))
+        place = _filter_places(batch.column(0).to_numpy(zero_copy_only=False))
         np.bitwise_or.at(words, place // 64, np.uint64(1) << (place % 64).astype(np.uint64))
     some = np.flatnonzero(words)
     yield pa.RecordBatch.from_pydict({"word": some.astype(np.int32), "bits": words[some].view(np.int64)})
 
 
+def _passes(ids: pa.Array, words: np.ndarray) -> np.ndarray:
+    place = _filter_places(ids.fill_null(0).to_numpy(zero_copy_only=False))
+    hit = (words[place // 64] >> (place % 64).astype(np.uint64) & np.uint64(1)).astype(bool)
+    return hit | ids.is_null().to_numpy(zero_copy_only=False)
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A filter of FILTER_BITS that every id of the one column passes, and few others
+    while the ids are fewer than its bits; a join behind it is exact at any number."""
+    words = np.zeros(FILTER_BITS // 64, np.uint64)
+    filled = ids.dropna().mapInArrow(_filter_words, "word int, bits long")
+    for r in filled.groupBy("word").agg(F.bit_or("bits").alias("bits")).collect():  # FILTER_BITS / 64 rows at most
+        words[r.word] = np.uint64(r.bits & 0xFFFFFFFFFFFFFFFF)
+    return words
+
+
 def _sets(batches: Iterator[pa.RecordBatch], words: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
     """Sets and sketches of the documents that pass the filter of ids."""
     for batch in batches:
-        ids = batch.column("id")
-        place = _filter_places(ids.fill_null(0).to_numpy(zero_copy_only=False))
-        passes = (words[place // 64] >> (place % 64).astype(np.uint64) & np.uint64(1)).astype(bool)
-        passes |= ids.is_null().to_numpy(zero_copy_only=False)
-        for part, texts in chunks(batch.filter(pa.array(passes))):
+        for part, texts in chunks(batch.filter(pa.array(_passes(batch.column("id"), words)))):
             sets = shingle_sets(texts, n)
             yield pa.RecordBatch.from_pydict(
                 {
@@ -255,9 +267,9 @@ class _Join:
     def __init__(self, sets: DataFrame, threshold: Fraction):
         self.sets, self.t = sets, threshold
 
-    def _sides(self, pairs: DataFrame, *columns: str) -> DataFrame:
+    def _sides(self, pairs: DataFrame, *columns: str, sets: DataFrame | None = None) -> DataFrame:
         for side in ("a", "b"):
-            other = self.sets.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
+            other = (sets or self.sets).select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
             pairs = pairs.join(other, side)
         return pairs
 
@@ -266,7 +278,12 @@ class _Join:
         if not sketched:
             pairs = self._sides(pairs, "sketch", "size").mapInArrow(lambda x: _near(x, t), "a long, b long")
         near = materialise(pairs, "parity-near")
-        checked = self._sides(near, "elements").mapInArrow(lambda x: _similar(x, t), "a long, b long")
+        used = id_filter(near.select(F.explode(F.array("a", "b")).alias("node")))
+        # Only sets of candidates are shuffled.
+        sets = self.sets.select("node", "elements").mapInArrow(
+            lambda x: (b.filter(pa.array(_passes(b.column("node"), used))) for b in x), "node long, elements binary"
+        )
+        checked = self._sides(near, "elements", sets=sets).mapInArrow(lambda x: _similar(x, t), "a long, b long")
         return materialise(checked, "parity-links")
 
     def hot_pairs(self, hot: DataFrame, parts: DataFrame | None, nearest: bool) -> DataFrame:
@@ -315,10 +332,7 @@ def group_similar(
     )
     classes = nodes.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("id"))
     needed = materialise(classes.join(live.select("node").distinct(), "node"), "parity-needed")
-    words_set = np.zeros(FILTER_BITS // 64, np.uint64)
-    filled = needed.select("id").where(F.col("id").isNotNull()).mapInArrow(_filter_words, "word int, bits long")
-    for r in filled.groupBy("word").agg(F.bit_or("bits").alias("bits")).collect():  # FILTER_BITS / 64 rows at most
-        words_set[r.word] = np.uint64(r.bits & 0xFFFFFFFFFFFFFFFF)
+    words_set = id_filter(needed.select("id"))
     found = rows.select("id", "text").mapInArrow(
         lambda x: _sets(x, words_set, words), "id long, node long, size long, sketch binary, elements binary"
     )
