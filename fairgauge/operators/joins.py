@@ -42,13 +42,16 @@ def needed_pages(catalog: DataFrame, pages: DataFrame) -> DataFrame:
     return narrow.join(keys, "url_key", "left_semi").groupBy("url_key").agg(F.min("page_id").alias("page_id"))
 
 
-def catalogued_pages(catalog: DataFrame, pages: DataFrame) -> DataFrame:
+def catalogued_pages(catalog: DataFrame, pages: DataFrame, page_tasks: int | None = None) -> DataFrame:
     """The extracted record of each page that the catalogue needs, one per
-    key. Rows that share a ``page_id`` are told apart by a hash of their HTML."""
+    key. Rows that share a ``page_id`` are told apart by a hash of their HTML.
+    ``page_tasks`` deals the needed pages to so many tasks, for a caller whose
+    crawl comes in fewer row groups than the cluster has cores."""
     need = needed_pages(catalog, pages).select(F.col("url_key").alias("_key"), F.col("page_id").alias("_id"))
     keyed = pages.select("page_id", url_key(F.col("url")).alias("url_key"), "html")
     same = (keyed["url_key"] == need["_key"]) & keyed["page_id"].eqNullSafe(need["_id"])
-    hashed = keyed.join(need, same, "left_semi").withColumn("_tie", F.xxhash64("html"))
+    needed = keyed.join(need, same, "left_semi")
+    hashed = (needed.repartition(page_tasks) if page_tasks else needed).withColumn("_tie", F.xxhash64("html"))
     record = F.struct(*[F.col(c) for c in _PAGE_COLUMNS])
     return with_scraped(hashed, "html").groupBy("url_key").agg(F.min_by(record, "_tie").alias("_page"))
 
@@ -66,7 +69,9 @@ def hot_keys(catalog: DataFrame, hot_rows: int | None = None) -> DataFrame:
     )
 
 
-def attach_pages(catalog: DataFrame, pages: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def attach_pages(
+    catalog: DataFrame, pages: DataFrame, hot_rows: int | None = None, page_tasks: int | None = None
+) -> DataFrame:
     """JOIN-1: every catalogue row with the extracted record of its page.
 
     ``catalog`` needs ``row_id`` and ``url_key``; ``pages`` is the crawl table.
@@ -82,7 +87,7 @@ def attach_pages(catalog: DataFrame, pages: DataFrame, hot_rows: int | None = No
         .drop("_buckets")
     )
     right = (
-        catalogued_pages(catalog, pages)
+        catalogued_pages(catalog, pages, page_tasks)
         .join(hot, "url_key", "left")
         .select("url_key", F.explode(F.sequence(F.lit(0), buckets - 1)).alias("_salt"), "_page")
     )

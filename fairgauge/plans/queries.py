@@ -40,13 +40,13 @@ def _catalog(spark: SparkSession, sf: str) -> DataFrame:
     return X.catalog_fixture(pages, X.load(spark, sf, "nation"), X.load(spark, sf, "region"))
 
 
-def joined_catalog(spark: SparkSession, sf: str) -> DataFrame:
-    return attach_pages(keyed(_catalog(spark, sf)), _pages(spark, sf))
+def joined_catalog(spark: SparkSession, sf: str, page_tasks: int | None = None) -> DataFrame:
+    return attach_pages(keyed(_catalog(spark, sf)), _pages(spark, sf), page_tasks=page_tasks)
 
 
-def request_table(spark: SparkSession, sf: str) -> DataFrame:
+def request_table(spark: SparkSession, sf: str, page_tasks: int | None = None) -> DataFrame:
     strats = strategies()
-    fanned = fan_out(joined_catalog(spark, sf), strats)
+    fanned = fan_out(joined_catalog(spark, sf, page_tasks), strats)
     return with_requests(fill_error_record(fanned, F.col("dialect")), strats)
 
 
