@@ -13,9 +13,9 @@ lower ones where its partner may be the smaller set.
 
 Documents with equal sets are one node throughout. For keys with up to ``SMALL_KEY``
 nodes all pairs are candidates. A key that more nodes share is cut into blocks, whose
-pairs are compared by a dense sketch of ``SKETCH_BITS`` inside a task; a node gives its
-nearest partner of another component, round after round while that links anything, and
-in the end every remaining pair within the Hamming bound. So no pair of different texts
+pairs are compared by dense sketches inside a task; a node gives its
+nearest partners of other components, round after round, until no node has more of them
+within the Hamming bound than it gives (or, once a round links nothing, gives all). So no pair of different texts
 is lost to a cap, and a group of g near copies never emits its g * g pairs. Candidates
 pass the Hamming bound first and are then verified on their whole sets.
 
@@ -49,11 +49,13 @@ BAND_RATIO = 1.4
 #: Nodes of a key up to which all its pairs are candidates; nodes of a block of others.
 SMALL_KEY = 8
 BLOCK = 1024
-#: Bits of the dense sketch, and of the filter that spares most texts a second reading.
+#: Least bits of a dense sketch, and bits of the filter that spares most texts a second reading.
 SKETCH_BITS = 2048
 FILTER_BITS = 1 << 22
 #: Rounds of nearest partners at most, before all pairs left are tried.
 ROUNDS = 12
+#: Nearest partners that a node of a large key gives in a round after the first.
+KEPT_PARTNERS = 8
 
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -99,7 +101,7 @@ class Bands:
     def spare(self, band: int) -> int:
         """Slices beyond those that changes can hit, so that as many may be empty."""
         changes = self.most_changes(band)
-        return 2 + changes // 16 if changes else 0
+        return 2 + changes // 32 if changes else 0
 
     def slices(self, band: int) -> int:
         return self.most_changes(band) + 1 + self.spare(band)
@@ -138,8 +140,16 @@ def node_of(elements: np.ndarray) -> int | None:
 
 
 def dense_sketch(elements: np.ndarray) -> bytes:
-    bits = np.bincount((mix(elements ^ np.uint64(0x5BD1E995)) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
-    return np.packbits((bits & 1).astype(np.uint8), bitorder="little").tobytes()
+    """Parity of the elements per position; a power of two of positions, at least
+    ``SKETCH_BITS`` and four per element, so that few differences cancel out."""
+    bits = max(SKETCH_BITS, 1 << (4 * len(elements) - 1).bit_length())
+    place = (mix(elements ^ np.uint64(0x5BD1E995)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    """The sketch of ``size`` bytes that a larger one contains: halves XORed."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, size // 8), axis=0)
 
 
 def within_bound(distance: np.ndarray, sizes: np.ndarray, t: Fraction) -> np.ndarray:
@@ -221,11 +231,13 @@ def _sets(batches: Iterator[pa.RecordBatch], words: np.ndarray, n: int) -> Itera
 def _near(batches: Iterator[pa.RecordBatch], t: Fraction) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches are within the Hamming bound."""
     for batch in batches:
-        if batch.num_rows:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("sketch_a", "sketch_b"))
-            sizes = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
-            near = within_bound(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64), sizes, t)
-            yield batch.select(["a", "b"]).filter(pa.array(near))
+        distance = np.zeros(batch.num_rows, np.int64)
+        for k, (x, y) in enumerate(zip(batch.column("sketch_a"), batch.column("sketch_b"), strict=True)):
+            x, y = x.as_py(), y.as_py()
+            size = min(len(x), len(y))
+            distance[k] = np.bitwise_count(folded(x, size) ^ folded(y, size)).sum()
+        sizes = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
+        yield batch.select(["a", "b"]).filter(pa.array(within_bound(distance, sizes, t)))
 
 
 def _similar(batches: Iterator[pa.RecordBatch], t: Fraction) -> Iterator[pa.RecordBatch]:
@@ -239,28 +251,38 @@ def _similar(batches: Iterator[pa.RecordBatch], t: Fraction) -> Iterator[pa.Reco
         yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
-def _block_pairs(group: pd.DataFrame, t: Fraction, nearest: bool) -> pd.DataFrame:
-    """Candidates between the two blocks of a key that ``group`` holds."""
-    p, q = (group[group["side"] == s] for s in (0, 1))
+def _block_pairs(unit: dict[str, np.ndarray], sketches: np.ndarray, t: Fraction, keep: int | None) -> tuple[list, bool]:
+    """Candidates between the blocks of one unit: of each node of the first block its
+    ``keep`` nearest partners of other components (all if None); whether that left any."""
+    p, q = np.flatnonzero(unit["side"] == 0), np.flatnonzero(unit["side"] == 1)
     q = q if len(q) else p
-    x, y = (np.frombuffer(b"".join(g["sketch"]), np.uint64).reshape(len(g), -1) for g in (p, q))
-    (n, c, v), (m, d, w) = ([g[k].to_numpy() for k in ("size", "component", "node")] for g in (p, q))
-    far, found = np.iinfo(np.int64).max, []
-    best, best_of = np.full(len(q), far), np.zeros(len(q), np.int64)
-    for i in range(len(p)):
-        distance = np.bitwise_count(x[i] ^ y).sum(axis=1, dtype=np.int64)
-        ok = within_bound(distance, m + n[i], t) & (d != c[i])
-        if not nearest:
-            found += [(v[i], w[j]) for j in np.flatnonzero(ok)]
-        elif ok.any():
-            distance[~ok] = far
-            found.append((v[i], w[int(distance.argmin())]))
-            closer = distance < best
-            best[closer], best_of[closer] = distance[closer], v[i]
-    if nearest:
-        found += [(best_of[j], w[j]) for j in np.flatnonzero(best < far)]
-    pairs = np.array(found, np.int64).reshape(-1, 2)
-    return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)}).drop_duplicates()
+    node, size, component, found, more = unit["node"], unit["size"], unit["component"], [], False
+    for i in p:
+        distance = np.bitwise_count(sketches[i] ^ sketches[q]).sum(axis=1, dtype=np.int64)
+        ok = np.flatnonzero(within_bound(distance, size[q] + size[i], t) & (component[q] != component[i]))
+        if keep is not None and len(ok) > keep:
+            ok, more = ok[np.argsort(distance[ok], kind="stable")[:keep]], True
+        found += [(node[i], node[q[j]]) for j in ok]
+    return found, more
+
+
+def _unit_pairs(group: pd.DataFrame, t: Fraction, keep: int | None) -> pd.DataFrame:
+    """Candidates of all units that were dealt to one bin."""
+    group = group.sort_values(["key", "p", "q", "node"], kind="stable")
+    columns = {c: group[c].to_numpy() for c in ("side", "node", "size", "component")}
+    raw = group["sketch"].tolist()
+    ids = group[["key", "p", "q"]].to_numpy()
+    bounds = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]).any(axis=1), [True]]))
+    pairs, more = set(), False
+    for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        least = min(map(len, raw[i:j]))
+        sketches = np.stack([folded(x, least) for x in raw[i:j]])
+        found, left = _block_pairs({c: v[i:j] for c, v in columns.items()}, sketches, t, keep)
+        pairs.update((min(x, y), max(x, y)) for x, y in found)
+        more |= left
+    out = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+    rows = pd.DataFrame({"a": out[:, 0], "b": out[:, 1]}, dtype="Int64")
+    return pd.concat([rows, pd.DataFrame({"a": [None], "b": [None]}, dtype="Int64")]) if more else rows
 
 
 class _Join:
@@ -286,8 +308,9 @@ class _Join:
         checked = self._sides(near, "elements", sets=sets).mapInArrow(lambda x: _similar(x, t), "a long, b long")
         return materialise(checked, "parity-links")
 
-    def hot_pairs(self, hot: DataFrame, parts: DataFrame | None, nearest: bool) -> DataFrame:
-        """Candidates of keys with many nodes, between nodes of different components."""
+    def hot_pairs(self, hot: DataFrame, parts: DataFrame | None, keep: int | None) -> DataFrame:
+        """Candidates of keys with many nodes, between nodes of different components; a
+        row of nulls tells that nodes had more than ``keep`` partners."""
         t = self.t
         rows = hot.withColumn("component", F.col("node"))
         if parts is not None:
@@ -307,8 +330,12 @@ class _Join:
             "node",
             "component",
         ).join(self.sets.select("node", "size", "sketch"), "node")
-        pairs = units.groupBy("key", "p", "q").applyInPandas(lambda g: _block_pairs(g, t, nearest), "a long, b long")
-        return pairs.distinct()
+        # Units are dealt to bins of about two blocks of rows, since a call per unit costs more
+        # than most units do.
+        bins = max(1, math.ceil(hot.count() / (2 * BLOCK)))
+        dealt_units = units.withColumn("bin", F.pmod(F.xxhash64("key", "p", "q"), F.lit(bins)))
+        pairs = dealt_units.groupBy("bin").applyInPandas(lambda g: _unit_pairs(g, t, keep), "a long, b long")
+        return materialise(pairs.distinct(), "parity-pairs")
 
 
 def group_similar(
@@ -336,26 +363,22 @@ def group_similar(
     found = rows.select("id", "text").mapInArrow(
         lambda x: _sets(x, words_set, words), "id long, node long, size long, sketch binary, elements binary"
     )
-    sets = materialise(
-        found.join(needed, found.node.eqNullSafe(needed.node) & found.id.eqNullSafe(needed.id), "left_semi")
-        .dropDuplicates(["node"])
-        .drop("id"),
-        "parity-sets",
-    )
+    # Some that the filter lets through are of no use; none that is needed is missing.
+    sets = materialise(found.drop("id").dropna(subset=["node"]).dropDuplicates(["node"]), "parity-sets")
 
     join = _Join(sets, threshold)
     x, y = live.where(F.col("nodes") <= SMALL_KEY).select("key", F.col("node").alias("a")), live.where(F.col("nodes") <= SMALL_KEY).select("key", F.col("node").alias("b"))
     links = join.links(x.join(y, "key").where("a < b").select("a", "b").distinct(), sketched=False)
     hot = materialise(live.where(F.col("nodes") > SMALL_KEY), "parity-hot")
     if not hot.isEmpty():
-        for turn in range(ROUNDS + 1):
-            parts = components(links) if turn else None
-            new = join.links(join.hot_pairs(hot, parts, nearest=turn < ROUNDS), sketched=True)
-            if turn < ROUNDS and new.isEmpty():
-                new = join.links(join.hot_pairs(hot, parts, nearest=False), sketched=True)
-                turn = ROUNDS
+        for turn in range(ROUNDS):
+            pairs = join.hot_pairs(hot, components(links) if turn else None, 1 if turn == 0 else KEPT_PARTNERS)
+            new = join.links(pairs.dropna(), sketched=True)
             links = links.unionByName(new)
-            if turn == ROUNDS:
+            if pairs.where(F.col("a").isNull()).isEmpty():
+                break  # every pair between components was among them
+            if new.isEmpty() or turn == ROUNDS - 1:
+                links = links.unionByName(join.links(join.hot_pairs(hot, components(links), None), sketched=True))
                 break
     parts = components(links)
     known = classes.join(parts, "node", "left").select(
