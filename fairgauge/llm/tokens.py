@@ -19,7 +19,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Pieces whose ids a worker keeps, and the length of the longest kept.
-KEPT_PIECES = 500_000
+KEPT_PIECES = 300_000
 KEPT_LENGTH = 48
 #: Marks that end a pre-token of letters and, before a space, are one of their own.
 MARKS = frozenset(".,;:!?")
@@ -136,7 +136,12 @@ class Encoder:
         return head + b"".join(out)
 
 
-@lru_cache(maxsize=2)
+def release() -> None:
+    """Let go of a worker's encoders: its next tasks are of another kind."""
+    encoder.cache_clear()
+
+
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """One per worker process and vocabulary."""
     import os

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+from fairgauge.llm import tokens
+
 _rng = np.random.default_rng(20240229)
 BYTE_VALUE = _rng.integers(1, 2**64, 256, dtype=np.uint64) | np.uint64(1)
 BASE = 0x9E3779B97F4A7C13
@@ -88,6 +90,7 @@ def words_of(texts: list[bytes], separators: np.ndarray = SPACE, folded: np.ndar
 
 def chunks(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Parts of a batch with a bounded number of bytes, and their texts (null: empty)."""
+    tokens.release()  # a worker that has packed texts before needn't hold its pieces
     column = batch.column(text)
     if pa.types.is_string(column.type):
         column = column.cast(pa.binary())
