@@ -18,8 +18,9 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Pieces whose ids a worker keeps, and the length of the longest kept.
-KEPT_PIECES = 300_000
+#: Pieces whose ids a worker keeps in either of two generations (a piece of the older
+#: one that appears again joins the newer), and the length of the longest kept.
+KEPT_PIECES = 200_000
 KEPT_LENGTH = 48
 #: Marks that end a pre-token of letters and, before a space, are one of their own.
 MARKS = frozenset(".,;:!?")
@@ -43,22 +44,35 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaced: dict[str, bytes] = {}  # ids of " " + piece
+        self.older: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _keep(self, cache: dict[str, bytes], piece: str, ids: bytes) -> bytes:
+    def _keep(self, piece: str, ids: bytes) -> bytes:
         if len(piece) <= KEPT_LENGTH:
-            if len(cache) >= KEPT_PIECES:
-                cache.clear()
-            cache[piece] = ids
+            if len(self.spaced) >= KEPT_PIECES:
+                self.older, self.spaced = self.spaced, {}
+            self.spaced[piece] = ids
+        return ids
+
+    def _kept(self, piece: str) -> bytes | None:
+        ids = self.spaced.get(piece)
+        if ids is None and (ids := self.older.get(piece)) is not None:
+            self._keep(piece, ids)
         return ids
 
     def _bare(self, piece: str) -> bytes:
         ids = self.bare.get(piece)
-        return self._keep(self.bare, piece, self.whole(piece)) if ids is None else ids
+        if ids is None:
+            ids = self.whole(piece)
+            if len(piece) <= KEPT_LENGTH:
+                if len(self.bare) >= KEPT_PIECES:
+                    self.bare.clear()
+                self.bare[piece] = ids
+        return ids
 
     def _lines(self, piece: str, lead: str) -> bytes:
         """A piece with line feeds: line by line if each of them stands between two
@@ -66,7 +80,7 @@ class Encoder:
         lines = piece.split("\n")
         if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
             return self.whole(lead + piece)
-        head = self.spaced.get(lines[0]) if lead else self._bare(lines[0])
+        head = self._kept(lines[0]) if lead else self._bare(lines[0])
         out = [self._spaced([lines[0]])[lines[0]] if head is None else head]
         feed = self._bare("\n")
         for line in lines[1:]:
@@ -79,7 +93,7 @@ class Encoder:
         found: dict[str, bytes] = {}
         words, marked = [], []
         for piece in pieces:
-            ids = self.spaced.get(piece)
+            ids = self._kept(piece)
             if ids is not None:
                 found[piece] = ids
             elif piece.isalpha():
@@ -89,7 +103,7 @@ class Encoder:
             elif "\n" in piece:
                 found[piece] = self._lines(piece, " ")
             else:
-                found[piece] = self._keep(self.spaced, piece, self.whole(" " + piece))
+                found[piece] = self._keep(piece, self.whole(" " + piece))
         if marked:
             words += self._new_words(marked, found, set(words))
         for k in range(0, len(words), 512):
@@ -100,19 +114,19 @@ class Encoder:
             if len(starts) == len(some):
                 ends = [*starts[1:].tolist(), len(ids)]
                 for piece, i, j in zip(some, starts.tolist(), ends, strict=True):
-                    found[piece] = self._keep(self.spaced, piece, ids[i:j].tobytes())
+                    found[piece] = self._keep(piece, ids[i:j].tobytes())
             else:  # the library knows other letters than Python
                 for piece in some:
-                    found[piece] = self._keep(self.spaced, piece, self.whole(" " + piece))
+                    found[piece] = self._keep(piece, self.whole(" " + piece))
         for piece in marked:  # letters and one mark: two pre-tokens
-            found[piece] = self._keep(self.spaced, piece, found[piece[:-1]] + self._bare(piece[-1]))
+            found[piece] = self._keep(piece, found[piece[:-1]] + self._bare(piece[-1]))
         return found
 
     def _new_words(self, marked: list[str], found: dict[str, bytes], words: set[str]) -> list[str]:
         """The words of ``marked`` pieces that aren't kept yet."""
         new = []
         for word in dict.fromkeys(x[:-1] for x in marked):
-            ids = self.spaced.get(word)
+            ids = self._kept(word)
             if ids is not None:
                 found[word] = ids
             elif word not in words:
