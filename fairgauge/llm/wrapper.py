@@ -355,6 +355,7 @@ def induce_wrappers(pages: DataFrame) -> DataFrame:
     hashes = [F.struct(F.xxhash64("id", F.lit(k)).alias("hash"), "id") for k in (1, 2)]
     picked = pages.groupBy("host").agg(*[f(h).alias(f"{f.__name__}{k}") for k, h in enumerate(hashes) for f in (F.min, F.max)])
     ids = picked.select("host", F.explode(F.array_distinct(F.array("min0.id", "max0.id", "min1.id", "max1.id"))).alias("id"))
+    ids = materialise(ids, "wrapper-picked")  # its size is then known: the pages' HTML needn't be shuffled to join it
     on = pages.host.eqNullSafe(ids.host) & pages.id.eqNullSafe(ids.id)
     seeds = pages.join(ids, on, "left_semi").groupBy("host", "id").agg(F.max("html").alias("html"))
     trees = seeds.select("host", "html").mapInArrow(_trees, "host string, tree string")
