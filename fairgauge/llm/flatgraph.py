@@ -267,7 +267,9 @@ def near_duplicates(
         sizes = dealt.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"))
         dealt = dealt.join(F.broadcast(sizes), "shard").withColumn("block", F.pmod(F.xxhash64("node", "shard"), "blocks").cast("int"))
         lists = dealt.groupBy("shard", "block").applyInPandas(_adjacency, "node long, neighbours array<bigint>")
-        united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
+        united = materialise(
+            lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours")), "graph-lists"
+        )
         searched = _units(dealt, united).groupBy("shard", "at", "of").applyInPandas(
             lambda g: _search(g, threshold), "node long, links long, root long"
         )
