@@ -5,8 +5,9 @@ are one slot, so a list of any length is a single node. The trees of a few pages
 host, picked by hash, are aligned by simple tree matching and merged into the host's
 wrapper. Then every page of the host is aligned with it, and per wrapper node it is
 counted in how many pages (pages with one main text count once) it holds the same text:
-constant nodes are template, varying ones content. The content root is where the varying
-text narrows down to; an ``article`` or ``main`` element goes before it.
+constant nodes are template, varying ones content. The content root is the innermost
+container element that holds all varying text; an ``article`` or ``main`` element goes
+before it.
 
 A page's text is what its content root holds without template nodes and without elements
 that by tag, class, id or role aren't the article: menus, headers, footers, sidebars,
@@ -39,9 +40,8 @@ from fairgauge.llm.common import materialise
 #: Depth of a tree, and different pages of a host that tell template from content.
 MOST_DEPTH = 60
 LEAST_PAGES = 4
-#: Share of a host's pages that makes a text constant, and of the text that a child of
-#: the content root must hold to take its place.
-CONSTANT, NARROWS = 0.75, 0.8
+#: Share of a host's pages that makes a text constant.
+CONSTANT = 0.75
 
 # Elements and words in class, id or role that aren't the article.
 NEVER_TAGS = frozenset(
@@ -63,6 +63,8 @@ BLOCK_TAGS = frozenset(
     form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol option p pre search section select summary table tbody
     td tfoot th thead tr ul""".split()
 )
+#: Elements that may be a content root.
+CONTAINER_TAGS = frozenset("html body div section article main center table tbody tr td".split())
 #: Elements that a new element of the second kind ends.
 CLOSES = {"p": BLOCK_TAGS - {"option"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
           "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "head": {"body"}}
@@ -299,8 +301,9 @@ def judge(tree: list, nodes: dict[int, tuple[int, int, int]]) -> tuple[set[int],
     def narrow(node: list, number: int) -> int:
         child_number = number + 1
         for child in node[1]:
-            if child[1] and chars[child_number] >= NARROWS * max(1, chars[number]):
-                return narrow(child, child_number)
+            if chars[child_number] and chars[child_number] == chars[number]:
+                inner = narrow(child, child_number)  # nothing that varies is left outside
+                return inner if inner != child_number or child[0].split(" ")[0] in CONTAINER_TAGS else number
             child_number += _size(child)
         return number
 

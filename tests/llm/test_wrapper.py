@@ -95,5 +95,16 @@ def test_copies_do_not_make_a_template(spark):
     assert {r.text for r in extract(spark, rows)} == {"Exactly this story again"}
 
 
+def test_inline_markup_and_a_headline_outside_the_body_container(spark):
+    rnd, rows, want = random.Random(5), [], {}
+    for k in range(12):
+        title, lead, text, item, cell = (prose(rnd, n) for n in (3, 4, 120, 3, 2))
+        rows.append((k, f"http://inline.example/{k}", f"""<html><body><div class=top>Daily paper</div><h1>{title}</h1><div class=lead>{lead}</div>
+            <div class=text><p>{text} <a href=/>link {k}</a> <b>bold {k}</b></p><h2>Head {k}</h2><ul><li>{item}</li></ul>
+            <table><tr><td>{cell}</td></tr></table></div><div class=legal>All rights reserved</div></body></html>"""))
+        want[k] = "\n".join([title, lead, f"{text} link {k} bold {k}", f"Head {k}", item, cell])
+    assert {r.page_id: r.text for r in extract(spark, rows)} == want
+
+
 def test_empty(spark):
     assert extract(spark, []) == []
