@@ -16,8 +16,9 @@ white space inside a block becomes one space, and blocks are joined by line feed
 
 Defined cases: a null or empty page has an empty text; a URL without host belongs to the
 host ''; a host of too few different pages has no template nodes; repeated pages give
-equal rows; elements below a depth of ``MOST_DEPTH`` count to their ancestor there; an
-empty table gives an empty result; other columns are ignored.
+equal rows; elements below a depth of ``MOST_DEPTH`` count to their ancestor there, unless
+they aren't the article or begin one; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -68,6 +69,7 @@ CONTAINER_TAGS = frozenset("html body div section article main center table tbod
 #: Elements that a new element of the second kind ends.
 CLOSES = {"p": BLOCK_TAGS - {"option"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
           "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "head": {"body"}}
+CLOSED_BY = {tag: [t for t, tags in CLOSES.items() if tag in tags] for tag in frozenset().union(*CLOSES.values())}
 SCOPES = frozenset("table td th ul ol dl article section div body main".split())
 
 TOKEN = re.compile(
@@ -92,7 +94,9 @@ class Slot:
         self.number = -1
 
 
-def _slot(parent: Slot, tag: str, attributes: str) -> Slot:
+def _slot(parent: Slot, tag: str, attributes: str, deep: bool) -> Slot:
+    """The child of ``parent`` for an element; ``parent`` itself if ``deep`` and the element
+    is no different in what counts."""
     words: list[str] = []
     role = ""
     if attributes:
@@ -107,7 +111,10 @@ def _slot(parent: Slot, tag: str, attributes: str) -> Slot:
         inside = parent.inside or bool(region)
         named = NEVER_WORDS.intersection(words) and tag not in ("html", "body", "article", "main")
         outer = not inside and (tag in OUTER_TAGS or (OUTER_WORDS.intersection(words) and tag != "body"))
-        slot = Slot(label, parent.skipped or tag in NEVER_TAGS or bool(named) or outer, inside, parent.region or region)
+        skipped, region = parent.skipped or tag in NEVER_TAGS or bool(named) or outer, parent.region or region
+        if deep and (skipped, inside, region) == (parent.skipped, parent.inside, parent.region):
+            return parent
+        slot = Slot(label, skipped, inside, region)
         parent.children[label] = slot
     return slot
 
@@ -117,7 +124,17 @@ def parse(page: str) -> tuple[Slot, list[tuple[Slot | None, str]]]:
     root = Slot("", False, False, "")
     stack: list[tuple[str, Slot]] = [("", root)]
     pieces: list[tuple[Slot | None, str]] = []
+    opened: dict[str, list[int]] = {}  # places of each tag on the stack, and of the scopes
+    scopes = [0]
     at = 0
+
+    def close(k: int) -> None:
+        while len(stack) > k:
+            tag = stack.pop()[0]
+            opened[tag].pop()
+            if tag in SCOPES:
+                scopes.pop()
+
     for token in TOKEN.finditer(page):
         if token.start() > at:
             pieces.append((stack[-1][1], page[at : token.start()]))
@@ -129,21 +146,19 @@ def parse(page: str) -> tuple[Slot, list[tuple[Slot | None, str]]]:
         if tag in BLOCK_TAGS:
             pieces.append((None, ""))
         if token[2]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            if opened.get(tag):
+                close(opened[tag][-1])
             continue
         if tag == "br":
             pieces.append((stack[-1][1], " "))
-        for k in range(len(stack) - 1, 0, -1):
-            if tag in CLOSES.get(stack[k][0], ()):
-                del stack[k:]
-                break
-            if stack[k][0] in SCOPES:
-                break
-        if tag not in VOID_TAGS and not token[4].endswith("/") and len(stack) < MOST_DEPTH:
-            stack.append((tag, _slot(stack[-1][1], tag, token[4])))
+        ended = max((opened[t][-1] for t in CLOSED_BY.get(tag, ()) if opened.get(t)), default=0)
+        if ended and ended >= scopes[-1]:
+            close(ended)
+        if tag not in VOID_TAGS and not token[4].endswith("/"):
+            opened.setdefault(tag, []).append(len(stack))
+            if tag in SCOPES:
+                scopes.append(len(stack))
+            stack.append((tag, _slot(stack[-1][1], tag, token[4], len(stack) >= MOST_DEPTH)))
     if at < len(page):
         pieces.append((stack[-1][1], page[at:]))
     return root, pieces

@@ -106,5 +106,16 @@ def test_inline_markup_and_a_headline_outside_the_body_container(spark):
     assert {r.page_id: r.text for r in extract(spark, rows)} == want
 
 
+def test_text_after_deep_elements():
+    def text(page):
+        return wrapper.main_text(page, None, set(), 0)
+
+    deep = "<div>" * 100 + "deep<aside>no<div>no</div></aside><nav>no</nav><div class=ad>no</div>low" + "</div>" * 100
+    assert text(f"<div>out<article><h1>T</h1>{deep}<p>after</p></article>out</div>") == "T\ndeep\nlow\nafter"
+    assert text(f"{deep}<p>after</p>") == "deep\nlow\nafter"
+    assert text("out" + "<div>" * 100 + "<article>a<p>b</article>" + "</div>" * 100 + "out") == "a\nb"
+    assert text("<span>" * 200_000 + "x" + "</b><p>" * 50_000 + "y") == "x\ny"
+
+
 def test_empty(spark):
     assert extract(spark, []) == []
