@@ -1,9 +1,10 @@
 """HTML main text by wrapper induction (operator 4).
 
 Each page becomes a small tree of slots: elements of one tag and class under one parent
-are one slot, so a list of any length is a single node. The trees of a few pages of a
-host, picked by hash, are aligned by simple tree matching and merged into the host's
-wrapper. Then every page of the host is aligned with it, and per wrapper node it is
+are one slot, so a list of any length is a single node. The different trees of all pages
+of a host are aligned by simple tree matching and merged into the host's wrapper, a few at
+a time in rounds. Then every page of the host is aligned with it (nodes of one path of
+labels, which stand side by side for pages of another order, are one node), and it is
 counted in how many pages (pages with one main text count once) it holds the same text:
 constant nodes are template, varying ones content. The content root is the innermost
 container element that holds all varying text; an ``article`` or ``main`` element goes
@@ -29,6 +30,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -41,6 +43,9 @@ from fairgauge.llm.common import materialise
 #: Depth of a tree, and different pages of a host that tell template from content.
 MOST_DEPTH = 60
 LEAST_PAGES = 4
+#: Trees of a host that are merged at a time, on average; hosts, alignments and characters
+#: of trees that a task remembers.
+MERGED_TREES, HOSTS, ALIGNMENTS, TREE_CHARS = 32, 256, 1024, 1 << 24
 #: Share of a host's pages that makes a text constant.
 CONSTANT = 0.75
 
@@ -188,21 +193,23 @@ def shape(slot: Slot) -> list:
 def match(a: list, b: list) -> tuple[int, list]:
     """Simple tree matching of two trees with equal root labels: the number of matched
     nodes, and the pairs of matched children with their own matches."""
-    n, m = len(a[1]), len(b[1])
+    shared = {c[0] for c in a[1]} & {c[0] for c in b[1]}  # others match nothing
+    left, right = ([k for k, c in enumerate(x[1]) if c[0] in shared] for x in (a, b))
+    n, m = len(left), len(right)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     inner: dict[tuple[int, int], tuple[int, list]] = {}
-    for i in range(n):
-        for j in range(m):
+    for i, x in enumerate(left):
+        for j, y in enumerate(right):
             most = max(best[i][j + 1], best[i + 1][j])
-            if a[1][i][0] == b[1][j][0]:
-                inner[i, j] = match(a[1][i], b[1][j])
+            if a[1][x][0] == b[1][y][0]:
+                inner[i, j] = match(a[1][x], b[1][y])
                 most = max(most, best[i][j] + inner[i, j][0])
             best[i + 1][j + 1] = most
     pairs, i, j = [], n, m
     while i and j:
         if (i - 1, j - 1) in inner and best[i][j] == best[i - 1][j - 1] + inner[i - 1, j - 1][0]:
             i, j = i - 1, j - 1
-            pairs.append((i, j, inner[i, j][1]))
+            pairs.append((left[i], right[j], inner[i, j][1]))
         elif best[i][j] == best[i - 1][j]:
             i -= 1
         else:
@@ -221,37 +228,83 @@ def merge(a: list, b: list, pairs: list) -> list:
     return [a[0], children]
 
 
-def align(slot: Slot, tree: list) -> list[Slot]:
-    """Number the slots of a page by the wrapper's nodes (in preorder) that they match."""
-    found: list[Slot] = []
+class Wrapper:
+    """A host's merged tree; its nodes are numbered in preorder."""
 
-    def size(node: list) -> int:
-        return 1 + sum(map(size, node[1]))
+    def __init__(self, tree: str):
+        self.tree = json.loads(tree)
+        self.sizes: list[int] = []
+        #: For each node the first one of its path of labels.
+        self.firsts: list[int] = []
+        paths: dict[tuple[int, str], int] = {}
+
+        def walk(node: list, parent: int) -> int:
+            number = len(self.sizes)
+            self.firsts.append(paths.setdefault((parent, node[0]), number))
+            self.sizes.append(1)
+            for child in node[1]:
+                self.sizes[number] += walk(child, self.firsts[number])
+            return self.sizes[number]
+
+        walk(self.tree, -1)
+
+    def numbers(self, tree: list) -> list[int]:
+        """The wrapper's nodes that the nodes of a page's tree match, in preorder; -1 for none."""
+        out: list[int] = []
+
+        def walk(page: list, node: list | None, number: int, pairs: list) -> None:
+            out.append(number if number < 0 else self.firsts[number])
+            begins, matched = [], {i: (j, inner) for i, j, inner in pairs}
+            after = number + 1
+            for _ in node[1] if node else ():
+                begins.append(after)
+                after += self.sizes[after]
+            for i, child in enumerate(page[1]):
+                if i in matched:
+                    j, inner = matched[i]
+                    walk(child, node[1][j], begins[j], inner)
+                else:
+                    walk(child, None, -1, [])
+
+        walk(tree, self.tree, 0, match(tree, self.tree)[1])
+        return out
+
+    def align(self, root: Slot) -> None:
+        """Number the slots of a page by the nodes that they match."""
+        todo, numbers = [root], iter(_numbers(self, json.dumps(shape(root))))
+        while todo:
+            slot = todo.pop()
+            slot.number = next(numbers)
+            todo += reversed(slot.children.values())
 
-    def walk(slot: Slot, node: list, number: int, pairs: list) -> None:
-        slot.number = number
-        found.append(slot)
-        children, begins = list(slot.children.values()), []
-        number += 1
-        for child in node[1]:
-            begins.append(number)
-            number += size(child)
-        for i, j, inner in pairs:
-            walk(children[i], node[1][j], begins[j], inner)
 
-    walk(slot, tree, 0, match(shape(slot), tree)[1])
-    return found
+@lru_cache(maxsize=ALIGNMENTS)
+def _numbers(wrapper: Wrapper, tree: str) -> list[int]:
+    return wrapper.numbers(json.loads(tree))
 
 
-@lru_cache(maxsize=256)
-def _wrapper(tree: str) -> list:
-    return json.loads(tree)
+@lru_cache(maxsize=HOSTS)
+def _wrapper(tree: str) -> Wrapper:
+    return Wrapper(tree)
 
 
 def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The trees of the pages; few of them more than once."""
+    seen: set[tuple[str, str]] = set()
+    held = 0
     for batch in batches:
-        trees = [json.dumps(shape(parse(x.as_py() or "")[0])) for x in batch.column("html")]
-        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(trees, pa.string())], names=["host", "tree"])
+        hosts, trees = [], []
+        for host, page in zip(batch.column("host"), batch.column("html"), strict=True):
+            new = host.as_py(), json.dumps(shape(parse(page.as_py() or "")[0]))
+            if new not in seen:
+                if held > TREE_CHARS:
+                    seen.clear()
+                    held = 0
+                seen.add(new)
+                held += len(new[1])
+                hosts.append(new[0])
+                trees.append(new[1])
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(trees, pa.string())], names=["host", "tree"])
 
 
 def _induce(group: pd.DataFrame) -> pd.DataFrame:
@@ -261,6 +314,20 @@ def _induce(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": [group["host"].iloc[0]], "tree": [json.dumps(tree)]})
 
 
+def _merged(trees: DataFrame) -> DataFrame:
+    """host and tree: all trees of each host in one."""
+    trees = materialise(trees.distinct(), "wrapper-shapes")
+    while True:
+        salts = F.ceil(F.count("*") / MERGED_TREES).alias("salts")
+        most = trees.groupBy("host").agg(salts)
+        rows = trees.join(most, "host").withColumn("salt", F.pmod(F.xxhash64("tree"), "salts"))
+        merged = rows.groupBy("host", "salt").applyInPandas(_induce, "host string, tree string")
+        one = (most.agg(F.max("salts")).first()[0] or 1) == 1
+        trees = materialise(merged if one else merged.distinct(), "wrapper-trees")
+        if one:
+            return trees
+
+
 def _slot_texts(pieces: list[tuple[Slot | None, str]]) -> dict[Slot, str]:
     own: dict[Slot, list[str]] = {}
     for slot, text in pieces:
@@ -276,7 +343,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mains, slots = [], []
         for page, tree in zip(batch.column("html"), batch.column("tree"), strict=True):
             root, pieces = parse(page.as_py() or "")
-            align(root, _wrapper(tree.as_py()))
+            _wrapper(tree.as_py()).align(root)
             texts = _slot_texts(pieces)
             main = max(texts.values(), key=len, default="").encode()
             mains.append(zlib.crc32(main) << 32 | zlib.adler32(main))
@@ -293,7 +360,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def judge(tree: list, nodes: dict[int, tuple[int, int, int]]) -> tuple[set[int], int]:
+def judge(wrapper: Wrapper, nodes: dict[int, tuple[int, int, int]]) -> tuple[set[int], int]:
     """Template nodes and the content root. ``nodes``: pages, pages with the commonest
     text, and characters of each wrapper node that holds text."""
     enough = max((p for p, _, _ in nodes.values()), default=0) >= LEAST_PAGES
@@ -301,17 +368,11 @@ def judge(tree: list, nodes: dict[int, tuple[int, int, int]]) -> tuple[set[int],
     if not any(k not in constant for k in nodes):
         constant = set()
 
-    chars: dict[int, int] = {}
-
-    def weigh(node: list, number: int) -> tuple[int, int]:
-        total, after = nodes.get(number, (0, 0, 0))[2] * (number not in constant), number + 1
-        for child in node[1]:
-            inner, after = weigh(child, after)
-            total += inner
-        chars[number] = total
-        return total, after
-
-    weigh(tree, 0)
+    sizes, chars = wrapper.sizes, [0] * len(wrapper.sizes)
+    for k, (_, _, n) in nodes.items():
+        chars[k] = n * (k not in constant)
+    sums = [0, *accumulate(chars)]
+    chars = [sums[k + n] - sums[k] for k, n in enumerate(sizes)]
 
     def narrow(node: list, number: int) -> int:
         child_number = number + 1
@@ -319,24 +380,21 @@ def judge(tree: list, nodes: dict[int, tuple[int, int, int]]) -> tuple[set[int],
             if chars[child_number] and chars[child_number] == chars[number]:
                 inner = narrow(child, child_number)  # nothing that varies is left outside
                 return inner if inner != child_number or child[0].split(" ")[0] in CONTAINER_TAGS else number
-            child_number += _size(child)
+            child_number += sizes[child_number]
         return number
 
-    return constant, narrow(tree, 0)
-
-
-def _size(node: list) -> int:
-    return 1 + sum(map(_size, node[1]))
+    return constant, wrapper.firsts[narrow(wrapper.tree, 0)]
 
 
 def main_text(page: str, tree: str | None, template: set[int], root_number: int) -> str:
     root, pieces = parse(page)
-    wrapped = align(root, _wrapper(tree)) if tree else []
+    if tree:
+        _wrapper(tree).align(root)
     slots: list[tuple[Slot, bool]] = []
     todo = [(root, False)]
     while todo:
         slot, inside = todo.pop()
-        inside = inside or (bool(wrapped) and slot.number == root_number)
+        inside = inside or (tree is not None and slot.number == root_number)
         slots.append((slot, inside))
         todo += [(c, inside) for c in slot.children.values()]
     usable = [(s, i) for s, i in slots if not s.skipped]
@@ -357,7 +415,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page, host, tree, nodes in zip(*columns, strict=True):
             host, tree = host.as_py(), tree.as_py()
             if host not in judged:
-                if len(judged) >= 256:
+                if len(judged) >= HOSTS:
                     judged.clear()
                 seen = {n["node"]: (n["pages"], n["same"], n["chars"]) for n in nodes.as_py() or []}
                 judged[host] = judge(_wrapper(tree), seen) if tree else (set(), 0)
@@ -369,15 +427,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def induce_wrappers(pages: DataFrame) -> DataFrame:
     """host, tree and nodes (node, pages, same, chars) of each host. ``pages``: id, host, html."""
-    # A few pages of each host, two by either hash: a bounded aggregate on narrow columns.
-    hashes = [F.struct(F.xxhash64("id", F.lit(k)).alias("hash"), "id") for k in (1, 2)]
-    picked = pages.groupBy("host").agg(*[f(h).alias(f"{f.__name__}{k}") for k, h in enumerate(hashes) for f in (F.min, F.max)])
-    ids = picked.select("host", F.explode(F.array_distinct(F.array("min0.id", "max0.id", "min1.id", "max1.id"))).alias("id"))
-    ids = materialise(ids, "wrapper-picked")  # its size is then known: the pages' HTML needn't be shuffled to join it
-    on = pages.host.eqNullSafe(ids.host) & pages.id.eqNullSafe(ids.id)
-    seeds = pages.join(ids, on, "left_semi").groupBy("host", "id").agg(F.max("html").alias("html"))
-    trees = seeds.select("host", "html").mapInArrow(_trees, "host string, tree string")
-    wrappers = materialise(trees.groupBy("host").applyInPandas(_induce, "host string, tree string"), "wrapper-trees")
+    wrappers = _merged(pages.select("host", "html").mapInArrow(_trees, "host string, tree string"))
     rows = pages.select("host", "html").join(wrappers, "host").mapInArrow(
         _statistics, "host string, main long, slots array<struct<node:int,hash:bigint,chars:bigint>>"
     )

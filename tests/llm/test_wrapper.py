@@ -117,5 +117,17 @@ def test_text_after_deep_elements():
     assert text("<span>" * 200_000 + "x" + "</b><p>" * 50_000 + "y") == "x\ny"
 
 
+def test_every_layout_of_a_host_is_aligned(spark, monkeypatch):
+    monkeypatch.setattr(wrapper, "MERGED_TREES", 3, raising=False)  # several rounds
+    rnd, rows, want = random.Random(6), [], {}
+    for k in range(120):
+        layout, text = "abcdefghijkl"[k % 12], prose(rnd, 30)
+        parts = [f"<p>{text}</p>", f"<div class=about{layout}>All about us, layout {layout}</div>"]
+        # An order of its own, too.
+        rows.append((k, f"http://many.example/{k}", f"<body><div class=box-{layout}>{''.join(parts[:: 1 if k % 5 else -1])}</div></body>"))
+        want[k] = text
+    assert {r.page_id: r.text for r in extract(spark, rows)} == want
+
+
 def test_empty(spark):
     assert extract(spark, []) == []
