@@ -5,7 +5,7 @@ are one slot, so a list of any length is a single node. The different trees of a
 of a host are aligned by simple tree matching and merged into the host's wrapper, a few at
 a time in rounds. Then every page of the host is aligned with it (nodes of one path of
 labels, which stand side by side for pages of another order, are one node), and it is
-counted in how many pages (pages with one main text count once) it holds the same text:
+counted in how many pages (pages equal in every slot count once) it holds the same text:
 constant nodes are template, varying ones content. The content root is the innermost
 container element that holds all varying text; an ``article`` or ``main`` element goes
 before it.
@@ -24,10 +24,10 @@ are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -337,29 +337,25 @@ def _slot_texts(pieces: list[tuple[Slot | None, str]]) -> dict[Slot, str]:
 
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each page: what its main slot holds, and hash and length of each aligned slot."""
+    """Of each page: a hash of all its slots, and hash and length of each slot's text."""
     item = pa.struct([("node", pa.int32()), ("hash", pa.int64()), ("chars", pa.int64())])
     for batch in batches:
-        mains, slots = [], []
+        pages, slots = [], []
         for page, tree in zip(batch.column("html"), batch.column("tree"), strict=True):
             root, pieces = parse(page.as_py() or "")
             _wrapper(tree.as_py()).align(root)
-            texts = _slot_texts(pieces)
-            main = max(texts.values(), key=len, default="").encode()
-            mains.append(zlib.crc32(main) << 32 | zlib.adler32(main))
-            slots.append(
-                [
-                    {"node": s.number, "hash": zlib.crc32(t.encode()) << 20 ^ len(t), "chars": len(t)}
-                    for s, t in texts.items()
-                    if s.number >= 0
-                ]
-            )
+            texts = sorted((s.number, _hash(t.encode()), len(t)) for s, t in _slot_texts(pieces).items())
+            pages.append(_hash(repr(texts).encode()))
+            slots.append([{"node": k, "hash": h, "chars": n} for k, h, n in texts])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("host"), pa.array([m - (1 << 64) if m >= 1 << 63 else m for m in mains], pa.int64()), pa.array(slots, pa.list_(item))],
-            names=["host", "main", "slots"],
+            [batch.column("host"), pa.array(pages, pa.int64()), pa.array(slots, pa.list_(item))], names=["host", "page", "slots"]
         )
 
 
+def _hash(data: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
 def judge(wrapper: Wrapper, nodes: dict[int, tuple[int, int, int]]) -> tuple[set[int], int]:
     """Template nodes and the content root. ``nodes``: pages, pages with the commonest
     text, and characters of each wrapper node that holds text."""
@@ -429,10 +425,10 @@ def induce_wrappers(pages: DataFrame) -> DataFrame:
     """host, tree and nodes (node, pages, same, chars) of each host. ``pages``: id, host, html."""
     wrappers = _merged(pages.select("host", "html").mapInArrow(_trees, "host string, tree string"))
     rows = pages.select("host", "html").join(wrappers, "host").mapInArrow(
-        _statistics, "host string, main long, slots array<struct<node:int,hash:bigint,chars:bigint>>"
+        _statistics, "host string, page long, slots array<struct<node:int,hash:bigint,chars:bigint>>"
     )
-    # Pages with one main text count once, and their copies needn't be shuffled twice.
-    texts = rows.groupBy("host", "main").agg(F.first("slots").alias("slots")).select("host", F.inline("slots"))
+    # Pages equal in every slot count once, whichever of them is taken.
+    texts = rows.groupBy("host", "page").agg(F.first("slots").alias("slots")).select("host", F.inline("slots"))
     counts = texts.groupBy("host", "node", "hash").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
     nodes = counts.groupBy("host", "node").agg(F.sum("n").alias("pages"), F.max("n").alias("same"), F.sum("chars").alias("chars"))
     per_host = nodes.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("node", "pages", "same", "chars"))).alias("nodes"))

@@ -129,5 +129,14 @@ def test_every_layout_of_a_host_is_aligned(spark, monkeypatch):
     assert {r.page_id: r.text for r in extract(spark, rows)} == want
 
 
+def test_a_constant_block_longer_than_the_articles(spark):
+    rnd, rows, want = random.Random(7), [], {}
+    legal = "No part of this may be copied without our leave. " * 20
+    for k in range(20):
+        want[k] = prose(rnd, 25)
+        rows.append((k, f"http://legal.example/{k}", f"<body><div class=story><p>{want[k]}</p></div><div class=about>{legal}</div></body>"))
+    assert {r.page_id: r.text for r in extract(spark, rows)} == want
+
+
 def test_empty(spark):
     assert extract(spark, []) == []
