@@ -11,9 +11,11 @@ nothing new is in range. What was found is verified by cosine in double precisio
 
 A shard of more than ``BLOCK_NODES`` nodes is cut into blocks, each with a graph of its
 own, and the queries of each block go to all of them. A shard hands on counts and a spanning forest of its links, never the links themselves.
-The recall is audited: a bounded number of queries is compared with all vectors by brute
-force, and while less than ``LEAST_RECALL`` of their links was found the search is
-repeated with more overlap.
+A link of two nodes is asked for in one place, whose finding counts for both of them and for
+the component alike. The recall is audited: a bounded number of queries is compared with all
+vectors by brute force, and while the mean share of a query's linked nodes that was found is
+less than ``LEAST_RECALL``, twice the overlap is taken and shards are searched exhaustively,
+in the end each of them for every node.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components
 link with nothing, as do those whose length isn't the most common one; copies link with
@@ -48,8 +50,8 @@ FIT_ROUNDS = 8
 CANDIDATES, DEGREE, LONG_EDGES, ALPHA = 64, 32, 4, 1.2
 #: Nodes kept by the greedy search; what the expansion tolerates below the threshold.
 BEAM, MARGIN = 24, 0.05
-#: Queries of the audit, the recall it asks for, and shards of a node at most.
-AUDIT_ROWS, LEAST_RECALL, MOST_OVERLAP = 256, 0.98, 4
+#: Queries of the audit, and the mean recall that it asks for.
+AUDIT_ROWS, LEAST_RECALL = 256, 0.98
 SEED = 5
 
 
@@ -87,7 +89,7 @@ def fit_centroids(sample: np.ndarray, k: int, apart: float) -> np.ndarray:
 
 
 def _deal(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, overlap: int) -> Iterator[pa.RecordBatch]:
-    """A row for each shard of a node; the first one is its home."""
+    """A row for each shard of a node; the first of ``shards`` is its home."""
     overlap = min(overlap, len(centroids))
     for batch in batches:
         if not batch.num_rows:
@@ -96,9 +98,10 @@ def _deal(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, overlap: int
         best = np.argsort(-near, axis=1, kind="stable")[:, :overlap]
         rows = np.repeat(np.arange(batch.num_rows), overlap)
         dealt = batch.take(pa.array(rows))
+        shards = pa.array(best.astype(np.int32).tolist(), pa.list_(pa.int32())).take(pa.array(rows))
         yield pa.RecordBatch.from_arrays(
-            [*dealt.columns, pa.array(best.ravel().astype(np.int32)), pa.array(np.tile(np.arange(overlap) == 0, batch.num_rows))],
-            names=[*dealt.schema.names, "shard", "home"],
+            [*dealt.columns, pa.array(best.ravel().astype(np.int32)), pa.array(np.tile(np.arange(overlap) == 0, batch.num_rows)), shards],
+            names=[*dealt.schema.names, "shard", "home", "shards"],
         )
 
 
@@ -164,49 +167,75 @@ def range_search(x: np.ndarray, lists: list[np.ndarray], q: np.ndarray, start: n
     return found[x[found] @ q >= threshold] if len(found) else found
 
 
-def _search(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """The queries of one block among the nodes of another (or the same). For each query
-    its number of links here (copies of others counted); for each linked node the
-    smallest node that it hangs together with here."""
+def _search(group: pd.DataFrame, threshold: float, exhaustive: bool) -> pd.DataFrame:
+    """The queries of one block among the nodes of another (or the same). For each node the
+    links that were asked for here, with (``links``) and without copies of the others
+    (``peers``); for each linked node the smallest node that it hangs together with here."""
     group = group.sort_values(["data", "node"], ascending=[False, True], kind="stable")
     n = int(group["data"].sum())
-    node, copies = group["node"].to_numpy(), group["copies"].to_numpy()[:n]
+    node, copies = group["node"].to_numpy(), group["copies"].to_numpy()
+    shards, same_block = group["shards"].tolist(), group["at"].iloc[0] == group["of"].iloc[0]
+    here, homes = group["shard"].iloc[0], np.array([x[0] for x in shards])
     every = _matrix(group["vector"])
     x = every[:n]
     places = {v: i for i, v in enumerate(node[:n].tolist())}
     lists = [np.array([places[v] for v in e if v in places], np.int64) for e in group["neighbours"].iloc[:n]]
     medoid = int((x @ x.mean(axis=0)).argmax()) if n else 0
-    root, counts = np.arange(len(node)), {}
+    root, links, peers = np.arange(len(node)), np.zeros(len(node), np.int64), np.zeros(len(node), np.int64)
+    # Two nodes at home in this block ask each other here: what either finds is a link.
+    inside = np.flatnonzero(homes[:n] == here) if same_block else np.zeros(0, np.int64)
+    among = np.full(len(node), -1)
+    among[inside] = np.arange(len(inside))
+    mutual = np.zeros((len(inside), len(inside)), bool)
     for i in np.flatnonzero(group["query"].to_numpy()) if n else ():
-        start = np.unique([medoid, i]) if i < n else np.array([medoid])  # a node is in its own graph
-        found = range_search(x, lists, every[i], start, threshold)
+        if exhaustive:
+            found = np.flatnonzero(x @ every[i] >= threshold)
+        else:
+            start = np.unique([medoid, i]) if i < n else np.array([medoid])  # a node is in its own graph
+            found = range_search(x, lists, every[i], start, threshold)
         found = found[found != i]
-        counts[int(i)] = int(copies[found].sum())
+        both = among[found] >= 0 if among[i] >= 0 else np.zeros(len(found), bool)
+        if both.any():
+            mutual[among[i], among[found[both]]] = True
+        # The other one asks elsewhere if this one is in its home; then the smaller one's finding counts.
+        alone = ~both & (~np.isin(homes[found], shards[i]) | (node[i] < node[found]))
+        once = found[alone]
+        links[i] += copies[once].sum()
+        peers[i] += len(once)
+        links[once] += copies[i]
+        peers[once] += 1
+        found = found[both | alone]
         if len(found):
             roots = np.unique(root[np.append(found, i)])
             if len(roots) > 1:
                 root[np.isin(root, roots)] = roots[np.argmin(node[roots])]
-    home = np.fromiter(counts, np.int64, len(counts))
+    mutual |= mutual.T
+    for begin in range(0, len(inside), 512):
+        some = inside[begin : begin + 512]
+        links[some] += mutual[begin : begin + 512] @ copies[inside]
+        peers[some] += mutual[begin : begin + 512].sum(axis=1)
+    linked = np.flatnonzero(peers)
     hung = np.flatnonzero(root != np.arange(len(node)))
     return pd.concat(
         [
-            pd.DataFrame({"node": node[home], "links": list(counts.values()), "root": None}),
-            pd.DataFrame({"node": node[hung], "links": None, "root": node[root[hung]]}),
+            pd.DataFrame({"node": node[linked], "links": links[linked], "peers": peers[linked], "root": None}),
+            pd.DataFrame({"node": node[hung], "links": None, "peers": None, "root": node[root[hung]]}),
         ]
-    ).astype({"links": "Int64", "root": "Int64", "node": "int64"})
+    ).astype({"links": "Int64", "peers": "Int64", "root": "Int64", "node": "int64"})
 
 
-def _units(dealt: DataFrame, united: DataFrame) -> DataFrame:
+def _units(dealt: DataFrame, united: DataFrame | None) -> DataFrame:
     """What each pair of blocks of a shard needs: the nodes of ``at`` with their lists,
     and the nodes at home of ``of`` as queries."""
+    listed = dealt.join(united, "node") if united else dealt.withColumn("neighbours", F.array().cast("array<bigint>"))
     every, other = F.sequence(F.lit(0), F.col("blocks") - 1), F.col("other")
-    rows = dealt.join(united, "node").withColumn("other", F.explode(every))
+    rows = listed.withColumn("other", F.explode(every))
     data = rows.select(
-        "shard", F.col("block").alias("at"), other.alias("of"), "node", "copies", "vector", "neighbours",
+        "shard", F.col("block").alias("at"), other.alias("of"), "node", "copies", "vector", "shards", "neighbours",
         F.lit(True).alias("data"), (F.col("home") & (other == F.col("block"))).alias("query"),
     )
     queries = rows.where(F.col("home") & (other != F.col("block"))).select(
-        "shard", other.alias("at"), F.col("block").alias("of"), "node", "copies", "vector",
+        "shard", other.alias("at"), F.col("block").alias("of"), "node", "copies", "vector", "shards",
         F.lit(None).cast("array<bigint>").alias("neighbours"), F.lit(False).alias("data"), F.lit(True).alias("query"),
     )
     return data.unionByName(queries)
@@ -216,21 +245,22 @@ def _brute_force(batches: Iterator[pa.RecordBatch], queries: dict[int, bytes], t
     ids, q = np.array(list(queries), np.int64), _matrix(list(queries.values()))
     for batch in batches:
         if batch.num_rows:
-            x, copies = _matrix(batch.column("vector").to_pylist()), batch.column("copies").to_numpy()
+            x = _matrix(batch.column("vector").to_pylist())
             linked = (q @ x.T >= threshold) & (ids[:, None] != batch.column("node").to_numpy()[None, :])
-            yield pa.RecordBatch.from_pydict({"node": ids, "true_links": linked @ copies})
+            yield pa.RecordBatch.from_pydict({"node": ids, "exist": linked.sum(axis=1)})
 
 
-def audit(nodes: DataFrame, counts: DataFrame, threshold: float, queries: int = AUDIT_ROWS) -> tuple[int, int]:
-    """Links found and existing of the ``queries`` nodes of least hash."""
+def audit(nodes: DataFrame, counts: DataFrame, threshold: float, queries: int = AUDIT_ROWS) -> float:
+    """Mean recall of the linked ones among the ``queries`` nodes of least hash, whatever
+    the number of their links and copies."""
     some = nodes.orderBy(F.xxhash64("node"), "node").limit(queries).select("node", "vector").collect()
     if not some:
-        return 0, 0
+        return 1.0
     sent = {r.node: bytes(r.vector) for r in some}
-    true = nodes.mapInArrow(lambda b: _brute_force(b, sent, threshold), "node long, true_links long")
-    both = true.groupBy("node").agg(F.sum("true_links").alias("true_links")).join(counts, "node", "left")
-    found, exist = both.agg(F.sum(F.least(F.coalesce("links", F.lit(0)), "true_links")), F.sum("true_links")).first()
-    return found, exist
+    true = nodes.mapInArrow(lambda b: _brute_force(b, sent, threshold), "node long, exist long")
+    both = true.groupBy("node").agg(F.sum("exist").alias("exist")).where("exist > 0").join(counts, "node", "left")
+    recall = both.agg(F.avg(F.least(F.coalesce("peers", F.lit(0)) / F.col("exist"), F.lit(1.0)))).first()[0]
+    return 1.0 if recall is None else recall
 
 
 def near_duplicates(
@@ -256,29 +286,32 @@ def near_duplicates(
     if n:
         sample = nodes.orderBy(F.xxhash64("node", F.lit(SEED)), "node").limit(SAMPLE_ROWS).select("vector").collect()
         centroids = fit_centroids(_matrix([bytes(r.vector) for r in sample]), min(MOST_SHARDS, math.ceil(n / SHARD_NODES), len(sample)), threshold)
+    exhaustive = False
     while n:
-        spread = overlap
+        spread, exact = overlap, exhaustive
         dealt = materialise(
             nodes.drop("id").mapInArrow(
-                lambda b: _deal(b, centroids, spread), "node long, copies long, vector binary, shard int, home boolean"  # noqa: B023
+                lambda b: _deal(b, centroids, spread),  # noqa: B023
+                "node long, copies long, vector binary, shard int, home boolean, shards array<int>",
             ),
             "graph-shards",
         )
         sizes = dealt.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"))
         dealt = dealt.join(F.broadcast(sizes), "shard").withColumn("block", F.pmod(F.xxhash64("node", "shard"), "blocks").cast("int"))
-        lists = dealt.groupBy("shard", "block").applyInPandas(_adjacency, "node long, neighbours array<bigint>")
-        united = materialise(
-            lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours")), "graph-lists"
-        )
+        united = None
+        if not exact:
+            lists = dealt.groupBy("shard", "block").applyInPandas(_adjacency, "node long, neighbours array<bigint>")
+            united = materialise(
+                lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours")), "graph-lists"
+            )
         searched = _units(dealt, united).groupBy("shard", "at", "of").applyInPandas(
-            lambda g: _search(g, threshold), "node long, links long, root long"
+            lambda g: _search(g, threshold, exact), "node long, links long, peers long, root long"  # noqa: B023
         )
         found = materialise(searched, "graph-links")
-        counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-        got, exist = audit(nodes, counts, threshold)
-        if got >= LEAST_RECALL * exist or overlap >= min(MOST_OVERLAP, len(centroids)):
-            break
-        overlap += 1
+        counts = found.groupBy("node").agg(F.sum("links").alias("links"), F.sum("peers").alias("peers"))
+        if audit(nodes, counts, threshold) >= LEAST_RECALL or (exact and overlap >= len(centroids)):
+            break  # with every shard searched exhaustively for every node nothing is left to find
+        overlap, exhaustive = 2 * overlap, True
     if found is None:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     parts = components(found.where(F.col("root").isNotNull()), "node", "root")

@@ -56,6 +56,25 @@ def test_links_and_components(spark, monkeypatch, shard, block):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got if r.vec_id is not None)
 
 
+def test_small_groups_count_as_much_as_large_groups_of_copies(spark, monkeypatch):
+    """Pairs on the borders of shards beside a few nodes of very many copies."""
+    monkeypatch.setattr(flatgraph, "SHARD_NODES", 4)
+    rng = np.random.default_rng(3)
+    rows = [(k, rng.normal(size=8).tolist()) for k in range(200)]
+    rows += [(1000 + k, (np.array(v) + rng.normal(scale=0.35, size=8)).tolist()) for k, v in rows]
+    big = rng.normal(size=8)
+    rows += [(3000 + k, (big + 0.01 * (k % 2)).tolist()) for k in range(600)]
+    monkeypatch.setattr(flatgraph, "SAMPLE_ROWS", 400)
+    got = flatgraph.near_duplicates(table(spark, rows), overlap=1).collect()
+    found = {r.vec_id: r for r in got}
+    want = {i: (n, c) for i, n, c in brute_force(rows)}
+    linked = [i for i, (n, _) in want.items() if n and i < 3000]
+    assert len(linked) > 50 and np.mean([found[i].n_links / want[i][0] for i in linked]) >= 0.97
+    # Who hangs together with others has links, and the other way round.
+    size = {c: sum(r.component_id == c for r in got) for c in {r.component_id for r in got}}
+    assert all((r.n_links > 0) == (size[r.component_id] > 1) for r in got)
+
+
 def test_nothing_usable_and_empty(spark):
     assert {(r.vec_id, r.n_links, r.component_id) for r in flatgraph.near_duplicates(table(spark, [(1, None), (2, [0.0])])).collect()} == {(1, 0, 1), (2, 0, 2)}
     assert flatgraph.near_duplicates(table(spark, [])).count() == 0
