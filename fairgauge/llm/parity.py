@@ -285,6 +285,12 @@ def _unit_pairs(group: pd.DataFrame, t: Fraction, keep: int | None) -> pd.DataFr
     return pd.concat([rows, pd.DataFrame({"a": [None], "b": [None]}, dtype="Int64")]) if more else rows
 
 
+def hot_bins(hot: DataFrame) -> int:
+    """Bins of about two blocks of rows: every node of a key is there once for each block."""
+    dealt = hot.agg(F.sum(F.ceil(F.col("nodes") / BLOCK))).first()[0] or 0
+    return max(1, math.ceil(dealt / (2 * BLOCK)))
+
+
 class _Join:
     def __init__(self, sets: DataFrame, threshold: Fraction):
         self.sets, self.t = sets, threshold
@@ -315,8 +321,8 @@ class _Join:
         rows = hot.withColumn("component", F.col("node"))
         if parts is not None:
             rows = hot.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        whole = Window.partitionBy("key")
-        open_keys = rows.withColumns({"low": F.min("component").over(whole), "high": F.max("component").over(whole)}).where("low < high")
+        ends = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+        open_keys = rows.join(ends.select("key"), "key")
         place = F.row_number().over(Window.partitionBy("key").orderBy("component", "node")) - 1
         blocks = F.ceil(F.col("nodes") / BLOCK).cast("int")
         dealt = open_keys.withColumn("block", F.floor(place / BLOCK).cast("int")).withColumn(
@@ -332,7 +338,7 @@ class _Join:
         ).join(self.sets.select("node", "size", "sketch"), "node")
         # Units are dealt to bins of about two blocks of rows, since a call per unit costs more
         # than most units do.
-        bins = max(1, math.ceil(hot.count() / (2 * BLOCK)))
+        bins = hot_bins(hot)
         dealt_units = units.withColumn("bin", F.pmod(F.xxhash64("key", "p", "q"), F.lit(bins)))
         pairs = dealt_units.groupBy("bin").applyInPandas(lambda g: _unit_pairs(g, t, keep), "a long, b long")
         return materialise(pairs.distinct(), "parity-pairs")

@@ -114,6 +114,23 @@ def brute_force_in_order(rows):
     return [(i, len(shingles(t, 5)), found[i, len(shingles(t, 5))]) for i, t, _ in rows]
 
 
+def test_bins_grow_with_the_rows_that_blocks_make(spark, monkeypatch):
+    monkeypatch.setattr(parity, "BLOCK", 8)
+    monkeypatch.setattr(parity, "SMALL_KEY", 3)
+    groups, judged = [], parity._Join.hot_pairs
+    rnd = random.Random(12)
+    docs = documents(spark, family(rnd, 0, 120, 40, 1))
+
+    def pairs(self, hot, parts, keep):
+        made = sum(-(-r.nodes // parity.BLOCK) for r in hot.collect())
+        groups.append((parity.hot_bins(hot), made))
+        return judged(self, hot, parts, keep)
+
+    monkeypatch.setattr(parity._Join, "hot_pairs", pairs)
+    parity.group_similar(docs).collect()
+    assert groups and all(bins >= made / (2 * parity.BLOCK) for bins, made in groups)
+
+
 def test_empty(spark):
     assert parity.group_similar(spark.createDataFrame([], SCHEMA)).count() == 0
     assert parity.drop_similar(spark.createDataFrame([], SCHEMA)).count() == 0
