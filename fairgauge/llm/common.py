@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import string
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word, wherever an operator counts words: a run without ASCII white space.
@@ -14,13 +15,16 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one is
-    made only where the session names none (local tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``, or the session's checkpoint
+    folder. Where neither is set there is no folder that all executors share for sure: only
+    a session whose executors are the driver itself may then use a folder of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="fairgauge-llm-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    if root:
+        return root
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fairgauge-llm-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -44,3 +48,21 @@ def ascii_lower(text: Column) -> Column:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def number_rows(df: DataFrame, order: list[Column], name: str, within: str | None = None) -> DataFrame:
+    """``df`` with ``name``: each row's place from 0 in ``order``, among the rows of its
+    ``within``. Rows are range-sorted and written once with their place in their partition;
+    the partitions' sizes are summed on their own, so no group meets in one task. Equal rows
+    are dealt to several partitions, too."""
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    keys = [*([F.col(within)] if within else []), *order, F.col("_tie")]
+    placed = tied.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    rows = materialise(placed.withColumn("_part", F.shiftright("_at", 33)).drop("_tie"), "numbered")
+    group = [within] if within else []
+    sizes = rows.groupBy("_part", *group).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0).cast("long"))).drop("_n")
+    return rows.join(starts, ["_part", *group]).withColumn(name, F.col("_at") - F.col("_first") + F.col("_start")).drop(
+        "_part", "_at", "_first", "_start"
+    )

@@ -104,10 +104,49 @@ SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
 """
 
+#: Words of letters and digits; hex digits of a text as numbers.
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+#: CRC-32 byte by byte, each byte's eight shifts by a list.
+LENGTH_CRC = rf"""
+WITH c AS (
+  SELECT list(v ORDER BY b) AS crc FROM (
+    SELECT b, list_reduce(list_prepend(b, CAST(range(8) AS BIGINT[])), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS v
+    FROM (SELECT range AS b FROM range(256)))
+), d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ALNUM}') AS w FROM documents
+), b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ALNUM}') AS w FROM benchmark
+), f AS (
+  SELECT w, count(*) FILTER (raw) AS s, count(*) FILTER (NOT raw) AS t
+  FROM (SELECT unnest(w) AS w, true AS raw FROM d UNION ALL SELECT unnest(w), false FROM b) GROUP BY w
+), k AS (
+  SELECT w, s, t, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(w) + 1), lambda i: CAST('0x' || substr(hex(w), 2 * i - 1, 2) AS BIGINT))),
+    lambda x, y: xor(x // 256, crc[xor(x % 256, y) + 1])), 4294967295) % 10000 AS bucket
+  FROM f, c
+), g AS (
+  SELECT bucket, CAST(floor(1000 * ln((sum(t) + 1) * ((SELECT sum(s) FROM k) + 10000) / ((sum(s) + 1) * ((SELECT sum(t) FROM k) + 10000)))) AS BIGINT) AS gain
+  FROM k GROUP BY bucket
+), n AS (
+  SELECT doc_id, count(*) AS n, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+  FROM (SELECT doc_id, unnest(w) AS w FROM d) JOIN k USING (w) JOIN g USING (bucket) GROUP BY doc_id
+), r AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM d LEFT JOIN n USING (doc_id)
+), o AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM r WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN rank <= 10 * (SELECT count(*) FROM o) // 100 THEN rank END AS rank
+FROM r LEFT JOIN o USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op5_flat_graph": FLAT_GRAPH,
     "op6_curriculum": MIXING,
     "op7_url_cascade": URL_CASCADE,
     "op8_parity_join": PARITY_JOIN,
     "op9_content_sort": CONTENT_SORT,
+    "op13_length_crc": LENGTH_CRC,
 }
