@@ -107,6 +107,29 @@ FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_
 #: Words of letters and digits; hex digits of a text as numbers.
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+POSTINGS = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ALNUM}') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ALNUM}') AS w FROM benchmark
+), q AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, unnest(list_transform(range(1, greatest(len(w) - 10, 0) + 2), lambda i: array_to_string(w[i:i + 9], ' '))) AS run
+  FROM b WHERE len(w) > 0
+), r AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM d, (SELECT DISTINCT n FROM q)
+), h AS (
+  SELECT doc_id, i, r.n, item_id FROM r JOIN q ON q.n = r.n AND q.run = array_to_string(w[i:i + r.n - 1], ' ')
+), c AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY doc_id
+), t AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY encode(item)) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
 #: CRC-32 byte by byte, each byte's eight shifts by a list.
 LENGTH_CRC = rf"""
 WITH c AS (
@@ -148,5 +171,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_url_cascade": URL_CASCADE,
     "op8_parity_join": PARITY_JOIN,
     "op9_content_sort": CONTENT_SORT,
+    "op12_postings": POSTINGS,
     "op13_length_crc": LENGTH_CRC,
 }

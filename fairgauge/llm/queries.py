@@ -8,7 +8,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairgauge.llm import cascade, contentsort, dac, flatgraph, importance, lengthcrc, mixing, packing, parity, toxicity, wrapper
+from fairgauge.llm import cascade, contentsort, dac, flatgraph, importance, lengthcrc, mixing, packing, parity, postings, toxicity, wrapper
 from fairgauge.llm.common import read_table, scratch_path
 
 URL_RULES = (
@@ -63,6 +63,14 @@ def op10_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op12_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = postings.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    items = F.concat_ws(",", "items")
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(items, 256).alias("items_sha256"), "contaminated"
+    )
+
+
 def op13_length_crc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengthcrc.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -78,5 +86,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_parity_join": op8_parity_join,
     "op9_content_sort": op9_content_sort,
     "op10_boosted_trees": op10_boosted_trees,
+    "op12_postings": op12_postings,
     "op13_length_crc": op13_length_crc,
 }
