@@ -107,6 +107,65 @@ FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_
 #: Words of letters and digits; hex digits of a text as numbers.
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+#: CRC-32 byte by byte, each byte's eight shifts by a list.
+CRC_TABLE = """
+  SELECT list(v ORDER BY b) AS crc FROM (
+    SELECT b, list_reduce(list_prepend(b, CAST(range(8) AS BIGINT[])), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS v
+    FROM (SELECT range AS b FROM range(256)))"""
+
+
+def crc32(text: str) -> str:
+    of_bytes = f"list_transform(range(1, strlen({text}) + 1), lambda i: CAST('0x' || substr(hex({text}), 2 * i - 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {of_bytes}), lambda x, y: xor(x // 256, crc[xor(x % 256, y) + 1])), 4294967295)"
+
+
+def _merkle_leaf(n_chars: str) -> str:
+    fields = ["doc_id", "source", "lang", n_chars, "text"]
+    return "sha256(concat(" + ", ".join(f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields) + "))"
+
+
+#: Levels of all trees, then a walk up from each leaf with its siblings; twice: per lang, over the subroots.
+MERKLE = f"""
+WITH RECURSIVE c AS ({CRC_TABLE}
+), l AS (
+  SELECT doc_id, lang, {_merkle_leaf('n_chars')} AS leaf,
+    CASE WHEN {crc32('CAST(doc_id AS VARCHAR)')} % 7 = 0 THEN {_merkle_leaf('(n_chars + 1)')} ELSE {_merkle_leaf('n_chars')} END AS shown,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos
+  FROM documents, c
+), t(lang, level, pos, digest, n) AS (
+  SELECT lang, 0, pos, leaf, count(*) OVER (PARTITION BY lang) FROM l
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2 FROM t WHERE n > 1 GROUP BY lang, level, pos // 2, n
+), s AS (
+  SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang IS NOT NULL, encode(lang)) - 1 AS pos FROM t WHERE n = 1
+), u(level, pos, digest, n) AS (
+  SELECT 0, pos, subroot, count(*) OVER () FROM s
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2 FROM u WHERE n > 1 GROUP BY level, pos // 2, n
+), h AS (
+  SELECT DISTINCT lang, level FROM t WHERE n > 1
+), p(doc_id, lang, level, pos, folded, proof) AS (
+  SELECT doc_id, lang, 0, pos, shown, '' FROM l
+  UNION ALL
+  SELECT doc_id, p.lang, p.level + 1, p.pos // 2,
+    sha256(CASE WHEN digest IS NULL THEN folded WHEN p.pos % 2 = 1 THEN digest || folded ELSE folded || digest END), proof || coalesce(digest, '')
+  FROM p JOIN h ON p.lang IS NOT DISTINCT FROM h.lang AND p.level = h.level
+  LEFT JOIN t ON t.lang IS NOT DISTINCT FROM p.lang AND t.level = p.level AND t.pos = xor(p.pos, 1)
+), g AS (
+  SELECT DISTINCT level FROM u WHERE n > 1
+), w(doc_id, lang, level, pos, folded, proof) AS (
+  SELECT doc_id, p.lang, 0, s.pos, folded, proof FROM p JOIN s ON p.lang IS NOT DISTINCT FROM s.lang
+  WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.lang IS NOT DISTINCT FROM p.lang AND h.level = p.level)
+  UNION ALL
+  SELECT doc_id, lang, w.level + 1, w.pos // 2,
+    sha256(CASE WHEN digest IS NULL THEN folded WHEN w.pos % 2 = 1 THEN digest || folded ELSE folded || digest END), proof || coalesce(digest, '')
+  FROM w JOIN g USING (level) LEFT JOIN u ON u.level = w.level AND u.pos = xor(w.pos, 1)
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM w JOIN (SELECT max(level) AS level, max_by(digest, level) AS root FROM u) USING (level)
+JOIN l USING (doc_id) JOIN s ON s.lang IS NOT DISTINCT FROM l.lang
+"""
+
 POSTINGS = rf"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ALNUM}') AS w FROM documents
@@ -130,12 +189,8 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
-#: CRC-32 byte by byte, each byte's eight shifts by a list.
 LENGTH_CRC = rf"""
-WITH c AS (
-  SELECT list(v ORDER BY b) AS crc FROM (
-    SELECT b, list_reduce(list_prepend(b, CAST(range(8) AS BIGINT[])), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS v
-    FROM (SELECT range AS b FROM range(256)))
+WITH c AS ({CRC_TABLE}
 ), d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ALNUM}') AS w FROM documents
 ), b AS (
@@ -144,8 +199,7 @@ WITH c AS (
   SELECT w, count(*) FILTER (raw) AS s, count(*) FILTER (NOT raw) AS t
   FROM (SELECT unnest(w) AS w, true AS raw FROM d UNION ALL SELECT unnest(w), false FROM b) GROUP BY w
 ), k AS (
-  SELECT w, s, t, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(w) + 1), lambda i: CAST('0x' || substr(hex(w), 2 * i - 1, 2) AS BIGINT))),
-    lambda x, y: xor(x // 256, crc[xor(x % 256, y) + 1])), 4294967295) % 10000 AS bucket
+  SELECT w, s, t, {crc32('w')} % 10000 AS bucket
   FROM f, c
 ), g AS (
   SELECT bucket, CAST(floor(1000 * ln((sum(t) + 1) * ((SELECT sum(s) FROM k) + 10000) / ((sum(s) + 1) * ((SELECT sum(t) FROM k) + 10000)))) AS BIGINT) AS gain
@@ -171,6 +225,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_url_cascade": URL_CASCADE,
     "op8_parity_join": PARITY_JOIN,
     "op9_content_sort": CONTENT_SORT,
+    "op11_merkle": MERKLE,
     "op12_postings": POSTINGS,
     "op13_length_crc": LENGTH_CRC,
 }

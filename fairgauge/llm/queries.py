@@ -8,7 +8,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairgauge.llm import cascade, contentsort, dac, flatgraph, importance, lengthcrc, mixing, packing, parity, postings, toxicity, wrapper
+from fairgauge.llm import cascade, contentsort, dac, flatgraph, importance, lengthcrc, merkle, mixing, packing, parity, postings, toxicity, wrapper
 from fairgauge.llm.common import read_table, scratch_path
 
 URL_RULES = (
@@ -63,6 +63,16 @@ def op10_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = merkle.leaf(changed={"n_chars": F.col("n_chars") + 1})
+    touched = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    presented = F.when(touched, tampered).otherwise(merkle.leaf())
+    manifest = merkle.write_manifest(
+        read_table(spark, sf_dir, "documents"), scratch_path(spark, "manifest"), carried={"presented": presented}
+    )
+    return merkle.prove(manifest, "presented")
+
+
 def op12_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = postings.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     items = F.concat_ws(",", "items")
@@ -86,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_parity_join": op8_parity_join,
     "op9_content_sort": op9_content_sort,
     "op10_boosted_trees": op10_boosted_trees,
+    "op11_merkle": op11_merkle,
     "op12_postings": op12_postings,
     "op13_length_crc": op13_length_crc,
 }
