@@ -15,10 +15,11 @@ without a link never enter the join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairgauge.operators.extract import SCRAPED_FIELDS, with_scraped
+from fairgauge.operators.parse import SCORE_COLUMNS, lenient, strict
 from fairgauge.sources.catalog import url_key
 
 _PAGE_COLUMNS = ("page_id",) + SCRAPED_FIELDS + ("scrape_error",)
@@ -115,18 +116,37 @@ def fan_out(df: DataFrame, strategies: list[dict]) -> DataFrame:
     return df.select("*", F.inline(rows))
 
 
-def dedupe_replies(replies: DataFrame) -> DataFrame:
-    """One reply per request, and ``reply_count``. Of several, one that holds a
-    score goes before one that holds text, then an empty one, then none; of
-    equals the smallest is kept, so a recomputed task picks the same one."""
-    r = F.col("response")
-    rank = F.when(r.contains("F-Score ("), 0).when(F.btrim(r) != "", 1).when(r.isNotNull(), 2).otherwise(3)
-    best = F.min(F.struct(rank.alias("rank"), r.alias("response")))
-    return replies.groupBy("request_id").agg(best["response"].alias("response"), F.count(F.lit(1)).alias("reply_count"))
+def reply_rank(response: Column, strict_ok: Column, lenient_ok: Column) -> Column:
+    """The order in which replies to one request are preferred: one that the strict parser
+    reads (then the lenient one does, too), one that only the lenient one reads, other text,
+    an empty one, none. So in either dialect a reply with scores goes before one without."""
+    return (
+        F.when(strict_ok, 0).when(lenient_ok, 1).when(F.btrim(response) != "", 2).when(response.isNotNull(), 3).otherwise(4)
+    )
 
 
-def attach_replies(requests: DataFrame, replies: DataFrame) -> DataFrame:
-    """JOIN-2: requests ⟕ replies on the content-addressed ``request_id``.
-    A request without a reply keeps a NULL response (parsed as no match)."""
-    joined = requests.join(dedupe_replies(replies), "request_id", "left")
-    return joined.withColumn("reply_count", F.coalesce("reply_count", F.lit(0).cast("bigint")))
+def dedupe_replies(replies: DataFrame) -> DataFrame:
+    """One reply per request by :func:`reply_rank`, equals by the smallest text, so that a
+    recomputed task picks the same one; its parse in both dialects (``strict``,
+    ``lenient``); and ``reply_count``. Replies are parsed once, before the shuffle, and
+    merged on its map side."""
+    r = F.col("response")
+    parsed = replies.select("request_id", "response", F.inline(F.array(F.struct(strict(r).alias("strict"), lenient(r).alias("lenient")))))
+    rank = reply_rank(r, F.col("strict.parse_ok"), F.col("lenient.parse_ok"))
+    best = F.min(F.struct(rank.alias("rank"), "response", "strict", "lenient")).alias("best")
+    kept = parsed.groupBy("request_id").agg(best, F.count(F.lit(1)).alias("reply_count"))
+    return kept.select("request_id", "best.response", "best.strict", "best.lenient", "reply_count")
+
+
+def attach_replies(requests: DataFrame, replies: DataFrame, buckets: int | None = None) -> DataFrame:
+    """JOIN-2: requests ⟕ replies on the content-addressed ``request_id``, with the reply's
+    parse in the request's dialect. A request without a reply keeps a NULL response.
+
+    ``buckets``: the requests are bucketed so by ``request_id``; the replies are dealt out
+    in the same way, and the requests stay where they are."""
+    dealt = replies.repartition(buckets, "request_id") if buckets else replies
+    joined = requests.join(dedupe_replies(dealt), "request_id", "left")
+    parsed = F.when(F.col("dialect") == "A", F.col("strict")).when(F.col("dialect") == "B", F.col("lenient"))
+    fields = [parsed[c].alias(c) for c in ("parse_ok", "parsed_dataset_name", *SCORE_COLUMNS)]
+    count = F.coalesce("reply_count", F.lit(0).cast("bigint")).alias("reply_count")
+    return joined.select(*requests.columns, "response", *fields, count)

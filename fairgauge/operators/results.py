@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairgauge.functions.text import py_list_repr
-from fairgauge.operators.parse import multi_row_reply, with_parsed
+from fairgauge.operators.parse import multi_row_reply
 from fairgauge.operators.validate import valid_a, valid_b
 from fairgauge.plans.strategies import PRINCIPLES
 
@@ -59,9 +59,8 @@ DISPLAY_B = {
 
 def unified(answered: DataFrame) -> DataFrame:
     """OUT-U: one row per request with its dialect's parse and both kinds of
-    validity flags. ``answered`` is the requests table joined to replies."""
-    parsed = with_parsed(answered, "response", "dialect")
-    checked = valid_b(valid_a(parsed))
+    validity flags. ``answered`` is the requests table joined to parsed replies."""
+    checked = valid_b(valid_a(answered))
     return checked.select(
         "strategy", "dialect", "row_id", "request_id",
         "dataset_name", "website_link",

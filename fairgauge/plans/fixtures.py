@@ -137,6 +137,9 @@ def turn_replies(conversations: DataFrame) -> DataFrame:
     return conversations.select("conv_id", "turn", response.alias("response"))
 
 
+BARE_REPLY = "| Dataset Name | F-Score (X/17) | A-Score (X/10) | I-Score (X/8) | R-Score (X/7) |\n|---|---|---|---|---|\n| A | 9 | 8 | 7 | 4 |"
+
+
 def strategy_ord() -> Column:
     return F.array_position(F.array(*[F.lit(n) for n in STRATEGY_NAMES]), F.col("strategy")) - 1
 
@@ -145,8 +148,10 @@ def reply_stub(requests: DataFrame) -> DataFrame:
     """Replies keyed by ``request_id``, as a scoring service would write them."""
     k = F.col("row_id") + strategy_ord()
     once = requests.select("request_id", stub_response(k).alias("response"), (k % 8).alias("_c"))
-    # Some are answered again, with nothing or by an empty reply.
-    again = once.where(F.col("_c").isin(0, 1, 6)).withColumn("response", F.when(F.col("_c") == 0, F.lit("")))
+    # Some are answered again, with nothing, by an empty reply, or with bare numbers under
+    # the header, in a text that sorts before the one with scores.
+    bare = F.when(F.col("_c") == 0, F.lit("")).when(F.col("_c").isin(3, 5), F.lit(BARE_REPLY))
+    again = once.where(F.col("_c").isin(0, 1, 3, 5, 6)).withColumn("response", bare)
     return once.unionByName(again).drop("_c")
 
 
@@ -163,6 +168,36 @@ def catalog_lines(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", F.concat(name, F.lit(","), F.lit('"'), url, F.lit('",x')).alias("value"))
 
 
+def catalog_file_lines(pages: DataFrame, region: DataFrame) -> DataFrame:
+    """Physical lines of catalogue files, as ``file, block, at, line``: a record per page
+    (cells over several lines, stray quotes, blank lines, missing and surplus cells), a
+    file per hundred pages and a split per ten; a last file whose quote stays open."""
+    pid, url = _s(F.col("page_id")), F.col("url")
+    c, cr = F.col("page_id") % 6, F.lit("\r")
+    lines = (
+        F.when(c == 0, F.array(F.concat(F.lit('"Set ""'), pid, F.lit('"",'), cr), F.concat(F.lit('part two",'), url, F.lit(",x"), cr)))
+        .when(c == 1, F.array(F.concat(F.lit('5" disk '), pid, F.lit(","), url, F.lit(",x"))))
+        .when(c == 2, F.array(cr, F.concat(F.lit('NA,"'), url, F.lit('",'), cr)))
+        .when(c == 3, F.array(F.concat(F.lit("D"), pid, F.lit(","), url, F.lit(",x,y"))))
+        .when(c == 4, F.array(F.lit('"a'), F.lit(""), F.concat(F.lit("b "), pid, F.lit('","'), url, F.lit('"'))))
+        .otherwise(F.array(F.concat(F.lit('"D"'), pid)))
+    )
+    file = F.concat(F.lit("f"), F.lpad(_s(F.floor(F.col("page_id") / 100)), 12, "0"))
+    block = F.floor(F.col("page_id") % 100 / 10)
+    body = pages.select(file.alias("file"), block.alias("block"), "page_id", F.posexplode(lines).alias("k", "line"))
+    body = body.select("file", "block", (F.col("page_id") * 10 + F.col("k")).alias("at"), "line")
+    key = F.col("r_regionkey").cast("bigint")
+    last = region.select(
+        F.lit("z").alias("file"), key.alias("block"), key.alias("at"),
+        F.when(key == 1, F.lit('"open,http://open/')).otherwise(F.concat("r_name", F.lit(",http://region/"))).alias("line"),
+    )
+    every = body.unionByName(last)
+    heads = every.groupBy("file").agg(F.min("block").alias("block")).select(
+        "file", "block", F.lit(-1).cast("bigint").alias("at"), F.lit("\ufeffDataset Name,Website Link,x").alias("line")
+    )
+    return heads.unionByName(every)
+
+
 def completion_bodies(replies: DataFrame) -> DataFrame:
     """The same replies wrapped as chat-completion JSON bodies."""
     body = F.to_json(

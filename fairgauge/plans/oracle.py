@@ -17,6 +17,7 @@ from fairgauge.operators.extract import ERROR_MESSAGES
 from fairgauge.operators.results import DISPLAY_A
 from fairgauge.plans import fixtures as X
 from fairgauge.plans import strategies as S
+from fairgauge.sources.records import OPEN_QUOTE, TOO_MANY
 
 _FIELD = re.compile(r"\{(\w+)\}")
 
@@ -264,16 +265,24 @@ _BY_DIALECT = ", ".join(
 )
 _MULTI = f"coalesce(len(regexp_extract_all(response, {q(P.SCORE_CELL_RE['f'])}, 0)) > 1, false)"
 
+_K = "(row_id + strategy_ord)"
 UNIFIED = f"""
-answered AS (SELECT *, {_stub('row_id + strategy_ord')} AS response FROM reqs),
+replies AS (
+  SELECT request_id, {_stub(_K)} AS response FROM reqs
+  UNION ALL
+  SELECT request_id, CASE WHEN {_K} % 8 = 0 THEN '' WHEN {_K} % 8 IN (3, 5) THEN {q(X.BARE_REPLY)} END FROM reqs WHERE {_K} % 8 IN (0, 1, 3, 5, 6)),
+best AS (
+  SELECT request_id, response, count(*) OVER (PARTITION BY request_id) AS reply_count FROM replies
+  QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY CASE WHEN regexp_matches(response, {q(P.STRICT_REPLY_RE)}) THEN 0
+    WHEN regexp_matches(response, {q(P.LENIENT_REPLY_RE)}) THEN 1 WHEN trim(response) <> '' THEN 2 WHEN response IS NOT NULL THEN 3 ELSE 4 END, response) = 1),
+answered AS (SELECT reqs.*, response, coalesce(reply_count, 0) AS reply_count FROM reqs LEFT JOIN best USING (request_id)),
 parsed AS (SELECT *, {_BY_DIALECT} FROM answered),
 uni AS (
   SELECT strategy, dialect, row_id, request_id, dataset_name, website_link,
     response AS fair_raw_output, title AS scraped_title, license_info AS scraped_license,
     file_formats AS scraped_file_formats, scrape_error, parse_ok AS parse_success,
     parsed_dataset_name, f_score, a_score, i_score, r_score, {_validity()},
-    {_MULTI} AS multi_row_reply,
-    CASE WHEN (row_id + strategy_ord) % 8 IN (0, 1, 6) THEN 2 ELSE 1 END::BIGINT AS reply_count
+    {_MULTI} AS multi_row_reply, reply_count
   FROM parsed)"""
 
 
@@ -345,6 +354,24 @@ SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'Set "' || page_id || '", a' WHEN 1
   WHEN 3 THEN 'NA' END AS dataset_name, url AS website_link
 FROM pages"""
 
+#: One record per page in the order of files and pages, then the regions' file.
+CATALOG_RECORDS = """
+WITH r AS (
+  SELECT row_number() OVER (ORDER BY page_id // 100, page_id) - 1 AS row_id, page_id % 6 AS c,
+    CAST(page_id AS VARCHAR) AS p, url FROM pages
+), z AS (
+  SELECT (SELECT count(*) FROM pages) + r_regionkey AS row_id, r_regionkey AS k, r_name FROM region WHERE r_regionkey < 2
+)"""
+_GOOD_RECORDS = CATALOG_RECORDS + """
+SELECT row_id, CASE c WHEN 0 THEN 'Set "' || p || '",' || chr(13) || chr(10) || 'part two' WHEN 1 THEN '5" disk ' || p WHEN 2 THEN 'NA'
+    WHEN 4 THEN 'a' || chr(10) || chr(10) || 'b ' || p ELSE 'D' || p END AS dataset_name,
+  CASE WHEN c < 5 THEN url END AS website_link
+FROM r WHERE c <> 3
+UNION ALL SELECT row_id, r_name, 'http://region/' FROM z WHERE k = 0"""
+_BAD_RECORDS = CATALOG_RECORDS + f"""
+SELECT row_id, {q(TOO_MANY)} AS problem, 'D' || p || ',' || url || ',x,y' AS record FROM r WHERE c = 3
+UNION ALL SELECT row_id, {q(OPEN_QUOTE)}, '"open,http://open/' FROM z WHERE k = 1"""
+
 _PRINCIPLE_ROWS = " UNION ALL ".join(
     f"SELECT strategy, row_id, {q(name)} AS principle, {letter}_score AS score, {mx} AS max_score, {letter}_valid AS valid FROM uni"
     for name, letter, mx in S.PRINCIPLES
@@ -385,6 +412,8 @@ def oracle_sql() -> dict[str, str]:
         "'system' AS first_role, 'user' AS second_role, md5(system_content) AS system_md5, md5(user_content) AS user_md5 FROM reqs",
         "result_csv_line": _with(*_UNI_CHAIN) + f"SELECT row_id, concat_ws(',', {_CSV_CELLS}) AS line FROM uni WHERE dialect = 'A'",
         "catalog_csv": CATALOG_CSV,
+        "catalog_records": _GOOD_RECORDS,
+        "catalog_bad_records": _BAD_RECORDS,
         "result_a": _with(*_UNI_CHAIN) + f"SELECT {_A_COLS} FROM uni WHERE dialect = 'A'",
         "result_b": _with(*_UNI_CHAIN) + f"SELECT {_B_COLS} FROM uni WHERE dialect = 'B'",
         "result_unified": _with(*_UNI_CHAIN) + f"SELECT {_U_COLS} FROM uni",

@@ -20,8 +20,9 @@ from fairgauge.operators.prompts import envelope, request_lines, with_requests
 from fairgauge.operators.validate import valid_a, valid_b
 from fairgauge.plans import fixtures as X
 from fairgauge.plans.strategies import strategies
-from fairgauge.sources.catalog import CSV_OPTIONS, keyed
+from fairgauge.sources.catalog import CSV_OPTIONS, bad_records, keyed, named
 from fairgauge.sources.pages import extract_pages
+from fairgauge.sources.records import records, with_cells
 from fairgauge.sources.replies import normalise_replies
 
 SEP = " || "
@@ -171,6 +172,21 @@ def catalog_csv(spark: SparkSession, sf: str) -> DataFrame:
     return lines.select("page_id", cells["dataset_name"].alias("dataset_name"), cells["website_link"].alias("website_link"))
 
 
+def _catalog_records(spark: SparkSession, sf: str) -> DataFrame:
+    lines = X.catalog_file_lines(X.load(spark, sf, "pages"), X.load(spark, sf, "region"))
+    return with_cells(records(lines), ["Dataset Name", "Website Link", "x"]).withColumnRenamed("number", "row_id")
+
+
+def catalog_records(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-1, MAP-1: the good records of catalogue files, numbered in their order."""
+    return named(_catalog_records(spark, sf))
+
+
+def catalog_bad_records(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-1: the records that couldn't be read, and why."""
+    return bad_records(_catalog_records(spark, sf))
+
+
 def result_a(spark: SparkSession, sf: str) -> DataFrame:
     return R.result_a(unified_results(spark, sf))
 
@@ -219,6 +235,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "request_json": request_json,
     "result_csv_line": result_csv_line,
     "catalog_csv": catalog_csv,
+    "catalog_records": catalog_records,
+    "catalog_bad_records": catalog_bad_records,
     "result_a": result_a,
     "result_b": result_b,
     "result_unified": result_unified,

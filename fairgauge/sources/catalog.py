@@ -3,17 +3,18 @@
 The catalogue is a CSV of ``Dataset Name, Website Link`` (other columns are
 ignored). All columns are read as strings — no type inference, so a name
 like ``NA`` or ``1`` stays text — and each row gets a surrogate ``row_id``
-because names repeat: a caller's key column, or else a hash of the row and of
-its number among equal rows. Neither depends on how the file was split, so the
-requests of a rerun keep their ids.
+because names repeat: a caller's key column, or else the record's number in the
+catalogue. Neither depends on how the file was split, so the requests of a rerun
+keep their ids, and results can be put in the catalogue's order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fairgauge.functions.text import strip
+from fairgauge.sources.records import read_lines, records, with_cells
 
 #: How catalogue cells are quoted: a quote inside a quoted cell is doubled.
 CSV_OPTIONS = {"escape": '"'}
@@ -38,49 +39,46 @@ def check_columns(columns: list[str]) -> None:
         raise ValueError(f"the catalogue lacks {missing}; it has {columns}")
 
 
-def read_catalog(spark: SparkSession, path: str, multi_line: bool = False, key_column: str | None = None) -> DataFrame:
-    """SRC-1: read the catalogue CSV (UTF-8, BOM and CRLF tolerated), or a
-    parquet catalogue with the same two columns. ``key_column`` names an integer
-    column that serves as ``row_id``.
+def catalog_records(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-1: every data record of the catalogue: its columns, ``row_id`` (its number from 0
+    in the order of the files' names and of their records, whatever the splits) and, for a
+    bad record, ``problem`` and the ``record`` itself.
 
-    A CSV is split between tasks. ``multi_line=True`` lets quoted cells span
-    lines, as pandas allows; Spark then reads each file in one task, so a large
-    catalogue of that kind should come as many files or as parquet.
-    """
+    A CSV (UTF-8, BOM and CRLF tolerated) is read by many tasks, cells over several lines
+    included (:mod:`fairgauge.sources.records`). A parquet catalogue has the same columns
+    and no bad records."""
     if path.endswith(".parquet"):
         raw = spark.read.parquet(path)
         check_columns(raw.columns)
-        return _with_ids(raw, key_column)
-    raw = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("multiLine", multi_line)
-        .options(**CSV_OPTIONS)
-        .csv(path)
-    )
-    # Without inference every column is a string; empty cells are NULL.
-    raw = raw.toDF(*[c.lstrip("﻿") for c in raw.columns])
-    check_columns(raw.columns)
-    return _with_ids(raw, key_column)
-
-
-def _with_ids(raw: DataFrame, key_column: str | None) -> DataFrame:
+        rows = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+        sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+        firsts = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))  # a row per file
+        numbered = rows.join(firsts, "_file").withColumn("row_id", F.col("_first") + F.col("_index"))
+        none = F.lit(None).cast("string")
+        return numbered.drop("_file", "_index", "_n", "_first").withColumns({"problem": none, "record": none})
+    first = spark.read.option("header", True).option("inferSchema", False).options(**CSV_OPTIONS).csv(path)
+    header = [c.lstrip("\ufeff") for c in first.columns]
+    check_columns(header)
+    return with_cells(records(read_lines(spark, path)), header).withColumnRenamed("number", "row_id")
+
+
+def named(rows: DataFrame, key_column: str | None = None) -> DataFrame:
+    """The good records under our column names. ``key_column`` names an integer column that
+    serves as ``row_id``."""
     cols = [F.col(f"`{src}`").cast("string").alias(dst) for src, dst in REQUIRED_COLUMNS.items()]
-    if key_column:
-        return raw.select(*cols, F.col(f"`{key_column}`").cast("bigint").alias("row_id"))
-    return with_row_id(raw.select(*cols))
-
-
-def with_row_id(df: DataFrame) -> DataFrame:
-    """Attach ``row_id``: a 64-bit hash of the row and its number among equal
-    rows. Equal rows are counted (a partial aggregate) and written out again by
-    that count, so no group of them meets in one task. At billions of rows two
-    hashes may meet; pass a key column there."""
-    cols = df.columns
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    numbered = counted.select(*cols, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_k"))
-    marks = [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-")) for c in cols]
-    return numbered.withColumn("row_id", F.xxhash64(*marks, "_k")).drop("_k")
+    row_id = F.col(f"`{key_column}`").cast("bigint").alias("row_id") if key_column else F.col("row_id")
+    return rows.where(F.col("problem").isNull()).select(*cols, row_id)
+
+
+def bad_records(rows: DataFrame) -> DataFrame:
+    """``row_id, problem, record`` of the records that couldn't be read."""
+    return rows.where(F.col("problem").isNotNull()).select("row_id", "problem", "record")
+
+
+def read_catalog(spark: SparkSession, path: str, key_column: str | None = None) -> DataFrame:
+    """``dataset_name, website_link, row_id`` of the catalogue's good records."""
+    return named(catalog_records(spark, path), key_column)
 
 
 def keyed(catalog: DataFrame) -> DataFrame:

@@ -1,15 +1,19 @@
 """Catalogue source (SRC-1/2) and the page join (JOIN-1) with hot-key salting."""
 
+import io
 import os
+import random
 import tempfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from fairgauge.operators.joins import attach_pages, hot_keys, needed_pages
 from fairgauge.plans import fixtures as X
-from fairgauge.sources.catalog import keyed, read_catalog
+from fairgauge.sources.catalog import bad_records, catalog_records, keyed, named, read_catalog
 from fairgauge.sources.pages import extract_pages
+from fairgauge.sources.records import OPEN_QUOTE, TOO_MANY, read_lines
 from tests.conftest import SF_SMALL
 
 CSV = (
@@ -57,10 +61,81 @@ def test_row_ids_do_not_depend_on_splits(spark):
 
 def test_multi_line_cells_and_key_column(spark):
     path = _write('Dataset Name,Website Link,n\r\n"two\nlines",http://x,7\r\nB,http://y,8\r\n')
-    rows = read_catalog(spark, path, multi_line=True, key_column="n").collect()
+    rows = read_catalog(spark, path, key_column="n").collect()
     assert {(r["row_id"], r["dataset_name"]) for r in rows} == {(7, "two\nlines"), (8, "B")}
 
 
+@pytest.fixture
+def split_size(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    yield lambda n: spark.conf.set("spark.sql.files.maxPartitionBytes", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def _random_csv(rnd):
+    """A catalogue that pandas reads: quoted cells over lines, stray quotes, blank lines."""
+    def cell():
+        body = "".join(rnd.choice(["a", "b", " ", "é", "x" * rnd.randrange(30)]) for _ in range(rnd.randrange(4)))
+        kind = rnd.randrange(5)
+        if kind == 0:
+            inside = body + rnd.choice(['""', ",", "\n", "\r\n", "\n\n", '"",""\n']) + body
+            return f'"{inside}"' + rnd.choice(["", "", "tail"])
+        return 'a"' + body if kind == 1 else body + rnd.choice(["", 'q"'])
+    end = lambda: rnd.choice(["\n", "\r\n"])
+    rows = ["Dataset Name,Website Link,x"]
+    for _ in range(rnd.randrange(1, 60)):
+        rows.append(",".join(cell() for _ in range(rnd.randrange(1, 4))))
+        if rnd.random() < 0.2:
+            rows.append("")
+    return "".join(r + end() for r in rows)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_records_equal_pandas_under_any_split(spark, split_size, seed):
+    text = _random_csv(random.Random(seed))
+    path = _write(text)
+    want = pd.read_csv(io.StringIO(text, newline=""), dtype=str, keep_default_na=False)
+    want = [tuple(c or None for c in r) for r in want[["Dataset Name", "Website Link"]].itertuples(index=False, name=None)]
+    for size in (1 << 27, 37):
+        split_size(size)
+        assert read_lines(spark, path).rdd.getNumPartitions() > (1 if size < 100 else 0)
+        rows = read_catalog(spark, path).collect()
+        assert [(r["dataset_name"], r["website_link"]) for r in sorted(rows, key=lambda r: r["row_id"])] == want
+        assert sorted(r["row_id"] for r in rows) == list(range(len(want)))
+
+
+def test_bad_records_are_set_apart(spark, split_size):
+    d = os.path.dirname(_write('Dataset Name,Website Link\nA,http://a\nB,http://b,one too many\nC,http://c\n'))
+    with open(f"{d}/later.csv", "w") as f:
+        f.write('Dataset Name,Website Link\nD,http://d\n"never closed,http://e\nF,http://f\nG')
+    for size in (1 << 27, 11):
+        split_size(size)
+        rows = catalog_records(spark, d)
+        assert sorted((r["row_id"], r["dataset_name"]) for r in named(rows).collect()) == [(0, "A"), (2, "C"), (3, "D")]
+        assert sorted(tuple(r) for r in bad_records(rows).collect()) == [
+            (1, TOO_MANY, "B,http://b,one too many"), (4, OPEN_QUOTE, '"never closed,http://e')]
+
+
+def test_a_row_of_many_copies_stays_spread(spark, split_size):
+    path = _write("Dataset Name,Website Link\n" + "".join(("same,http://x\n" if i % 4 else f"D{i},http://x\n") for i in range(40_000)))
+    split_size(80_000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        per_task = read_catalog(spark, path).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(r["count"] for r in per_task) == 40_000 and max(r["count"] for r in per_task) < 20_000
+
+
+def test_parquet_rows_are_numbered_in_order(spark, split_size):
+    d = tempfile.mkdtemp(prefix="fairgauge-test-")
+    spark.range(0, 3000, 1, 3).selectExpr("concat('D', id) AS `Dataset Name`", "'http://x' AS `Website Link`").write.parquet(f"{d}/cat.parquet")
+    for size in (1 << 27, 5000):
+        split_size(size)
+        rows = read_catalog(spark, f"{d}/cat.parquet").collect()
+        assert sorted((r["row_id"], r["dataset_name"]) for r in rows) == [(i, f"D{i}") for i in range(3000)]
+
+
 def test_missing_column_is_rejected(spark):
     with pytest.raises(ValueError):
         read_catalog(spark, _write("Name,Website Link\r\nA,http://x\r\n"))

@@ -135,6 +135,19 @@ def test_the_reply_that_says_most_is_kept(spark):
     assert got == {"a": (ROW, 3), "b": (None, 1), "c": ("aa", 3), "d": ("", 2)}
 
 
+BARE = "| Dataset Name | F-Score (X/17) | A-Score (X/10) | I-Score (X/8) | R-Score (X/7) |\n| D | 9 | 8 | 7 | 4 |"
+LOOSE = "| D | F-Score (1/17) | A-Score (2/10)\n and then I-Score (3/8) | R-Score (4/7) |"
+
+
+def test_a_reply_with_scores_goes_before_one_without(spark):
+    rows = [("a", BARE), ("a", ROW), ("b", ROW), ("b", LOOSE), ("c", LOOSE), ("c", BARE), ("c", None), ("d", BARE), ("d", "")]
+    df = spark.createDataFrame(rows, "request_id string, response string")
+    got = {r["request_id"]: r for r in dedupe_replies(df).collect()}
+    assert {k: r["response"] for k, r in got.items()} == {"a": ROW, "b": ROW, "c": LOOSE, "d": BARE}
+    assert {k: (r["strict"]["parse_ok"], r["lenient"]["parse_ok"]) for k, r in got.items()} == {
+        "a": (True, True), "b": (True, True), "c": (False, True), "d": (False, False)}
+
+
 VALIDATION = [
     # f, a, i, r, parse_ok, valid_a, flags_b, all_valid
     (17, 10, 8, 7, True, True, (True, True, True, True), True),
