@@ -23,9 +23,11 @@ from fairgauge.operators.results import (
     DISPLAY_A, DISPLAY_B, result_a, result_b, unified, write_csv,
 )
 from fairgauge.plans.strategies import strategies as strategy_rows
-from fairgauge.sources.catalog import keyed, read_catalog
+from fairgauge.sources.catalog import bad_records, catalog_records, keyed, named
 from fairgauge.sources.pages import read_pages
 from fairgauge.sources.replies import read_replies
+from fairgauge.sources.requests import BUCKETS, add_keys, not_asked, open_keys, read_table
+from fairgauge.streaming.replies import latest_scores
 
 #: Columns of the written requests table that the results half reads back.
 REQUEST_COLUMNS = (
@@ -53,13 +55,14 @@ def requests(
     return with_requests(filled, strats).select(*REQUEST_COLUMNS)
 
 
-def results(requests_table: DataFrame, replies: DataFrame) -> DataFrame:
-    """OUT-U from the written requests and the replies (JOIN-2, PA-*, VA-*)."""
+def results(requests_table: DataFrame, replies: DataFrame, buckets: int | None = None) -> DataFrame:
+    """OUT-U from the written requests and the replies (JOIN-2, PA-*, VA-*). ``buckets``:
+    the requests are bucketed so by ``request_id``."""
     narrow = requests_table.select(
         "request_id", "strategy", "dialect", "row_id", "dataset_name", "website_link",
         "title", "license_info", "file_formats", "scrape_error",
     )
-    return unified(attach_replies(narrow, replies))
+    return unified(attach_replies(narrow, replies, buckets))
 
 
 def write_requests(
@@ -69,33 +72,67 @@ def write_requests(
     out_dir: str,
     strategy_names: list[str] | None = None,
     hot_rows: int | None = None,
+    run: str = "first",
+    key_column: str | None = None,
+    buckets: int = BUCKETS,
 ) -> str:
-    """First half: write ``requests`` (parquet) and the JSON lines a scoring
-    service consumes. Returns the parquet path.
+    """First half: a run's new requests, as parquet and as the JSON lines a scoring service
+    consumes. Returns the path of the requests of all runs.
+
+    Tables below ``out_dir``, a directory ``run=<run>`` each: ``catalog`` (good records),
+    ``catalog_bad`` (the others, with their problem), ``requests``, ``request_lines``; and
+    ``requests_keys``, bucketed for JOIN-2. A later run asks only what no earlier one has
+    asked: its requests are written to ``requests_drawn`` first, as most of them then fall
+    out. Rows are told apart by their number in the catalogue, so a catalogue that grows
+    elsewhere than at its end should name a ``key_column``.
+
+    The requests aren't partitioned by strategy: a partitioned write sorts each task's
+    output by the partition column, and here that output is four prompts of several KB per
+    catalogue row. Readers prune columns instead."""
+    # Replies refer to these tables and can't be had again: none is ever overwritten.
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        path = f"{out_dir}/{name}/run={run}"
+        df.write.mode("errorifexists").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
-    The table is not partitioned by strategy: a partitioned write sorts each
-    task's output by the partition column, and here that output is four
-    prompts of several KB per catalogue row. Readers prune columns instead."""
-    reqs = requests(read_catalog(spark, catalog_csv), read_pages(spark, pages_path), strategy_names, hot_rows)
     table = f"{out_dir}/requests"
-    # Replies refer to this table and can't be had again: it is never overwritten.
-    reqs.write.mode("errorifexists").parquet(table)
-    written = spark.read.parquet(table)
-    request_lines(written).write.mode("errorifexists").text(f"{out_dir}/request_lines")
+    asked = read_table(spark, table)
+    rows = catalog_records(spark, catalog_csv)
+    catalog = kept(named(rows, key_column), "catalog")
+    kept(bad_records(rows), "catalog_bad")
+    drawn = requests(catalog, read_pages(spark, pages_path), strategy_names, hot_rows)
+    new = drawn if asked is None else not_asked(kept(drawn, "requests_drawn"), asked)
+    written = kept(new, "requests")
+    request_lines(written).write.mode("errorifexists").text(f"{out_dir}/request_lines/run={run}")
+    add_keys(written.withColumn("run", F.lit(run)), f"{table}_keys", buckets)
     return table
 
 
 def write_results(spark: SparkSession, requests_path: str, replies_path: str, out_dir: str) -> str:
     """Second half: join the replies, parse, validate, write parquet (by
-    strategy) plus one CSV per strategy in its script's own columns, ordered by
-    ``row_id`` (a range-partitioned sort). Returns the parquet path."""
-    out = results(spark.read.parquet(requests_path), read_replies(spark, replies_path))
+    strategy) plus one CSV per strategy in its script's own columns, in the catalogue's
+    order (a range-partitioned sort by ``row_id``). Returns the parquet path."""
+    keys, buckets = open_keys(spark, f"{requests_path}_keys")
+    out = results(keys, read_replies(spark, replies_path), buckets)
     table = f"{out_dir}/results"
     out.write.mode("overwrite").partitionBy("strategy").parquet(table)
     write_strategy_csvs(spark.read.parquet(table), out_dir)
     return table
 
 
+def streamed_results(spark: SparkSession, requests_path: str, scored_path: str) -> DataFrame:
+    """OUT-U from the requests and what the reply stream has scored so far
+    (:mod:`fairgauge.streaming.replies`): no reply is parsed again."""
+    keys, buckets = open_keys(spark, f"{requests_path}_keys")
+    best = latest_scores(spark.read.parquet(scored_path), buckets)
+    narrow = keys.select(
+        "request_id", "strategy", "dialect", "row_id", "dataset_name", "website_link",
+        "title", "license_info", "file_formats", "scrape_error",
+    )
+    joined = narrow.join(best, "request_id", "left")
+    return unified(joined.withColumn("reply_count", F.coalesce("reply_count", F.lit(0).cast("bigint"))))
+
+
 def write_strategy_csvs(written: DataFrame, out_dir: str) -> None:
     """SNK-1: ``results_<strategy>_csv`` for each strategy."""
     for s in strategy_rows():

@@ -9,10 +9,12 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from fairgauge.plans.evaluate import write_requests, write_results
+from fairgauge.plans.evaluate import results, streamed_results, write_requests, write_results
 from fairgauge.operators.results import DISPLAY_A, DISPLAY_B
 from fairgauge.plans import fixtures as X
 from fairgauge.plans.strategies import STRATEGIES
+from fairgauge.sources.replies import read_replies
+from fairgauge.sources.requests import not_asked, open_keys
 from fairgauge.streaming.replies import score_replies, start_scoring
 from tests.conftest import SF_SMALL
 
@@ -27,7 +29,7 @@ def job(spark):
     cat = os.path.join(out, "catalog.csv")
     with open(cat, "w", encoding="utf-8") as f:
         f.write("\r\n".join(lines) + "\r\n")
-    req_path = write_requests(spark, cat, f"{SF_SMALL}/pages.parquet", out, hot_rows=2)
+    req_path = write_requests(spark, cat, f"{SF_SMALL}/pages.parquet", out, hot_rows=2, buckets=4)
     reqs = spark.read.parquet(req_path)
     # replies as chat-completion bodies, one multi-line and quoted
     replies = []
@@ -88,6 +90,92 @@ def test_reply_stream_equals_batch(spark, job):
     assert a == b and len(a) == n * 4
 
 
+SCORES = "| D | F-Score (1/17) | A-Score (2/10) | I-Score (3/8) | R-Score (4/7) |"
+
+
+def _reply_file(rdir, name, rows):
+    with open(os.path.join(rdir, name), "w") as f:
+        f.write("\n".join(json.dumps({"request_id": r["request_id"], "strategy": r["strategy"], "row_id": r["row_id"], "response": t}) for r, t in rows))
+
+
+def test_a_better_reply_replaces_an_earlier_one(spark, job):
+    out, reqs, _, _, n = job
+    rdir, table, ckpt = f"{out}/late_in", f"{out}/late_out", f"{out}/late_ckpt"
+    os.makedirs(rdir)
+    rows = reqs.select("request_id", "strategy", "row_id").orderBy("request_id").collect()
+    batches = [
+        [(rows[0], "no table"), (rows[1], SCORES), (rows[2], ""), (rows[3], None), (rows[4], SCORES), (rows[4], "zz")],
+        [(rows[0], SCORES), (rows[1], "no table"), (rows[2], "text"), (rows[3], ""), (rows[4], "aa")],
+        [(rows[0], "no"), (rows[2], SCORES)],
+    ]
+    for k, batch in enumerate(batches):
+        _reply_file(rdir, f"part-{k}.json", batch)
+        start_scoring(spark, rdir, table, ckpt).awaitTermination(120)
+        u = {r["request_id"]: r for r in streamed_results(spark, f"{out}/requests", table).collect()}
+        assert len(u) == 4 * n
+        for r in rows[:5]:
+            seen = [t for b in batches[: k + 1] for x, t in b if x is r]
+            best = min(seen, key=lambda t: (4, "") if t is None else (0 if t == SCORES else 2 if t else 3, t))
+            assert u[r["request_id"]]["fair_raw_output"] == best
+            assert u[r["request_id"]]["parse_success"] == (best == SCORES)
+    # A reply that changes nothing leaves no row, so the table grows by improvements only.
+    assert spark.read.parquet(table).where(F.col("fair_raw_output").isNotNull()).count() == 8
+
+
+def test_streamed_results_equal_the_batch(spark, job):
+    out, _, res, rdir, n = job
+    start_scoring(spark, rdir, f"{out}/again_out", f"{out}/again_ckpt").awaitTermination(120)
+    cols = [c for c in res.columns if c != "scraped_file_formats"]
+    got = streamed_results(spark, f"{out}/requests", f"{out}/again_out").select(*cols)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, res.select(*cols).collect()), key=repr)
+
+
+def test_a_second_run_asks_only_what_is_new(spark, job):
+    out, reqs, _, _, n = job
+    first = open(os.path.join(out, "catalog.csv"), encoding="utf-8", newline="").read()
+    longer = os.path.join(out, "longer.csv")
+    with open(longer, "w", encoding="utf-8", newline="") as f:
+        f.write(first + '"Added\nlater",http://missing.example.test/2,\r\nBad,http://x,y,z\r\nLast,,\r\n')
+    args = (f"{SF_SMALL}/pages.parquet", out)
+    path = write_requests(spark, longer, *args, run="second")
+    both = spark.read.parquet(path)
+    new = both.where("run = 'second'")
+    assert {r["dataset_name"] for r in new.collect()} == {"Added\nlater", "Last"} and new.count() == 8
+    assert {r["row_id"] for r in new.collect()} == {n, n + 2}
+    assert both.select("request_id").distinct().count() == both.count() == 4 * n + 8
+    assert spark.read.text(f"{out}/request_lines/run=second").count() == 8
+    bad = spark.read.parquet(f"{out}/catalog_bad/run=second").collect()
+    assert [(r["row_id"], r["record"]) for r in bad] == [(n + 1, "Bad,http://x,y,z")]
+    keys, buckets = open_keys(spark, f"{path}_keys")
+    assert buckets == 4 and keys.count() == 4 * n + 8
+    write_requests(spark, longer, *args, run="third")  # nothing is new
+    assert open_keys(spark, f"{path}_keys")[0].count() == 4 * n + 8
+
+
+def test_requests_stay_where_they_are_in_the_reply_join(spark, job):
+    out, _, _, rdir, _ = job
+    keys, buckets = open_keys(spark, f"{out}/requests_keys")
+    replies = read_replies(spark, os.path.join(rdir, "part-0.json"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = results(keys, replies, buckets)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join, _, rest = plan.partition("SortMergeJoin")
+    left = rest[: rest.index("SortAggregate")]
+    assert "Exchange" not in join and "Exchange" not in left and "Bucketed: true" in left
+    assert plan.count("Exchange hashpartitioning") == 1  # the replies, once
+
+
+@pytest.mark.parametrize("most_words", [1 << 20, 1])
+def test_not_asked(spark, most_words):
+    asked = spark.range(0, 3000, 3).selectExpr("sha2(cast(id as string), 256) AS request_id")
+    drawn = spark.range(2000).selectExpr("id", "sha2(cast(id as string), 256) AS request_id", "'prompt' AS user_content")
+    got = [r["id"] for r in not_asked(drawn, asked, most_words).collect()]
+    assert sorted(got) == [i for i in range(2000) if i % 3]
+    assert not_asked(drawn, asked.limit(0)).count() == 2000
+
+
 def test_score_replies_batch_input(spark):
     df = spark.createDataFrame(
         [("r1", "zero_shot", 1, "| D | F-Score (1/17) | A-Score (2/10) | I-Score (3/8) | R-Score (4/7)"),
