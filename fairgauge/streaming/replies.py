@@ -69,8 +69,12 @@ def better_replies(scored: DataFrame, timeout_hours: int = TIMEOUT_HOURS) -> Dat
     """Of a stream of scored replies those that are better than all before of their request;
     ``new_replies`` counts the replies since the request's last row. State per request: rank
     and text of the best reply, and the replies not counted in a row yet. At a time-out with
-    such replies left, a row without text hands their count over."""
-    columns = [*scored.columns, "new_replies"]
+    such replies left, a row without text hands their count over.
+
+    Time is that of the batch a reply comes in, so none is late; it goes on with the
+    batches, and a run over what is there ends (with time-outs by the clock, none would)."""
+    scored_columns = scored.columns
+    columns = [*scored_columns, "new_replies"]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in scored.schema.fields] + ["new_replies bigint"])
     nullable = {f.name: {"bigint": "Int64", "int": "Int32", "boolean": "boolean"}.get(f.dataType.simpleString(), object) for f in scored.schema.fields}
 
@@ -86,7 +90,7 @@ def better_replies(scored: DataFrame, timeout_hours: int = TIMEOUT_HOURS) -> Dat
         for part in parts:
             pending += len(part)
             texts = part["fair_raw_output"].fillna("")
-            first = part.assign(_text=texts).sort_values(["reply_rank", "_text"], kind="stable").head(1)
+            first = part[scored_columns].assign(_text=texts).sort_values(["reply_rank", "_text"], kind="stable").head(1)
             found = (int(first["reply_rank"].iloc[0]), first["_text"].iloc[0])
             if found < (rank, text):
                 (rank, text), best = found, first
@@ -94,10 +98,11 @@ def better_replies(scored: DataFrame, timeout_hours: int = TIMEOUT_HOURS) -> Dat
             yield best.drop(columns="_text").assign(new_replies=pending)[columns].astype(nullable)
             pending = 0
         state.update((rank, text, pending))
-        state.setTimeoutDuration(timeout_hours * 3_600_000)
+        state.setTimeoutTimestamp(state.getCurrentProcessingTimeMs() + timeout_hours * 3_600_000)
 
-    return scored.groupBy("request_id").applyInPandasWithState(
-        compare, schema, "rank int, text string, pending bigint", "append", GroupStateTimeout.ProcessingTimeTimeout
+    timed = scored.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", "0 seconds")
+    return timed.groupBy("request_id").applyInPandasWithState(
+        compare, schema, "rank int, text string, pending bigint", "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
