@@ -12,8 +12,11 @@ before it.
 
 A page's text is what its content root holds without template nodes and without elements
 that by tag, class, id or role aren't the article: menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and comments. Character references are decoded,
-white space inside a block becomes one space, and blocks are joined by line feeds.
+notices, adverts, forms, scripts, styles and comments. A class or id says so as a whole, not
+by a word in it (``with-sidebar``), and where nothing else is left, names don't count. In a
+declared article constant nodes go only behind all that varies, and headings never do.
+Character references are decoded, white space inside a block becomes one space, and blocks
+are joined by line feeds.
 
 Defined cases: a null or empty page has an empty text; a URL without host belongs to the
 host ''; a host of too few different pages has no template nodes; repeated pages give
@@ -61,6 +64,12 @@ NEVER_WORDS = frozenset(
     replies respond social share sharing related recommended login signup signin search searchbox toolbar pagination
     pager skip""".split()
 )
+#: Parts of a compound name that say no more than its other parts: ``site-footer`` is a
+#: footer, ``sidebar-left`` a sidebar, but ``with-sidebar`` or ``notice-period`` aren't.
+PLAIN_PARTS = frozenset(
+    """site page main top bottom left right box bar wrapper wrap container list block area section inner outer item items
+    primary secondary global header head panel slot unit zone link links button buttons icon icons form mobile desktop""".split()
+)
 #: The same outside of an article only: an article's own header holds its title.
 OUTER_WORDS, OUTER_TAGS = frozenset(["header", "masthead"]), frozenset(["header"])
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -69,6 +78,7 @@ BLOCK_TAGS = frozenset(
     form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol option p pre search section select summary table tbody
     td tfoot th thead tr ul""".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that may be a content root.
 CONTAINER_TAGS = frozenset("html body div section article main center table tbody tr td".split())
 #: Elements that a new element of the second kind ends.
@@ -99,24 +109,37 @@ class Slot:
         self.number = -1
 
 
-def _slot(parent: Slot, tag: str, attributes: str, deep: bool) -> Slot:
+@lru_cache(maxsize=4096)
+def _says(token: str, words: frozenset[str], inside: bool) -> bool:
+    """Whether a class, id or role is one of ``words``, or, outside of an article, made of
+    those and plain parts."""
+    parts = WORD.findall(token)
+    if inside:
+        return token in words
+    return any(p in words for p in parts) and all(p in words or p in PLAIN_PARTS for p in parts)
+
+
+def _slot(parent: Slot, tag: str, attributes: str, deep: bool, by_name: bool) -> Slot:
     """The child of ``parent`` for an element; ``parent`` itself if ``deep`` and the element
     is no different in what counts."""
     words: list[str] = []
+    tokens: list[str] = []
     role = ""
     if attributes:
         for name, *values in ATTRIBUTE.findall(attributes):
             value = "".join(values).lower()
             words += WORD.findall(value)
+            tokens += value.split()
             role = value if name.lower() == "role" else role
     label = " ".join([tag, *words])
     slot = parent.children.get(label)
     if slot is None:
         region = tag if tag in ("article", "main") else role if role in ("article", "main") else ""
         inside = parent.inside or bool(region)
-        named = NEVER_WORDS.intersection(words) and tag not in ("html", "body", "article", "main")
-        outer = not inside and (tag in OUTER_TAGS or (OUTER_WORDS.intersection(words) and tag != "body"))
-        skipped, region = parent.skipped or tag in NEVER_TAGS or bool(named) or outer, parent.region or region
+        may = by_name and tag not in ("html", "body", "article", "main")
+        named = may and any(_says(t, NEVER_WORDS, inside) for t in tokens)
+        outer = not inside and (tag in OUTER_TAGS or (may and any(_says(t, OUTER_WORDS, False) for t in tokens)))
+        skipped, region = parent.skipped or tag in NEVER_TAGS or named or outer, parent.region or region
         if deep and (skipped, inside, region) == (parent.skipped, parent.inside, parent.region):
             return parent
         slot = Slot(label, skipped, inside, region)
@@ -124,8 +147,9 @@ def _slot(parent: Slot, tag: str, attributes: str, deep: bool) -> Slot:
     return slot
 
 
-def parse(page: str) -> tuple[Slot, list[tuple[Slot | None, str]]]:
-    """The slot tree and the page's texts in order; (None, '') stands between blocks."""
+def parse(page: str, by_name: bool = True) -> tuple[Slot, list[tuple[Slot | None, str]]]:
+    """The slot tree and the page's texts in order; (None, '') stands between blocks.
+    ``by_name``: classes, ids and roles tell what isn't the article, as tags do."""
     root = Slot("", False, False, "")
     stack: list[tuple[str, Slot]] = [("", root)]
     pieces: list[tuple[Slot | None, str]] = []
@@ -163,7 +187,7 @@ def parse(page: str) -> tuple[Slot, list[tuple[Slot | None, str]]]:
             opened.setdefault(tag, []).append(len(stack))
             if tag in SCOPES:
                 scopes.append(len(stack))
-            stack.append((tag, _slot(stack[-1][1], tag, token[4], len(stack) >= MOST_DEPTH)))
+            stack.append((tag, _slot(stack[-1][1], tag, token[4], len(stack) >= MOST_DEPTH, by_name)))
     if at < len(page):
         pieces.append((stack[-1][1], page[at:]))
     return root, pieces
@@ -383,7 +407,13 @@ def judge(wrapper: Wrapper, nodes: dict[int, tuple[int, int, int]]) -> tuple[set
 
 
 def main_text(page: str, tree: str | None, template: set[int], root_number: int) -> str:
-    root, pieces = parse(page)
+    text = _main_text(page, tree, template, root_number, True)
+    # A page that has no text but in elements that their names alone rule out was named badly.
+    return text or _main_text(page, None, set(), 0, False)
+
+
+def _main_text(page: str, tree: str | None, template: set[int], root_number: int, by_name: bool) -> str:
+    root, pieces = parse(page, by_name)
     if tree:
         _wrapper(tree).align(root)
     slots: list[tuple[Slot, bool]] = []
@@ -396,13 +426,26 @@ def main_text(page: str, tree: str | None, template: set[int], root_number: int)
     usable = [(s, i) for s, i in slots if not s.skipped]
     for region in ("article", "main"):
         if any(s.region == region for s, _ in usable):
-            chosen = [s for s, _ in usable if s.region == region]
-            break
-    else:
-        chosen = [s for s, i in usable if i] if any(i for _, i in usable) else [s for s, _ in usable]
+            return _region_text(pieces, {s for s, _ in usable if s.region == region}, template)
+    chosen = [s for s, i in usable if i] if any(i for _, i in usable) else [s for s, _ in usable]
     return "\n".join(blocks(pieces, {s for s in chosen if s.number < 0 or s.number not in template}))
 
 
+def _region_text(pieces: list[tuple[Slot | None, str]], region: set[Slot], template: set[int]) -> str:
+    """The text of a declared article: what is constant on its host goes only at its end,
+    behind all that varies; headings and lines between stay."""
+    def constant(slot: Slot) -> bool:
+        return slot.number >= 0 and slot.number in template
+
+    varying = [k for k, (slot, text) in enumerate(pieces) if slot in region and not constant(slot) and text.strip()]
+    last = varying[-1] if varying else len(pieces)
+    kept = [
+        (slot, text) for k, (slot, text) in enumerate(pieces)
+        if slot is None or k <= last or not constant(slot) or slot.label.split(" ")[0] in HEADINGS
+    ]
+    return "\n".join(blocks(kept, region))
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     judged: dict[str, tuple[set[int], int]] = {}
     for batch in batches:

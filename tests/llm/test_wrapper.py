@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from fairgauge.llm import wrapper
+from fairgauge.llm.wrapper import extract_main_text, main_text
 from llm_tables import prose
 
 SCHEMA = "page_id long, url string, html string, id string, host string, tree string, text string, nodes string"
@@ -140,3 +143,47 @@ def test_a_constant_block_longer_than_the_articles(spark):
 
 def test_empty(spark):
     assert extract(spark, []) == []
+
+
+NAMED = ["content with-sidebar", "post comments-open", "page-no-banner", "col has-ads", "related-work"]
+
+
+@pytest.mark.parametrize("name", NAMED)
+def test_a_word_in_a_class_empties_no_page(spark, name):
+    rnd = random.Random(1)
+    rows = []
+    for k in range(12):
+        body = " ".join(rnd.choice(["alpha", "beta", "gamma", "delta"]) + str(rnd.randrange(99)) for _ in range(30))
+        page = f'<body><div class="nav-menu"><a>Home</a></div><div class="{name}"><p>{body}</p></div><div class="site-footer">Imprint</div></body>'
+        rows.append((k, "http://named.example/x", page, body))
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extract_main_text(pages).collect()}
+    assert got == {k: body for k, _, _, body in rows}
+
+
+@pytest.mark.parametrize("element", ['<h2 class="related-work">', '<p class="notice-period">', '<div class="social-security">'])
+def test_compound_names_inside_an_article(element):
+    page = f"<article><p>one</p>{element}two</{element[1:].split(' ')[0]}><p class='share'>three</p></article>"
+    assert main_text(page, None, set(), 0) == "one\ntwo"
+
+
+@pytest.mark.parametrize("name,gone", [("sidebar", True), ("sidebar-left", True), ("site-footer", True), ("main-nav", True), ("cookie-banner", True),
+                                       ("ad", True), ("adverb", False), ("with-sidebar", False), ("notice-period", False), ("menu-driven", False)])
+def test_names(name, gone):
+    page = f'<body><div class="{name}">x</div><p>kept</p></body>'
+    assert main_text(page, None, set(), 0) == ("kept" if gone else "x\nkept")
+
+
+def test_a_page_with_nothing_but_named_elements_keeps_its_text():
+    assert main_text('<body><nav>menu</nav><div class="popup"><p>all there is</p></div></body>', None, set(), 0) == "all there is"
+
+
+def test_constant_headings_of_articles_stay(spark):
+    rows = []
+    for k in range(8):
+        page = (f"<body><article><h1>Title {k}</h1><h2>Summary</h2><p>sum {k * 7}</p><p class='licence'>Free to use.</p><h2>References</h2>"
+                f"<ul><li>ref {k * 3}</li></ul><div class='tail'>Thanks for reading.</div></article></body>")
+        rows.append((k, "http://articles.example/", page))
+    got = extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {
+        k: f"Title {k}\nSummary\nsum {k * 7}\nFree to use.\nReferences\nref {k * 3}" for k in range(8)}
