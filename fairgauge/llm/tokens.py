@@ -14,14 +14,18 @@ result against the library's own on whole texts.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 
 #: Pieces whose ids a worker keeps in either of two generations (a piece of the older
-#: one that appears again joins the newer), and the length of the longest kept.
-KEPT_PIECES = 200_000
+#: one that appears again joins the newer), and the length of the longest kept. A piece is
+#: kept from its second appearance on, as most appear once: a byte per ``SEEN`` value of
+#: its hash says whether it was seen since the bytes were last cleared.
+KEPT_PIECES = 300_000
 KEPT_LENGTH = 48
+SEEN = 1 << 22
 #: Marks that end a pre-token of letters and, before a space, are one of their own.
 MARKS = frozenset(".,;:!?")
 #: A space that one run of white space may reach over.
@@ -46,13 +50,33 @@ class Encoder:
         self.spaced: dict[str, bytes] = {}  # ids of " " + piece
         self.older: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
+        self.seen, self.n_seen = bytearray(SEEN), 0
+        #: Which ids begin with a space, as the first of every spaced word does.
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.feed = self.whole("\n")
+        self.mark = {mark: self.whole(mark) for mark in MARKS}
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
+    def _again(self, piece: str) -> bool:
+        """Whether a piece was seen before (or one that shares its byte); from now on it was."""
+        if len(piece) > KEPT_LENGTH:
+            return False
+        at = hash(piece) & (SEEN - 1)
+        if self.seen[at]:
+            return True
+        if self.n_seen >= SEEN // 4:
+            self.seen, self.n_seen = bytearray(SEEN), 0
+        self.seen[at] = 1
+        self.n_seen += 1
+        return False
+
     def _keep(self, piece: str, ids: bytes) -> bytes:
-        if len(piece) <= KEPT_LENGTH:
+        if self._again(piece):
             if len(self.spaced) >= KEPT_PIECES:
                 self.older, self.spaced = self.spaced, {}
             self.spaced[piece] = ids
@@ -64,74 +88,101 @@ class Encoder:
             self._keep(piece, ids)
         return ids
 
-    def _bare(self, piece: str) -> bytes:
-        ids = self.bare.get(piece)
-        if ids is None:
-            ids = self.whole(piece)
-            if len(piece) <= KEPT_LENGTH:
-                if len(self.bare) >= KEPT_PIECES:
-                    self.bare.clear()
-                self.bare[piece] = ids
-        return ids
-
-    def _lines(self, piece: str, lead: str) -> bytes:
-        """A piece with line feeds: line by line if each of them stands between two
-        characters that aren't white space."""
-        lines = piece.split("\n")
-        if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
-            return self.whole(lead + piece)
-        head = self._kept(lines[0]) if lead else self._bare(lines[0])
-        out = [self._spaced([lines[0]])[lines[0]] if head is None else head]
-        feed = self._bare("\n")
-        for line in lines[1:]:
-            out += (feed, self._bare(line))
-        return b"".join(out)
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of " " + word for words without white space at their ends, in one call: each
+        begins a pre-token with its space, and no other id begins with one."""
+        for k in range(0, len(words), 512):
+            some = words[k : k + 512]
+            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            starts = np.flatnonzero(self.begins[ids]).tolist()
+            if len(starts) != len(some):
+                yield from (self.whole(" " + w) for w in some)
+                continue
+            data = ids.tobytes()
+            for i, j in zip(starts, [*starts[1:], len(ids)], strict=True):
+                yield data[4 * i : 4 * j]
+
+    def _lines(self, lines: list[str]) -> dict[str, bytes]:
+        """Ids of lines that begin without a space, new ones in one call: line feeds between
+        characters that aren't white space are pre-tokens of their own."""
+        found, new = {}, []
+        for line in dict.fromkeys(lines):
+            if (ids := self.bare.get(line)) is None:
+                new.append(line)
+            else:
+                found[line] = ids
+        for k in range(0, len(new), 512):
+            some = new[k : k + 512]
+            data = self.whole("\n".join(some))
+            parts = np.frombuffer(data, "<u4")
+            feeds = np.flatnonzero(parts == np.frombuffer(self.feed, "<u4")[0]).tolist()
+            if len(feeds) != len(some) - 1:
+                found |= {line: self.whole(line) for line in some}
+            else:
+                ends = [*feeds, len(parts)]
+                found |= {x: data[4 * i : 4 * j] for x, i, j in zip(some, [0, *(f + 1 for f in feeds)], ends, strict=True)}
+            for line in some:
+                if self._again("\n" + line):
+                    if len(self.bare) >= KEPT_PIECES:
+                        self.bare.clear()
+                    self.bare[line] = found[line]
+        return found
 
     def _spaced(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of " " + piece for pieces that are not kept yet; one call of the library
-        for all pieces made of letters, each of which is one pre-token."""
+        """Ids of " " + piece for pieces that are not kept, together: those of letters and one
+        mark from their words; those with line feeds, each between two characters that
+        aren't white space, line by line."""
         found: dict[str, bytes] = {}
-        words, marked = [], []
-        for piece in pieces:
+        words: dict[str, None] = {}
+        marked: list[str] = []
+        broken: list[tuple[str, list[str]]] = []
+
+        def sort(piece: str) -> None:
             ids = self._kept(piece)
             if ids is not None:
                 found[piece] = ids
             elif piece.isalpha():
-                words.append(piece)
-            elif piece[-1:] in MARKS and piece[:-1].isalpha():
+                words[piece] = None
+            elif not piece or piece[0].isspace() or piece[-1].isspace():
+                found[piece] = self._keep(piece, self.whole(" " + piece))
+            elif piece[-1] in MARKS and piece[:-1].isalpha():
                 marked.append(piece)
-            elif "\n" in piece:
-                found[piece] = self._lines(piece, " ")
+                if (ids := self._kept(piece[:-1])) is not None:
+                    found[piece[:-1]] = ids
+                else:
+                    words[piece[:-1]] = None
             else:
-                found[piece] = self._keep(piece, self.whole(" " + piece))
-        if marked:
-            words += self._new_words(marked, found, set(words))
-        for k in range(0, len(words), 512):
-            some = words[k : k + 512]
-            coded = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
-            ids, at = np.array(coded.ids, dtype="<u4"), np.array(coded.word_ids)
-            starts = np.flatnonzero(np.diff(at, prepend=-1))
-            if len(starts) == len(some):
-                ends = [*starts[1:].tolist(), len(ids)]
-                for piece, i, j in zip(some, starts.tolist(), ends, strict=True):
-                    found[piece] = self._keep(piece, ids[i:j].tobytes())
-            else:  # the library knows other letters than Python
-                for piece in some:
-                    found[piece] = self._keep(piece, self.whole(" " + piece))
-        for piece in marked:  # letters and one mark: two pre-tokens
-            found[piece] = self._keep(piece, found[piece[:-1]] + self._bare(piece[-1]))
+                words[piece] = None
+
+        for piece in pieces:
+            if "\n" not in piece:
+                sort(piece)
+                continue
+            lines = piece.split("\n")
+            if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+                found[piece] = self.whole(" " + piece)
+            else:
+                broken.append((piece, lines))
+                if lines[0] not in found:
+                    sort(lines[0])
+        new = list(words)
+        for word, ids in zip(new, self._words(new), strict=True):
+            found[word] = self._keep(word, ids)
+        for piece in dict.fromkeys(marked):  # two pre-tokens
+            found[piece] = self._keep(piece, found[piece[:-1]] + self.mark[piece[-1]])
+        if broken:
+            coded = self._lines([x for _, lines in broken for x in lines[1:]])
+            for piece, lines in broken:
+                found[piece] = self.feed.join([found[lines[0]], *[coded[x] for x in lines[1:]]])
         return found
 
-    def _new_words(self, marked: list[str], found: dict[str, bytes], words: set[str]) -> list[str]:
-        """The words of ``marked`` pieces that aren't kept yet."""
-        new = []
-        for word in dict.fromkeys(x[:-1] for x in marked):
-            ids = self._kept(word)
-            if ids is not None:
-                found[word] = ids
-            elif word not in words:
-                new.append(word)
-        return new
+    def _head(self, piece: str) -> bytes:
+        """A text's first piece, which no space precedes."""
+        lines = piece.split("\n")
+        if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+            return self.whole(piece)
+        coded = self._lines(lines)
+        return self.feed.join([coded[x] for x in lines])
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -139,14 +190,16 @@ class Encoder:
         if REACHED_OVER.search(text):
             return self.whole(text)
         first, *rest = text.split(" ")
-        head = self._lines(first, "") if "\n" in first else self._bare(first) if first else b""
+        head = self._head(first) if first else b""
         if not rest:
             return head
         get = self.spaced.get
         out = list(map(get, rest))
-        if None in out:
-            new = self._spaced(list(dict.fromkeys(x for x, ids in zip(rest, out, strict=True) if ids is None)))
-            out = [new[x] if ids is None else ids for x, ids in zip(rest, out, strict=True)]
+        gaps = [k for k, ids in enumerate(out) if ids is None]
+        if gaps:
+            new = self._spaced(list(dict.fromkeys([rest[k] for k in gaps])))
+            for k in gaps:
+                out[k] = new[rest[k]]
         return head + b"".join(out)
 
 
