@@ -26,12 +26,15 @@ SALTS = 64
 
 
 def _sorted_runs(rows: DataFrame, id_col: str, carried: list[str], largest: bool) -> DataFrame:
-    """Each row with its digest, salt and rank among its salted run's copies."""
-    text = F.coalesce(ascii_lower(F.col("text")), F.lit(""))
-    keyed = rows.withColumn("norm", text).select(
+    """Each row with its digest, salt and rank among its salted run's copies. Where whole
+    rows are carried, their text is normalised behind the exchange, to be moved once."""
+    def normal(text: str) -> Column:
+        return F.coalesce(ascii_lower(F.col(text)), F.lit(""))
+
+    keyed = rows.withColumn("norm", normal("text")).select(
         F.col(id_col).alias("id"),
         *carried,
-        "norm",
+        *([] if carried else ["norm"]),
         F.substring("norm", 1, LEAD_CHARS).alias("lead"),
         F.unhex(F.sha2("norm", 256)).alias("digest"),
         F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int").alias("salt"),
@@ -40,8 +43,9 @@ def _sorted_runs(rows: DataFrame, id_col: str, carried: list[str], largest: bool
         "norm", F.col("id").desc_nulls_last() if largest else F.col("id").asc_nulls_last()
     )
     rank, before = F.row_number().over(run), F.lag("norm").over(run)
+    dealt = keyed.repartitionByRange("lead", "digest", "salt")
     return (
-        keyed.repartitionByRange("lead", "digest", "salt")
+        (dealt.withColumn("norm", normal("row.text")) if carried else dealt)
         .withColumns({"rank": rank, "before": before})
         .select(
             "id",
