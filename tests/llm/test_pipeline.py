@@ -90,7 +90,7 @@ def test_empty_documents(spark, tmp_path):
 def test_all_are_registered():
     found = entry.queries()
     assert "pipeline" in found and set(QUERIES) <= set(found) and set(ORACLE_SQL) <= set(entry.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
