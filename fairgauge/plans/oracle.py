@@ -380,6 +380,46 @@ _MEANS = ", ".join(
     f"round(avg(CASE WHEN all_valid THEN {letter}_score END), 4) AS mean_{letter}" for _, letter, _ in S.PRINCIPLES
 )
 
+#: Pairs of valid rows of a dataset, by measure; the statistics below compare rows or cells
+#: with each other, as their definitions say.
+_MEASURE_ROWS = " UNION ALL ".join(
+    f"SELECT strategy, row_id, {q(name)} AS measure, {score} AS score FROM uni WHERE all_valid"
+    for name, score in [("Total", "f_score + a_score + i_score + r_score"), *[(n, f"{letter}_score") for n, letter, _ in S.PRINCIPLES]]
+)
+_SCORE_PAIRS = f"""m AS ({_MEASURE_ROWS}), sp AS (
+  SELECT x.strategy AS strategy_a, y.strategy AS strategy_b, x.measure, x.score AS score_a, y.score AS score_b, count(*) AS n
+  FROM m x JOIN m y ON x.row_id = y.row_id AND x.measure = y.measure AND x.strategy < y.strategy GROUP BY ALL
+)"""
+_AGREEMENT = """, ma AS (SELECT strategy_a, strategy_b, measure, score_a AS s, sum(n) AS n FROM sp GROUP BY ALL),
+mb AS (SELECT strategy_a, strategy_b, measure, score_b AS s, sum(n) AS n FROM sp GROUP BY ALL),
+chance AS (
+  SELECT strategy_a, strategy_b, measure, sum(ma.n * mb.n * abs(ma.s - mb.s)) AS e1, sum(ma.n * mb.n * (ma.s - mb.s) * (ma.s - mb.s)) AS e2
+  FROM ma JOIN mb USING (strategy_a, strategy_b, measure) GROUP BY ALL
+),
+ob AS (
+  SELECT strategy_a, strategy_b, measure, sum(n) AS n, sum(CASE WHEN score_a = score_b THEN n ELSE 0 END) AS same,
+    sum(n * (score_a - score_b)) AS diff, sum(n * abs(score_a - score_b)) AS o1, sum(n * (score_a - score_b) * (score_a - score_b)) AS o2
+  FROM sp GROUP BY ALL
+)
+SELECT strategy_a, strategy_b, measure, CAST(n AS BIGINT) AS n, round(CAST(same AS DOUBLE) / n, 6) AS equal_share,
+  round(CAST(diff AS DOUBLE) / n, 6) AS mean_difference,
+  CASE WHEN e1 > 0 THEN round(CAST(e1 - n * o1 AS DOUBLE) / CAST(e1 AS DOUBLE), 6) END AS kappa_linear,
+  CASE WHEN e2 > 0 THEN round(CAST(e2 - n * o2 AS DOUBLE) / CAST(e2 AS DOUBLE), 6) END AS kappa_quadratic
+FROM ob JOIN chance USING (strategy_a, strategy_b, measure)"""
+_RANK_CORRELATION = """, pc AS (
+  SELECT strategy_a, strategy_b, measure, x.n * y.n AS w, sign(x.score_a - y.score_a) AS da, sign(x.score_b - y.score_b) AS db
+  FROM sp x JOIN sp y USING (strategy_a, strategy_b, measure)
+),
+co AS (
+  SELECT strategy_a, strategy_b, measure, sum(CASE WHEN da * db > 0 THEN w ELSE 0 END) / 2 AS c,
+    sum(CASE WHEN da * db < 0 THEN w ELSE 0 END) / 2 AS d, sum(CASE WHEN da <> 0 THEN w ELSE 0 END) / 2 AS ua,
+    sum(CASE WHEN db <> 0 THEN w ELSE 0 END) / 2 AS ub
+  FROM pc GROUP BY ALL
+)
+SELECT strategy_a, strategy_b, measure, CAST(n AS BIGINT) AS n, CAST(c AS DOUBLE) AS concordant, CAST(d AS DOUBLE) AS discordant,
+  CASE WHEN ua > 0 AND ub > 0 THEN round(CAST(c - d AS DOUBLE) / sqrt(CAST(ua AS DOUBLE) * CAST(ub AS DOUBLE)), 6) END AS tau_b
+FROM co JOIN (SELECT strategy_a, strategy_b, measure, sum(n) AS n FROM sp GROUP BY ALL) USING (strategy_a, strategy_b, measure)"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -425,4 +465,7 @@ def oracle_sql() -> dict[str, str]:
         + """SELECT strategy, total_score, row_id, dataset_name,
   rank() OVER (PARTITION BY strategy ORDER BY total_score DESC) AS rank
 FROM (SELECT strategy, row_id, dataset_name, f_score + a_score + i_score + r_score AS total_score FROM uni WHERE all_valid)""",
+        "score_pairs": _with(*_UNI_CHAIN, _SCORE_PAIRS) + "SELECT * FROM sp",
+        "strategy_agreement": _with(*_UNI_CHAIN, _SCORE_PAIRS) + _AGREEMENT,
+        "strategy_rank_correlation": _with(*_UNI_CHAIN, _SCORE_PAIRS) + _RANK_CORRELATION,
     }

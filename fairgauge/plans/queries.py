@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fairgauge.operators import agreement as A
 from fairgauge.operators import results as R
 from fairgauge.operators.extract import fill_error_record, visible_text
 from fairgauge.operators.joins import attach_pages, attach_replies, fan_out
@@ -212,6 +213,18 @@ def dataset_ranking(spark: SparkSession, sf: str) -> DataFrame:
     return R.dataset_ranking(unified_results(spark, sf))
 
 
+def score_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return A.score_pairs(unified_results(spark, sf))
+
+
+def strategy_agreement(spark: SparkSession, sf: str) -> DataFrame:
+    return A.agreement(score_pairs(spark, sf))
+
+
+def strategy_rank_correlation(spark: SparkSession, sf: str) -> DataFrame:
+    return A.rank_correlation(score_pairs(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_title": _page_field("title"),
     "extract_description": _page_field("description"),
@@ -243,4 +256,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "component_scores": component_scores,
     "strategy_summary": strategy_summary,
     "dataset_ranking": dataset_ranking,
+    "score_pairs": score_pairs,
+    "strategy_agreement": strategy_agreement,
+    "strategy_rank_correlation": strategy_rank_correlation,
 }
