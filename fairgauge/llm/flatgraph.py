@@ -18,9 +18,10 @@ less than ``LEAST_RECALL``, twice the overlap is taken and shards are searched e
 in the end each of them for every node.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components
-link with nothing, as do those whose length isn't the most common one; copies link with
-each other; repeated ids are vectors of their own; a null id is never the smallest of a
-component with ids; an empty table gives an empty result; other columns are ignored.
+link with nothing; vectors of different lengths don't link, so every length has centroids
+and shards of its own (a length of few vectors one shard); copies link with each other;
+repeated ids are vectors of their own; a null id is never the smallest of a component with
+ids; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -88,21 +89,50 @@ def fit_centroids(sample: np.ndarray, k: int, apart: float) -> np.ndarray:
     return centroids[alone]
 
 
-def _deal(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, overlap: int) -> Iterator[pa.RecordBatch]:
-    """A row for each shard of a node; the first of ``shards`` is its home."""
-    overlap = min(overlap, len(centroids))
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        near = _matrix(batch.column("vector").to_pylist()) @ centroids.T
-        best = np.argsort(-near, axis=1, kind="stable")[:, :overlap]
-        rows = np.repeat(np.arange(batch.num_rows), overlap)
-        dealt = batch.take(pa.array(rows))
-        shards = pa.array(best.astype(np.int32).tolist(), pa.list_(pa.int32())).take(pa.array(rows))
-        yield pa.RecordBatch.from_arrays(
-            [*dealt.columns, pa.array(best.ravel().astype(np.int32)), pa.array(np.tile(np.arange(overlap) == 0, batch.num_rows)), shards],
-            names=[*dealt.schema.names, "shard", "home", "shards"],
-        )
+def _by_length(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    lengths = np.array([len(v) // 8 for v in batch.column("vector").to_pylist()], np.int64)
+    for d in np.unique(lengths).tolist():
+        yield d, batch.take(pa.array(np.flatnonzero(lengths == d)))
+
+
+#: Of a vector's length: its centroids and the number of its first shard.
+Parts = dict[int, tuple[np.ndarray, int]]
+
+
+def _deal(batches: Iterator[pa.RecordBatch], parts: Parts, overlap: int) -> Iterator[pa.RecordBatch]:
+    """A row for each shard of a node; the first of ``shards`` is its home. Vectors of a
+    length without centroids share the shard that minus their length numbers."""
+    for mixed in batches:
+        for d, batch in _by_length(mixed):
+            if d in parts:
+                centroids, first = parts[d]
+                near = _matrix(batch.column("vector").to_pylist()) @ centroids.T
+                best = first + np.argsort(-near, axis=1, kind="stable")[:, :overlap].astype(np.int32)
+            else:
+                best = np.full((batch.num_rows, 1), -d, np.int32)
+            times = best.shape[1]
+            rows = np.repeat(np.arange(batch.num_rows), times)
+            dealt = batch.take(pa.array(rows))
+            shards = pa.array(best.tolist(), pa.list_(pa.int32())).take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays(
+                [*dealt.columns, pa.array(best.ravel()), pa.array(np.tile(np.arange(times) == 0, batch.num_rows)), shards],
+                names=[*dealt.schema.names, "shard", "home", "shards"],
+            )
+
+
+def fit_parts(nodes: DataFrame, apart: float) -> Parts:
+    """Centroids of every length that more than ``SHARD_NODES`` nodes have, each fitted on
+    its share of the sample."""
+    d = F.octet_length("vector") / 8
+    sizes = nodes.groupBy(d.cast("int").alias("d")).agg(F.count("*").alias("n")).where(F.col("n") > SHARD_NODES).orderBy("d").collect()
+    rows, parts, first = sum(r.n for r in sizes), {}, 0
+    for r in sizes:
+        share = max(math.ceil(r.n / SHARD_NODES), SAMPLE_ROWS * r.n // rows)
+        some = nodes.where(d == r.d).orderBy(F.xxhash64("node", F.lit(SEED)), "node").limit(min(share, SAMPLE_ROWS)).select("vector").collect()
+        k = min(MOST_SHARDS, math.ceil(r.n / SHARD_NODES), len(some))
+        parts[r.d] = fit_centroids(_matrix([bytes(x.vector) for x in some]), k, apart), first
+        first += len(parts[r.d][0])
+    return parts
 
 
 def robust_prune(x: np.ndarray, i: int, candidates: np.ndarray, degree: int) -> np.ndarray:
@@ -242,12 +272,16 @@ def _units(dealt: DataFrame, united: DataFrame | None) -> DataFrame:
 
 
 def _brute_force(batches: Iterator[pa.RecordBatch], queries: dict[int, bytes], threshold: float) -> Iterator[pa.RecordBatch]:
-    ids, q = np.array(list(queries), np.int64), _matrix(list(queries.values()))
-    for batch in batches:
-        if batch.num_rows:
-            x = _matrix(batch.column("vector").to_pylist())
-            linked = (q @ x.T >= threshold) & (ids[:, None] != batch.column("node").to_numpy()[None, :])
-            yield pa.RecordBatch.from_pydict({"node": ids, "exist": linked.sum(axis=1)})
+    of_length: dict[int, list[int]] = {}
+    for node, vector in queries.items():
+        of_length.setdefault(len(vector) // 8, []).append(node)
+    for mixed in batches:
+        for d, batch in _by_length(mixed):
+            if d in of_length:
+                ids, x = np.array(of_length[d], np.int64), _matrix(batch.column("vector").to_pylist())
+                q = _matrix([queries[i] for i in of_length[d]])
+                linked = (q @ x.T >= threshold) & (ids[:, None] != batch.column("node").to_numpy()[None, :])
+                yield pa.RecordBatch.from_pydict({"node": ids, "exist": linked.sum(axis=1)})
 
 
 def audit(nodes: DataFrame, counts: DataFrame, threshold: float, queries: int = AUDIT_ROWS) -> float:
@@ -271,10 +305,7 @@ def near_duplicates(
     finite = F.forall(raw, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     usable = raw.isNotNull() & (F.size(raw) > 0) & F.coalesce(finite, F.lit(False)) & F.exists(raw, lambda v: v != 0)
     rows = vectors.select(F.col(id_col).alias("id"), F.when(usable, raw).alias("vector"))
-    lengths = rows.where(F.col("vector").isNotNull()).groupBy(F.size("vector").alias("d")).count()
-    common = lengths.orderBy(F.desc("count"), "d").first()
-    node = F.when(F.size("vector") == (common.d if common else 0), F.xxhash64("vector"))
-    rows = rows.withColumn("node", node)
+    rows = rows.withColumn("node", F.when(F.col("vector").isNotNull(), F.xxhash64(F.size("vector"), "vector")))
     classes = (
         rows.where(F.col("node").isNotNull())
         .groupBy("node")
@@ -283,15 +314,14 @@ def near_duplicates(
     nodes = materialise(classes.mapInArrow(_nodes, "node long, copies long, id " + dict(rows.dtypes)["id"] + ", vector binary"), "graph-nodes")
     n = nodes.count()
     found = None
-    if n:
-        sample = nodes.orderBy(F.xxhash64("node", F.lit(SEED)), "node").limit(SAMPLE_ROWS).select("vector").collect()
-        centroids = fit_centroids(_matrix([bytes(r.vector) for r in sample]), min(MOST_SHARDS, math.ceil(n / SHARD_NODES), len(sample)), threshold)
+    parts = fit_parts(nodes, threshold)
+    most = max((len(centroids) for centroids, _ in parts.values()), default=1)
     exhaustive = False
     while n:
         spread, exact = overlap, exhaustive
         dealt = materialise(
             nodes.drop("id").mapInArrow(
-                lambda b: _deal(b, centroids, spread),  # noqa: B023
+                lambda b: _deal(b, parts, spread),  # noqa: B023
                 "node long, copies long, vector binary, shard int, home boolean, shards array<int>",
             ),
             "graph-shards",
@@ -309,13 +339,13 @@ def near_duplicates(
         )
         found = materialise(searched, "graph-links")
         counts = found.groupBy("node").agg(F.sum("links").alias("links"), F.sum("peers").alias("peers"))
-        if audit(nodes, counts, threshold) >= LEAST_RECALL or (exact and overlap >= len(centroids)):
+        if audit(nodes, counts, threshold) >= LEAST_RECALL or (exact and overlap >= most):
             break  # with every shard searched exhaustively for every node nothing is left to find
         overlap, exhaustive = 2 * overlap, True
     if found is None:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    parts = components(found.where(F.col("root").isNotNull()), "node", "root")
-    known = nodes.drop("vector").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    stars = components(found.where(F.col("root").isNotNull()), "node", "root")
+    known = nodes.drop("vector").join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = known.groupBy("component").agg(F.min("id").alias("component_id"))
     by_node = known.join(smallest, "component").join(counts, "node", "left").select(
         "node", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")

@@ -11,10 +11,17 @@ def table(spark, rows):
     return spark.createDataFrame([(i, v, 0, 1, "x", 2, 3, "y") for i, v in rows], SCHEMA)
 
 
+def usable(v):
+    return v is not None and len(v) > 0 and all(c is not None and np.isfinite(c) for c in v) and any(v)
+
+
 def brute_force(rows, t=0.9):
-    good = [v is not None and len(v) == 8 and all(c is not None and np.isfinite(c) for c in v) and any(v) for _, v in rows]
-    x = np.array([np.array(v, np.float32).astype(float) / np.linalg.norm(np.array(v, np.float32).astype(float)) if g else [0.0] * 8 for g, (_, v) in zip(good, rows, strict=True)])
-    near = x @ x.T >= t
+    near = np.zeros((len(rows), len(rows)), bool)
+    for d in {len(v) for _, v in rows if usable(v)}:  # vectors of different lengths don't link
+        of = np.array([k for k, (_, v) in enumerate(rows) if usable(v) and len(v) == d])
+        x = np.array([np.array(rows[k][1], np.float32).astype(float) for k in of])
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        near[np.ix_(of, of)] = x @ x.T >= t
     np.fill_diagonal(near, False)
     root = np.arange(len(rows))
     while True:
@@ -75,6 +82,26 @@ def test_small_groups_count_as_much_as_large_groups_of_copies(spark, monkeypatch
     assert all((r.n_links > 0) == (size[r.component_id] > 1) for r in got)
 
 
+@pytest.mark.parametrize("shard", [1000, 30])
+def test_every_length_has_links_of_its_own(spark, monkeypatch, shard):
+    """Two lengths of many vectors, one of few; those of the shorter begin like the longer."""
+    monkeypatch.setattr(flatgraph, "SHARD_NODES", shard)
+    rng = np.random.default_rng(11)
+    rows = [(100 * g + k, (c + rng.normal(scale=0.2, size=8)).tolist()) for g in range(4) for c in [rng.normal(size=8)] for k in range(30)]
+    rows += [(1000 + k, v[:5]) for k, v in rows]
+    same = rng.normal(size=4).tolist()
+    rows += [(5000 + k, same) for k in range(4)] + [(6000, [2.0]), (6001, [3.0]), (6002, [-1.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in flatgraph.near_duplicates(table(spark, rows)).collect()}
+    want = {i: (n, c) for i, n, c in brute_force(rows)}
+    assert got[5000] == (3, 5000) and got[5003] == (3, 5000) and got[6001] == (1, 6000) and got[6002] == (0, 6002)
+    assert set(got) == set(want)
+    if shard == 1000:
+        assert got == want
+    else:
+        assert sum(n for n, _ in got.values()) >= 0.95 * sum(n for n, _ in want.values())
+        assert all(got[i][0] <= want[i][0] for i in want)
+
+
 def test_nothing_usable_and_empty(spark):
     assert {(r.vec_id, r.n_links, r.component_id) for r in flatgraph.near_duplicates(table(spark, [(1, None), (2, [0.0])])).collect()} == {(1, 0, 1), (2, 0, 2)}
     assert flatgraph.near_duplicates(table(spark, [])).count() == 0
