@@ -55,13 +55,22 @@ WITH d AS (
 ), o AS (
   SELECT min(k) AS k, min_by(level, k) AS level FROM l WHERE most / weight > level
 ), t AS (
-  SELECT l.source, l.source_size, CAST(CASE WHEN l.k >= o.k THEN o.level * weight ELSE most END AS DOUBLE) AS target
+  SELECT l.source, l.source_size, turn, CAST(CASE WHEN l.k >= o.k THEN o.level * weight ELSE most END AS DOUBLE) AS target
   FROM l LEFT JOIN o ON true
+), c AS (
+  SELECT doc_id, size, source_size, target, turn, start, greatest(0, least(floor(target), start + size) - start) AS first,
+         greatest(0, least(floor(target), source_size + start + size) - source_size - start) AS second
+  FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
+), q AS (
+  SELECT *, CASE WHEN first > 0 THEN least(1.0, (CAST(start AS DOUBLE) + CAST(first AS DOUBLE) / 2) / target) END AS share FROM c
 )
-SELECT doc_id, size, source_size, target,
-       CAST(greatest(0, least(floor(target), start + size) - start)
-            + greatest(0, least(floor(target), source_size + start + size) - source_size - start) AS BIGINT) AS taken
-FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
+SELECT doc_id, size, source_size, target, CAST(first + second AS BIGINT) AS taken,
+       -- Where the demand is due: the roots of 1.5t - t*t/2 = share (a rate that fades from 1.5 to 0.5),
+       -- of t/2 (to 0.5) and t/2 + 1.5(t - 0.5)^2 (a rate that rises to 2) = 0.875 share, and t = share.
+       round(CASE turn WHEN 0 THEN 1.5 - sqrt(2.25 - 2 * share)
+             WHEN 1 THEN CASE WHEN 0.875 * share <= 0.25 THEN 1.75 * share ELSE 0.5 + (sqrt(0.25 + 6 * (0.875 * share - 0.25)) - 0.5) / 3 END
+             ELSE share END, 9) AS position
+FROM q
 """
 
 FLAT_GRAPH = """

@@ -43,7 +43,7 @@ def op5_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(read_table(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken")
+    return plan.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
 
 
 def op7_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,6 +55,52 @@ def test_learned_lexicon_on_held_out_rows(spark):
     assert scores[10_004] == scores[10_005]  # the text alone decides
 
 
+def plain_margin(trees, row):
+    """Weighted sum of the leaves that ``row`` falls into, node by node."""
+    total = 0.0
+    for weight, tree in zip(trees.treeWeights, trees.trees, strict=True):
+        node = tree._call_java("rootNode")
+        while node.getClass().getSimpleName() == "InternalNode":
+            split = node.split()
+            node = node.leftChild() if row[split.featureIndex()] <= split.threshold() else node.rightChild()
+        total += weight * node.prediction()
+    return total
+
+
+def plain_isotonic(margins, labels):
+    """Knots of the isotonic fit by its max-min formula; equal margins count as one."""
+    x = np.unique(margins)
+    sums = np.array([labels[margins == v].sum() for v in x])
+    sizes = np.array([(margins == v).sum() for v in x])
+    mean = lambda a, b: sums[a : b + 1].sum() / sizes[a : b + 1].sum()
+    fitted = [max(min(mean(a, b) for b in range(i, len(x))) for a in range(i + 1)) for i in range(len(x))]
+    return x, np.array(fitted)
+
+
+def test_scores_equal_a_plain_evaluation(spark, monkeypatch):
+    """Every score from the fitted trees walked by hand and an isotonic fit by definition."""
+    seen = []
+    margin, learn = toxicity._margin, toxicity.learn_lexicon
+    monkeypatch.setattr(toxicity, "_margin", lambda trees, rows: (seen.append((trees, rows)), margin(trees, rows))[1])
+    lexicons = []
+    monkeypatch.setattr(toxicity, "learn_lexicon", lambda rows: (lexicons.append(learn(rows)), lexicons[-1])[1])
+    rnd = random.Random(9)
+    rows, labels = labelled(rnd)
+    labels = [(i, q, 1 - t if rnd.random() < 0.1 else t, x) for i, q, t, x in labels]  # so that pools form
+    got = toxicity.score_toxicity(documents(spark, rows), spark.createDataFrame(labels, LABELS)).collect()
+    trees, calibration = seen[0]
+    at = calibration.select("label", *toxicity.FEATURES).collect()
+    knots = plain_isotonic(np.array([plain_margin(trees, r[1:]) for r in at]), np.array([r.label for r in at]))
+    assert 1 < len(np.unique(knots[1])) < len(knots[0])
+    args = lexicons[0], toxicity._hashes(toxicity.INSULTS), toxicity._hashes(toxicity.SECOND_PERSON)
+    texts = {i: text for i, text, _ in rows}
+    assert len(got) == len(rows)
+    for r in got:
+        m = plain_margin(trees, toxicity.features([texts[r.doc_id].encode()], *args)[0].tolist())
+        want = 0.99 * np.interp(m, *knots) + 0.01 / (1 + np.exp(-2 * m))
+        assert r.score == pytest.approx(want, abs=1e-9)
+
+
 def test_held_out_labels_of_the_given_tables(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
