@@ -161,7 +161,8 @@ def filter_urls(
         urls.select(F.explode(candidates(F.col("host"), F.col("path"), rules).getField("key")).alias("key")).distinct(),
         "cascade-universe",
     )
-    listed = spark.createDataFrame([(k,) for k in sorted({r.key for r in rules})], "key string")
+    keys = F.array(*[F.lit(k) for k in sorted({r.key for r in rules})]).cast("array<string>")
+    listed = spark.range(1).select(F.explode(keys).alias("key"))
     cascade = Cascade.build(listed, universe, max_words)
     verdicts = F.create_map(*[F.lit(x) for r in rules for x in (r.key, r.verdict)]) if rules else None
     best = F.array_max(F.filter("found", lambda c: cascade.lists(c["key"])))
