@@ -116,37 +116,37 @@ ERROR_VALUE = "N/A"
 #: Lower-cased href contains one of the download extensions.
 DOWNLOAD_LINK_RE = r"\.(csv|json|zip|xlsx|xml)"
 
-# Reply tables. ``WS`` stands in for Python's ``\s``; digits stay ASCII.
+# Reply tables. ``WS`` stands in for Python's ``\s``; scores are digits of any script, as ``\d`` is there.
 STRICT_REPLY_RE = (
     "(?s)\\|" + WS + "*(.*?)" + WS + "*\\|"
-    + WS + "*F-Score \\(([0-9]+)/17\\)" + WS + "*\\|"
-    + WS + "*A-Score \\(([0-9]+)/10\\)" + WS + "*\\|"
-    + WS + "*I-Score \\(([0-9]+)/8\\)" + WS + "*\\|"
-    + WS + "*R-Score \\(([0-9]+)/7\\)" + WS + "*\\|"
+    + WS + "*F-Score \\((\\p{Nd}+)/17\\)" + WS + "*\\|"
+    + WS + "*A-Score \\((\\p{Nd}+)/10\\)" + WS + "*\\|"
+    + WS + "*I-Score \\((\\p{Nd}+)/8\\)" + WS + "*\\|"
+    + WS + "*R-Score \\((\\p{Nd}+)/7\\)" + WS + "*\\|"
 )
 LENIENT_REPLY_RE = (
     "(?s)\\|" + WS + "*(.*?)" + WS + "*\\|"
-    + WS + "*F-Score \\(([0-9]+)/17\\)"
-    + ".*A-Score \\(([0-9]+)/10\\)"
-    + ".*I-Score \\(([0-9]+)/8\\)"
-    + ".*R-Score \\(([0-9]+)/7\\)"
+    + WS + "*F-Score \\((\\p{Nd}+)/17\\)"
+    + ".*A-Score \\((\\p{Nd}+)/10\\)"
+    + ".*I-Score \\((\\p{Nd}+)/8\\)"
+    + ".*R-Score \\((\\p{Nd}+)/7\\)"
 )
 #: What the Spark side scans for instead: every score cell (F with the pipe before
 #: it), and a strict row without its name. Nothing here gives back what it took.
 SCORE_CELLS_RE = (
-    "\\|" + WS + "*+F-Score \\([0-9]++/17\\)"
-    + "|A-Score \\([0-9]++/10\\)|I-Score \\([0-9]++/8\\)|R-Score \\([0-9]++/7\\)"
+    "\\|" + WS + "*+F-Score \\(\\p{Nd}++/17\\)"
+    + "|A-Score \\(\\p{Nd}++/10\\)|I-Score \\(\\p{Nd}++/8\\)|R-Score \\(\\p{Nd}++/7\\)"
 )
 STRICT_ROW_RE = (
-    "\\|" + WS + "*+F-Score \\(([0-9]++)/17\\)" + WS + "*+\\|"
-    + WS + "*+A-Score \\(([0-9]++)/10\\)" + WS + "*+\\|"
-    + WS + "*+I-Score \\(([0-9]++)/8\\)" + WS + "*+\\|"
-    + WS + "*+R-Score \\(([0-9]++)/7\\)" + WS + "*+\\|"
+    "\\|" + WS + "*+F-Score \\((\\p{Nd}++)/17\\)" + WS + "*+\\|"
+    + WS + "*+A-Score \\((\\p{Nd}++)/10\\)" + WS + "*+\\|"
+    + WS + "*+I-Score \\((\\p{Nd}++)/8\\)" + WS + "*+\\|"
+    + WS + "*+R-Score \\((\\p{Nd}++)/7\\)" + WS + "*+\\|"
 )
 #: One score cell per principle, for row counts.
 SCORE_CELL_RE = {
-    "f": r"F-Score \([0-9]+/17\)",
-    "a": r"A-Score \([0-9]+/10\)",
-    "i": r"I-Score \([0-9]+/8\)",
-    "r": r"R-Score \([0-9]+/7\)",
+    "f": r"F-Score \(\p{Nd}+/17\)",
+    "a": r"A-Score \(\p{Nd}+/10\)",
+    "i": r"I-Score \(\p{Nd}+/8\)",
+    "r": r"R-Score \(\p{Nd}+/7\)",
 }

@@ -1,4 +1,4 @@
-"""Scalar text helpers as Spark column expressions (FN-1, FN-2, FN-9, FN-11).
+"""Scalar text helpers as Spark column expressions (FN-1, FN-2, FN-6, FN-9, FN-11).
 
 All of it runs on the JVM: character references are decoded by a single
 pass over the text split at '&' (no Python, no regex callbacks).
@@ -9,6 +9,8 @@ from __future__ import annotations
 import html
 import html.entities
 import json
+import sys
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -196,3 +198,12 @@ def fstr(c: Column) -> Column:
     """FN-11: a catalogue cell inside an f-string. Missing cells print as
     pandas' NaN does."""
     return F.coalesce(c.cast("string"), F.lit("nan"))
+
+
+#: Decimal digits beyond ASCII and their values, from the stdlib's character database.
+OTHER_DIGITS = {chr(c): str(unicodedata.decimal(chr(c))) for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd"}
+
+
+def ascii_digits(digits: Column) -> Column:
+    """FN-6: digits of any script as 0-9, as Python's ``int`` reads them."""
+    return F.translate(digits, "".join(OTHER_DIGITS), "".join(OTHER_DIGITS.values()))

@@ -22,14 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairgauge.functions import patterns as P
-from fairgauge.functions.text import let, strip
+from fairgauge.functions.text import ascii_digits, let, strip
 
 SCORE_COLUMNS = ("f_score", "a_score", "i_score", "r_score")
 
 
 def _struct(ok: Column, name: Column, scores: list[Column]) -> Column:
     """PA-3 … PA-5. A digit run beyond BIGINT becomes NULL (and invalid)."""
-    values = [F.when(ok, s.try_cast("bigint")).alias(n) for n, s in zip(SCORE_COLUMNS, scores, strict=True)]
+    values = [F.when(ok, ascii_digits(s).try_cast("bigint")).alias(n) for n, s in zip(SCORE_COLUMNS, scores, strict=True)]
     return F.struct(F.coalesce(ok, F.lit(False)).alias("parse_ok"), F.when(ok, strip(name)).alias("parsed_dataset_name"), *values)
 
 
@@ -70,7 +70,7 @@ def lenient(reply: Column) -> Column:
         numbered = F.transform(
             cells,
             lambda c: F.struct(
-                F.regexp_extract(c, "([FAIR])-Score", 1).alias("kind"), F.regexp_extract(c, r"\(([0-9]+)/", 1).alias("score"), c.alias("cell")
+                F.regexp_extract(c, "([FAIR])-Score", 1).alias("kind"), F.regexp_extract(c, r"\((\p{Nd}+)/", 1).alias("score"), c.alias("cell")
             ),
         )
 

@@ -12,7 +12,7 @@ import html.entities
 import re
 
 from fairgauge.functions import patterns as P
-from fairgauge.functions.text import JVM_ENTITIES, LEGACY_NAMES
+from fairgauge.functions.text import JVM_ENTITIES, LEGACY_NAMES, OTHER_DIGITS
 from fairgauge.operators.extract import ERROR_MESSAGES
 from fairgauge.operators.results import DISPLAY_A
 from fairgauge.plans import fixtures as X
@@ -241,11 +241,15 @@ reqs AS (
     system_content, user_content)) AS request_id FROM prompts)"""
 
 
+def digits(e: str) -> str:
+    return f"translate({e}, {q(''.join(OTHER_DIGITS))}, {q(''.join(OTHER_DIGITS.values()))})"
+
+
 def _parse_cols(r: str, pat: str) -> dict[str, str]:
     ok = f"coalesce(regexp_matches({r}, {q(pat)}), false)"
     cols = {"parse_ok": ok, "parsed_dataset_name": f"CASE WHEN {ok} THEN {strip(f'regexp_extract({r}, {q(pat)}, 1)')} END"}
     for i, name in enumerate(("f_score", "a_score", "i_score", "r_score"), start=2):
-        cols[name] = f"CASE WHEN {ok} THEN TRY_CAST(regexp_extract({r}, {q(pat)}, {i}) AS BIGINT) END"
+        cols[name] = f"CASE WHEN {ok} THEN TRY_CAST({digits(f'regexp_extract({r}, {q(pat)}, {i})')} AS BIGINT) END"
     return cols
 
 

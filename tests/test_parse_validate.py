@@ -43,6 +43,10 @@ REPLIES = [
     "Sure!\n| Name |\tF-Score (3/17)|A-Score (2/10) |\n I-Score (1/8) | R-Score (0/7) |\nThanks",
     "| a | F-Score (1/17) | A-Score (2/10) | junk | I-Score (3/8) | R-Score (4/7) |",
     "",
+    ROW.replace("9/17", "\u0661\u0662/17").replace("8/10", "\uff18/10").replace("4/7", "\U0001d7d4/7"),
+    ROW.replace("D1", "\u0663").replace("9/17", "1\u0967/17"),
+    ROW.replace("9/17", "9/\u0661\u0667"),
+    ROW.replace("9/17", "\u00b9/17"),
 ]
 
 
