@@ -2,7 +2,8 @@
 
 Everything is computed from a contingency table of score pairs: for two strategies and a
 measure (the total or a principle) it has a row per pair of scores, at most 43 x 43 of
-them however many datasets were scored. Building it is the only pass over the results.
+them however many datasets were scored. Building it is the only pass over the results: as
+each statistic reads it several times, it is written first.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from fairgauge.operators.results import MAX_TOTAL
 from fairgauge.plans.strategies import PRINCIPLES
+from fairgauge.scratch import materialise
 
 #: Measures with their largest score.
 MEASURES = {"Total": MAX_TOTAL, **{name: largest for name, _, largest in PRINCIPLES}}
@@ -94,6 +96,7 @@ def rank_correlation(pairs: DataFrame) -> DataFrame:
 
     No two datasets are compared: prefix sums over the whole grid of scores, first along b
     and then along a, count for each cell the datasets below it in both scores."""
+    pairs = materialise(pairs, "score_pairs")
     largest = F.element_at(F.create_map(*[F.lit(x) for item in MEASURES.items() for x in item]), F.col("measure"))
     grid = (
         pairs.select(*KEYS)

@@ -60,3 +60,9 @@ def test_result_layouts(uni):
     assert a.columns[2:] == list(R.DISPLAY_A)
     assert b.columns[2:] == list(R.DISPLAY_B)
     assert a.count() + b.count() == u.count()
+
+
+def test_requests_are_built_once(spark):
+    """Each side of JOIN-2 extracted the pages and built the prompts anew."""
+    plan = unified_results(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "<title" not in plan and "html" not in plan
