@@ -101,7 +101,7 @@ def test_one_score_everywhere_and_nothing_at_all(spark):
     assert A.agreement(nothing).count() == A.rank_correlation(nothing).count() == 0
 
 
-@pytest.mark.parametrize("statistic", [A.rank_correlation])
+@pytest.mark.parametrize("statistic", [A.agreement, A.rank_correlation])
 def test_results_are_read_for_the_contingency_alone(spark, statistic):
     """Each of a statistic's three or four reads of the contingency built it anew."""
     plan = statistic(A.score_pairs(results(spark)[1]))._jdf.queryExecution().optimizedPlan().toString()
