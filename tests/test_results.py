@@ -62,6 +62,22 @@ def test_result_layouts(uni):
     assert a.count() + b.count() == u.count()
 
 
+def test_ranking_reads_the_results_once(spark):
+    """Histogram and ranked rows each computed the results anew."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [("s", k, f"D{k}", True, k % 18, 1, 1, 1) for k in range(50)]
+    schema = "strategy string, row_id long, dataset_name string, all_valid boolean, f_score long, a_score long, i_score long, r_score long"
+    df = spark.createDataFrame(rows, schema)
+    assert len(R.dataset_ranking(df.mapInArrow(count, df.schema)).collect()) == 50
+    assert seen.value == 50
+
+
 def test_requests_are_built_once(spark):
     """Each side of JOIN-2 extracted the pages and built the prompts anew."""
     plan = unified_results(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
