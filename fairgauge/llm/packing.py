@@ -48,8 +48,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int, cap
     schema = pa.schema([(n, pa.int32() if n == "piece" else pa.int64()) for n in names])
     for batch in batches:
         out: list[tuple] = []
-        for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-            data, key = enc.encode(text.as_py()) + end, doc_id.as_py()
+        for key, ids in zip(batch.column(0).to_pylist(), enc.encode_all(batch.column(1)), strict=True):
+            data = ids + end
             for k, (i, n) in enumerate(cut(len(data) // 4, capacity)):
                 out.append((key, k, i, n, zlib.crc32(data[4 * i : 4 * (i + n)])))
         columns = [pa.array(c, schema.field(j).type) for j, c in enumerate(zip(*out, strict=True))] if out else None

@@ -7,8 +7,8 @@ pre-token is sure to begin, and the ids of a cut kept for its next appearance:
   run of white space reach over it);
 * around a line feed between two characters that aren't white space.
 
-The texts are encoded by the library piece by piece; ``test_tokens.py`` holds the
-result against the library's own on whole texts.
+The texts are encoded by the library piece by piece, each distinct piece of some texts
+once; ``test_tokens.py`` holds the result against the library's own on whole texts.
 """
 
 from __future__ import annotations
@@ -18,14 +18,17 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces whose ids a worker keeps in either of two generations (a piece of the older
-#: one that appears again joins the newer), and the length of the longest kept. A piece is
-#: kept from its second appearance on, as most appear once: a byte per ``SEEN`` value of
-#: its hash says whether it was seen since the bytes were last cleared.
-KEPT_PIECES = 300_000
+#: Pieces whose ids a worker keeps, and the length in bytes of the longest kept. Past that
+#: number those go that did not appear again since the last time.
+KEPT_PIECES = 400_000
 KEPT_LENGTH = 48
-SEEN = 1 << 22
+#: Lines whose ids a worker keeps.
+KEPT_LINES = 50_000
+#: Bytes of texts that are encoded together.
+TOGETHER = 1 << 22
 #: Marks that end a pre-token of letters and, before a space, are one of their own.
 MARKS = frozenset(".,;:!?")
 #: A space that one run of white space may reach over.
@@ -47,10 +50,11 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.spaced: dict[str, bytes] = {}  # ids of " " + piece
-        self.older: dict[str, bytes] = {}
+        #: " " + piece: the pieces, their ids and which of them appeared again.
+        self.kept = pa.array([], pa.string())
+        self.kept_ids = pa.array([], pa.large_binary())
+        self.again = np.zeros(0, bool)
         self.bare: dict[str, bytes] = {}
-        self.seen, self.n_seen = bytearray(SEEN), 0
         #: Which ids begin with a space, as the first of every spaced word does.
         vocabulary = self.tokenizer.get_vocab()
         self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -59,48 +63,36 @@ class Encoder:
         self.mark = {mark: self.whole(mark) for mark in MARKS}
 
     def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        """By the library; the "fast" call leaves out the offsets alone."""
+        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _again(self, piece: str) -> bool:
-        """Whether a piece was seen before (or one that shares its byte); from now on it was."""
-        if len(piece) > KEPT_LENGTH:
-            return False
-        at = hash(piece) & (SEEN - 1)
-        if self.seen[at]:
-            return True
-        if self.n_seen >= SEEN // 4:
-            self.seen, self.n_seen = bytearray(SEEN), 0
-        self.seen[at] = 1
-        self.n_seen += 1
-        return False
-
-    def _keep(self, piece: str, ids: bytes) -> bytes:
-        if self._again(piece):
-            if len(self.spaced) >= KEPT_PIECES:
-                self.older, self.spaced = self.spaced, {}
-            self.spaced[piece] = ids
-        return ids
-
-    def _kept(self, piece: str) -> bytes | None:
-        ids = self.spaced.get(piece)
-        if ids is None and (ids := self.older.get(piece)) is not None:
-            self._keep(piece, ids)
-        return ids
-
-    def _words(self, words: list[str]) -> Iterator[bytes]:
+    def _keep(self, found: dict[str, bytes]) -> None:
+        pieces = pa.array(list(found), pa.string())
+        short = pc.less_equal(pc.binary_length(pieces), KEPT_LENGTH)
+        self.kept = pa.concat_arrays([self.kept, pieces.filter(short)])
+        self.kept_ids = pa.concat_arrays([self.kept_ids, pa.array(list(found.values()), pa.large_binary()).filter(short)])
+        self.again = np.append(self.again, np.zeros(len(self.kept) - len(self.again), bool))
+        if len(self.kept) > KEPT_PIECES:
+            stay = np.flatnonzero(self.again)[-KEPT_PIECES // 2 :]
+            self.kept, self.kept_ids = self.kept.take(pa.array(stay)), self.kept_ids.take(pa.array(stay))
+            self.again = np.zeros(len(stay), bool)
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of " " + word for words without white space at their ends, in one call: each
         begins a pre-token with its space, and no other id begins with one."""
+        found: dict[str, bytes] = {}
         for k in range(0, len(words), 512):
             some = words[k : k + 512]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, dtype="<u4")
-            starts = np.flatnonzero(self.begins[ids]).tolist()
+            data = self.whole(" " + " ".join(some))
+            starts = np.flatnonzero(self.begins[np.frombuffer(data, "<u4")])
             if len(starts) != len(some):
-                yield from (self.whole(" " + w) for w in some)
+                found |= {w: self.whole(" " + w) for w in some}
                 continue
-            data = ids.tobytes()
-            for i, j in zip(starts, [*starts[1:], len(ids)], strict=True):
-                yield data[4 * i : 4 * j]
+            places = (4 * starts).tolist()
+            cuts = map(slice, places, [*places[1:], len(data)])
+            found.update(zip(some, map(data.__getitem__, cuts), strict=True))
+        return found
 
     def _lines(self, lines: list[str]) -> dict[str, bytes]:
         """Ids of lines that begin without a space, new ones in one call: line feeds between
@@ -121,11 +113,9 @@ class Encoder:
             else:
                 ends = [*feeds, len(parts)]
                 found |= {x: data[4 * i : 4 * j] for x, i, j in zip(some, [0, *(f + 1 for f in feeds)], ends, strict=True)}
-            for line in some:
-                if self._again("\n" + line):
-                    if len(self.bare) >= KEPT_PIECES:
-                        self.bare.clear()
-                    self.bare[line] = found[line]
+            if len(self.bare) >= KEPT_LINES:
+                self.bare.clear()
+            self.bare |= {line: found[line] for line in some if len(line) <= KEPT_LENGTH}
         return found
 
     def _spaced(self, pieces: list[str]) -> dict[str, bytes]:
@@ -133,47 +123,43 @@ class Encoder:
         mark from their words; those with line feeds, each between two characters that
         aren't white space, line by line."""
         found: dict[str, bytes] = {}
-        words: dict[str, None] = {}
+        words: list[str] = []
         marked: list[str] = []
         broken: list[tuple[str, list[str]]] = []
-
-        def sort(piece: str) -> None:
-            ids = self._kept(piece)
-            if ids is not None:
-                found[piece] = ids
-            elif piece.isalpha():
-                words[piece] = None
+        firsts: dict[str, None] = {}
+        for piece in pieces:
+            if piece.isalpha():
+                words.append(piece)
+            elif "\n" in piece:
+                lines = piece.split("\n")
+                if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+                    found[piece] = self.whole(" " + piece)
+                else:
+                    broken.append((piece, lines))
+                    firsts[lines[0]] = None
             elif not piece or piece[0].isspace() or piece[-1].isspace():
-                found[piece] = self._keep(piece, self.whole(" " + piece))
+                found[piece] = self.whole(" " + piece)
             elif piece[-1] in MARKS and piece[:-1].isalpha():
                 marked.append(piece)
-                if (ids := self._kept(piece[:-1])) is not None:
-                    found[piece[:-1]] = ids
-                else:
-                    words[piece[:-1]] = None
+                firsts[piece[:-1]] = None
             else:
-                words[piece] = None
-
-        for piece in pieces:
-            if "\n" not in piece:
-                sort(piece)
-                continue
-            lines = piece.split("\n")
-            if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
-                found[piece] = self.whole(" " + piece)
-            else:
-                broken.append((piece, lines))
-                if lines[0] not in found:
-                    sort(lines[0])
-        new = list(words)
-        for word, ids in zip(new, self._words(new), strict=True):
-            found[word] = self._keep(word, ids)
-        for piece in dict.fromkeys(marked):  # two pre-tokens
-            found[piece] = self._keep(piece, found[piece[:-1]] + self.mark[piece[-1]])
+                words.append(piece)
+        known: dict[str, bytes] = {}
+        if firsts:
+            for word in words:
+                firsts.pop(word, None)
+            place = pc.index_in(pa.array(list(firsts), pa.string()), value_set=self.kept)
+            ids = self.kept_ids.take(place).to_pylist()
+            known = {word: x for word, x in zip(firsts, ids, strict=True) if x is not None}
+            words += [word for word in firsts if word not in known]
+        found |= self._words(words)
+        ids_of = lambda word: known.get(word) or found[word]
+        for piece in marked:  # two pre-tokens
+            found[piece] = ids_of(piece[:-1]) + self.mark[piece[-1]]
         if broken:
             coded = self._lines([x for _, lines in broken for x in lines[1:]])
             for piece, lines in broken:
-                found[piece] = self.feed.join([found[lines[0]], *[coded[x] for x in lines[1:]]])
+                found[piece] = self.feed.join([ids_of(lines[0]), *[coded[x] for x in lines[1:]]])
         return found
 
     def _head(self, piece: str) -> bytes:
@@ -185,22 +171,53 @@ class Encoder:
         return self.feed.join([coded[x] for x in lines])
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if REACHED_OVER.search(text):
-            return self.whole(text)
-        first, *rest = text.split(" ")
-        head = self._head(first) if first else b""
-        if not rest:
-            return head
-        get = self.spaced.get
-        out = list(map(get, rest))
-        gaps = [k for k, ids in enumerate(out) if ids is None]
-        if gaps:
-            new = self._spaced(list(dict.fromkeys([rest[k] for k in gaps])))
-            for k in gaps:
-                out[k] = new[rest[k]]
-        return head + b"".join(out)
+        return self._together(pa.array([text], pa.string()))[0]
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text. Texts of about ``TOGETHER`` bytes are encoded together."""
+        upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < len(texts):
+            held = int(upto[start - 1]) if start else 0
+            end = max(start + 1, int(np.searchsorted(upto, held + TOGETHER)))
+            yield from self._together(texts.slice(start, end - start))
+            start = end
+
+    def _together(self, texts: pa.Array) -> list[bytes]:
+        """Arrow cuts the texts and finds their distinct pieces; only those are looked up."""
+        texts = texts.cast(pa.string())
+        plain = texts.to_pylist()
+        cut = [bool(text) and not REACHED_OVER.search(text) for text in plain]
+        lists = pc.split_pattern(texts if all(cut) else texts.filter(pa.array(cut, pa.bool_())), " ")
+        pieces, at = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+        is_head = np.zeros(len(pieces), bool)
+        is_head[at[:-1]] = True
+        heads = iter(pieces.filter(pa.array(is_head)).to_pylist())
+        coded = pieces.filter(pa.array(~is_head)).dictionary_encode()
+        place = pc.index_in(coded.dictionary, value_set=self.kept)
+        at_kept = place.fill_null(-1).to_numpy()
+        is_new = at_kept < 0
+        self.again[at_kept[~is_new]] = True
+        new = coded.dictionary.filter(pa.array(is_new)).to_pylist()
+        found = self._spaced(new)
+        known = pa.concat_arrays([self.kept_ids, pa.array([found[piece] for piece in new], pa.large_binary())])
+        where = at_kept.astype(np.int64)
+        where[is_new] = len(self.kept) + np.arange(len(new))
+        ids = known.take(pa.array(where[coded.indices.to_numpy()]))
+        self._keep(found)
+        ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1) if len(ids) else np.zeros(1, np.int64)
+        body = memoryview(ids.buffers()[2] or b"")
+        bounds = iter(ends[at - np.arange(len(at))].tolist())
+        i = next(bounds)
+        done: list[bytes] = []
+        for text, is_cut in zip(plain, cut, strict=True):
+            if not is_cut:
+                done.append(self.whole(text) if text else b"")
+                continue
+            first, j = next(heads), next(bounds)
+            done.append((self._head(first) if first else b"") + body[i:j])
+            i = j
+        return done
 
 
 def release() -> None:

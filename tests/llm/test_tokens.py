@@ -2,7 +2,9 @@
 
 import random
 
+import pyarrow as pa
 import pytest
+from fairgauge.llm import tokens
 from fairgauge.llm.tokens import Encoder, default_path
 
 
@@ -32,3 +34,41 @@ def test_random_texts(enc):
 def test_long_text(enc):
     text = ("word " * 30_000) + "x" * 100_000
     assert enc.encode(text) == enc.whole(text)
+
+
+class Counting:
+    """The library's tokenizer, and the characters it was given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, 0
+
+    def encode_batch_fast(self, texts, add_special_tokens):
+        self.given += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    def encode(self, text, add_special_tokens):
+        self.given += len(text)
+        return self.tokenizer.encode(text, add_special_tokens=add_special_tokens)
+
+
+def test_a_piece_of_several_texts_is_encoded_once(enc):
+    fresh = Encoder(default_path())
+    fresh.tokenizer = Counting(fresh.tokenizer)
+    texts = [f"x{k} common words, of.\nEvery text here" for k in range(200)] + [None, "", " ", "two  spaces"]
+    assert list(fresh.encode_all(pa.array(texts))) == [enc.whole(t or "") for t in texts]
+    assert fresh.tokenizer.given < 1500
+    assert list(fresh.encode_all(pa.array([], pa.string()))) == []
+    assert list(fresh.encode_all(pa.array(texts, pa.large_string())[3:7])) == [enc.whole(t) for t in texts[3:7]]
+
+
+def test_kept_pieces_are_bounded(enc, monkeypatch):
+    """Pieces that didn't appear again go first; what goes is encoded anew."""
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 40)
+    monkeypatch.setattr(tokens, "KEPT_LINES", 10)
+    monkeypatch.setattr(tokens, "TOGETHER", 100)
+    fresh, rnd = Encoder(default_path()), random.Random(3)
+    often = [f"often{k}" for k in range(5)]
+    texts = [" ".join([*often, *(f"w{rnd.randrange(300)}{rnd.choice(['', ',', chr(10) + 'b'])}" for _ in range(9))]) for _ in range(300)]
+    assert list(fresh.encode_all(pa.array(texts))) == [enc.whole(t) for t in texts]
+    assert len(fresh.kept) <= 40 and len(fresh.bare) <= 30
+    assert set(often[1:]) <= set(fresh.kept.to_pylist())
