@@ -42,8 +42,8 @@ SHARD_SCHEMA = "part int, seq int, start long, doc_ids array<bigint>, lengths ar
 
 
 def _pack(values: np.ndarray, width: int) -> bytes:
-    bits = (values[:, None] >> np.arange(width, dtype=values.dtype)) & 1
-    return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+    octets = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4)
+    return np.packbits(np.unpackbits(octets, axis=1, count=width, bitorder="little"), bitorder="little").tobytes()
 
 
 def _unpack(data: memoryview, n: int, width: int) -> np.ndarray:
@@ -158,9 +158,9 @@ def _shards(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int, sha
         return pa.RecordBatch.from_pylist([row], schema=schema)
 
     for batch in batches:
-        for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-            data = enc.encode(text.as_py()) + end
-            ids.append(doc_id.as_py())
+        for doc_id, coded_text in zip(batch.column(0).to_pylist(), enc.encode_all(batch.column(1)), strict=True):
+            data = coded_text + end
+            ids.append(doc_id)
             lengths.append(len(data) // 4)
             coded.append(data)
             held += lengths[-1]

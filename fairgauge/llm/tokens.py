@@ -23,12 +23,12 @@ import pyarrow.compute as pc
 
 #: Pieces whose ids a worker keeps, and the length in bytes of the longest kept. Past that
 #: number those go that did not appear again since the last time.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 300_000
 KEPT_LENGTH = 48
 #: Lines whose ids a worker keeps.
 KEPT_LINES = 50_000
 #: Bytes of texts that are encoded together.
-TOGETHER = 1 << 22
+TOGETHER = 1 << 21
 #: Marks that end a pre-token of letters and, before a space, are one of their own.
 MARKS = frozenset(".,;:!?")
 #: A space that one run of white space may reach over.
@@ -182,6 +182,7 @@ class Encoder:
             end = max(start + 1, int(np.searchsorted(upto, held + TOGETHER)))
             yield from self._together(texts.slice(start, end - start))
             start = end
+        pa.default_memory_pool().release_unused()  # else a worker holds 140 MB more
 
     def _together(self, texts: pa.Array) -> list[bytes]:
         """Arrow cuts the texts and finds their distinct pieces; only those are looked up."""
