@@ -41,6 +41,16 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _places(pieces: pa.Array, kept: pa.Array) -> np.ndarray:
+    """Where each of some different pieces stands among the kept, -1 if nowhere. The few
+    are hashed and the many looked up, as a look-up costs less than an entry."""
+    found = pc.index_in(kept, value_set=pieces)
+    hit = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+    out = np.full(len(pieces), -1, np.int64)
+    out[found.drop_null().to_numpy()] = hit
+    return out
+
+
 class Encoder:
     """``encode(text)`` gives the ids as little-endian unsigned 32-bit bytes. Strings
     of special tokens in a text are ordinary text."""
@@ -148,8 +158,8 @@ class Encoder:
         if firsts:
             for word in words:
                 firsts.pop(word, None)
-            place = pc.index_in(pa.array(list(firsts), pa.string()), value_set=self.kept)
-            ids = self.kept_ids.take(place).to_pylist()
+            place = _places(pa.array(list(firsts), pa.string()), self.kept)
+            ids = self.kept_ids.take(pa.array(place, mask=place < 0)).to_pylist()
             known = {word: x for word, x in zip(firsts, ids, strict=True) if x is not None}
             words += [word for word in firsts if word not in known]
         found |= self._words(words)
@@ -195,14 +205,13 @@ class Encoder:
         is_head[at[:-1]] = True
         heads = iter(pieces.filter(pa.array(is_head)).to_pylist())
         coded = pieces.filter(pa.array(~is_head)).dictionary_encode()
-        place = pc.index_in(coded.dictionary, value_set=self.kept)
-        at_kept = place.fill_null(-1).to_numpy()
+        at_kept = _places(coded.dictionary, self.kept)
         is_new = at_kept < 0
         self.again[at_kept[~is_new]] = True
         new = coded.dictionary.filter(pa.array(is_new)).to_pylist()
         found = self._spaced(new)
         known = pa.concat_arrays([self.kept_ids, pa.array([found[piece] for piece in new], pa.large_binary())])
-        where = at_kept.astype(np.int64)
+        where = at_kept.copy()
         where[is_new] = len(self.kept) + np.arange(len(new))
         ids = known.take(pa.array(where[coded.indices.to_numpy()]))
         self._keep(found)

@@ -72,3 +72,12 @@ def test_kept_pieces_are_bounded(enc, monkeypatch):
     assert list(fresh.encode_all(pa.array(texts))) == [enc.whole(t) for t in texts]
     assert len(fresh.kept) <= 40 and len(fresh.bare) <= 30
     assert set(often[1:]) <= set(fresh.kept.to_pylist())
+
+
+def test_places_of_pieces_among_the_kept():
+    import pyarrow as pa
+    from fairgauge.llm.tokens import _places
+
+    kept, none = pa.array(["b", "", "a", "ä"]), pa.array([], pa.string())
+    assert _places(pa.array(["a", "c", "b", ""]), kept).tolist() == [2, -1, 0, 1]
+    assert _places(none, kept).tolist() == [] and _places(kept, none).tolist() == [-1] * 4
