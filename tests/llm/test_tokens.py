@@ -81,3 +81,24 @@ def test_places_of_pieces_among_the_kept():
     kept, none = pa.array(["b", "", "a", "ä"]), pa.array([], pa.string())
     assert _places(pa.array(["a", "c", "b", ""]), kept).tolist() == [2, -1, 0, 1]
     assert _places(none, kept).tolist() == [] and _places(kept, none).tolist() == [-1] * 4
+
+
+def test_white_space_marks_and_lines_leave_no_piece_to_encode_twice(enc):
+    """Runs of white space, line breaks and marks between the same words add no new piece."""
+    fresh, rnd = Encoder(default_path()), random.Random(7)
+    fresh.tokenizer = Counting(fresh.tokenizer)
+    words = [f"{a}{b}" for a in ("red", "grün", "日本") for b in ("der", "ware", "s")]
+    gaps = [" ", "  ", "\n", "\n\n", "\r\n", "\t", ". ", ", ", ".\n", "-"]
+    texts = ["".join(rnd.choice(words) + rnd.choice(gaps) for _ in range(40)) for _ in range(300)]
+    assert list(fresh.encode_all(pa.array(texts))) == [enc.whole(t) for t in texts]
+    assert fresh.tokenizer.given < 2000
+
+
+def test_random_white_space_of_any_script(enc):
+    """In Arrow slices of several texts, so that a cut beside a text's end is seen."""
+    rnd = random.Random(11)
+    white = [chr(c) for c in (9, 10, 11, 12, 13, 0x1C, 0x1F, 32, 0x85, 0xA0, 0x1680, 0x180E, 0x200A, 0x200B, 0x2028, 0x202F, 0x205F, 0x3000)]
+    parts = [*white, " ", " ", "\n", "\n", "a", "Bc", "é", "日", "1", ".", ",", "'s", "'", "(", "“", "”", "\x00"]
+    texts = [None if rnd.random() < 0.05 else "".join(rnd.choice(parts) for _ in range(rnd.randrange(12))) for _ in range(6000)]
+    got = list(enc.encode_all(pa.array(texts).slice(3)))
+    assert got == [enc.whole(t or "") for t in texts[3:]]
